@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers as tokenizers
-from tessera.llm import bpe, sharding, token_counts
+from tessera.llm import bpe, repeats, sharding, simhash, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_classes(documents(spark, sf_dir))
+
+
+def op7_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removal_digests(documents(spark, sf_dir))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), tokenizers.path("piece_bpe_32k.model"))
 
@@ -26,5 +34,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op8_token_counts, op9_byte_bpe, op10_sharding)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_simhash, op7_suffix_repeats, op8_token_counts, op9_byte_bpe, op10_sharding)}
 ORACLES: dict[str, str] = {}
