@@ -7,13 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers as tokenizers
-from tessera.llm import bpe, repeats, sharding, simhash, token_counts
+from tessera.llm import bpe, decontaminate, fingerprints, langid, repeats, sharding, simhash, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaking_pairs(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
+def op3_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(documents(spark, sf_dir))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_classes(documents(spark, sf_dir))
 
@@ -34,5 +50,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_simhash, op7_suffix_repeats, op8_token_counts, op9_byte_bpe, op10_sharding)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_winnowing, op4_simhash, op7_suffix_repeats, op8_token_counts, op9_byte_bpe, op10_sharding)}
 ORACLES: dict[str, str] = {}
