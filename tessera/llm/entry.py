@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers as tokenizers
-from tessera.llm import bpe, decontaminate, fingerprints, langid, licenses, repeats, sharding, simhash, token_counts
+from tessera.llm import bpe, decontaminate, fingerprints, langid, licenses, passages, repeats, sharding, simhash, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_classes(documents(spark, sf_dir))
 
 
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.near_duplicate_passages(documents(spark, sf_dir))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(documents(spark, sf_dir))
 
@@ -54,5 +58,5 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_winnowing, op4_simhash, op6_license_scan, op7_suffix_repeats, op8_token_counts, op9_byte_bpe, op10_sharding)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_winnowing, op4_simhash, op5_passages, op6_license_scan, op7_suffix_repeats, op8_token_counts, op9_byte_bpe, op10_sharding)}
 ORACLES: dict[str, str] = {}
