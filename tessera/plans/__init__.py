@@ -1 +1,4 @@
-"""Statistical tabulation with privacy protection, as Spark jobs."""
+"""Registered queries of the library's operators on the given tables."""
+
+from tessera.plans import accuracy, tabulation  # noqa: F401
+from tessera.plans.base import ORACLES, QUERIES  # noqa: F401
