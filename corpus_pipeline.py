@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import itertools
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -43,16 +42,14 @@ def repeat_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents without their repeated strings of 400 bytes; ``n_chars`` follows, null texts stay null. All rows stay."""
     prepare(spark)
     others = F.struct(F.col("text").isNull().alias("_none"), *[c for c in docs.columns if c != "text"])
-    found = repeats.with_spans(docs.select(others.alias("_o"), "text"), doc_id="_o").withColumnRenamed("doc_id", "_o")
-
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([t if len(s) == 0 else repeats.cut(t, s) for t, s in zip(texts, spans)], dtype=object)
-
-    whole = F.size("spans") == 0
-    new = F.when(F.col("_o._none"), None).otherwise(F.when(whole, F.col("text")).otherwise(cut("text", "spans")))
-    columns = {"text": F.col("_new"), "n_chars": F.when(whole, F.col("_o.n_chars")).otherwise(F.char_length("_new").cast("long"))}
-    return found.withColumn("_new", new).select(*[columns.get(c, F.col(f"_o.`{c}`")).alias(c) for c in docs.columns])
+    found = repeats.with_ranges(docs.select(others.alias("_o"), "text"), doc_id="_o").withColumnRenamed("doc_id", "_o")
+    # the length tells whether anything went: a cut text is never as long
+    new = found.withColumn("_new", repeats.remainder()("text", "ranges"))
+    columns = {
+        "text": F.when(~F.col("_o._none"), F.col("_new")),
+        "n_chars": F.when(F.char_length("_new") == F.char_length("text"), F.col("_o.n_chars")).otherwise(F.char_length("_new").cast("long")),
+    }
+    return new.select(*[columns.get(c, F.col(f"_o.`{c}`")).alias(c) for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -127,9 +127,9 @@ def expand(length: int):
 
 
 def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
-    """Per distinct text (key ``_ka``, ``_kb``): ``ranges``, starts of repeated strings as array of (lo, hi), inclusive.
+    """Per distinct text (key ``_ka``, ``_kb``): ``ranges``, starts of repeated strings as array of lo * 2**32 + hi, inclusive.
 
-    ``docs`` has the columns doc_id, text (no nulls), _ka, _kb. Texts without a repeat have no row.
+    ``docs`` has the columns of :func:`prepared`. Texts without a repeat have no row.
     """
     key = ["_ka", "_kb"]
     found = docs.select(*key, "text").mapInPandas(find_anchors(length), ANCHORS)
@@ -144,29 +144,30 @@ def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
     # them one place of each settled kind under the same name, as what they may be equal to
     settled = F.col("n_whole") > 1
     is_open = (F.col("n_whole") < F.col("n_name")) & (~settled | F.col("first"))
-    place = F.struct("name", "lo", "hi")
-    listed = counted.groupBy(*key).agg(F.collect_list(F.when(settled, F.struct("lo", "hi"))).alias("settled"), F.collect_list(F.when(is_open, place)).alias("open"))
+    # ranges travel as single longs; sets, because copies of a text send the same ones
+    packed = lambda lo, hi: F.shiftleft(lo.cast("long"), 32) + hi
+    whole_place, open_place = packed(F.col("lo"), F.col("hi")), F.struct("name", "lo", "hi")
+    listed = counted.groupBy(*key).agg(F.collect_set(F.when(settled, whole_place)).alias("settled"), F.collect_list(F.when(is_open, open_place)).alias("open"))
     strings = (
         docs.join(listed.filter(F.size("open") > 0).select(*key, "open"), key)
-        .select(*key, "text", "open")
+        # doc_id comes along so that this join and the last one read one and the same shuffle of the texts
+        .select("doc_id", *key, "text", "open")
         .mapInPandas(expand(length), STRINGS)
         .select("name", *key, "lo", F.posexplode("hashes").alias("i", "hash"))
         .select("name", "hash", *key, (F.col("lo") + F.col("i")).alias("at"))
     )
     again = strings.withColumn("n", F.count("*").over(W.partitionBy("name", "hash"))).filter("n > 1")
-    single = again.groupBy(*key).agg(F.sort_array(F.collect_set("at")).alias("starts")).select(*key, F.transform("starts", lambda s: F.struct(s.alias("lo"), s.alias("hi"))).alias("ranges"))
+    single = again.groupBy(*key).agg(F.collect_set(packed(F.col("at"), F.col("at"))).alias("ranges"))
     both = listed.filter(F.size("settled") > 0).select(*key, F.col("settled").alias("ranges")).unionByName(single)
     return both.groupBy(*key).agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
 
 
 def covered(ranges, length: int) -> list[tuple[int, int]]:
-    """Maximal runs [start, end) of bytes covered by strings that start in the ranges (lo, hi)."""
+    """Maximal runs [start, end) of bytes covered by strings that start in the ranges (lo * 2**32 + hi)."""
     if ranges is None or len(ranges) == 0:
         return []
-    lo = np.fromiter((r["lo"] for r in ranges), np.int64, len(ranges))
-    end = np.fromiter((r["hi"] for r in ranges), np.int64, len(ranges)) + length
-    order = np.argsort(lo, kind="stable")
-    lo, end = lo[order], np.maximum.accumulate(end[order])
+    packed = np.sort(np.asarray(ranges, np.int64))
+    lo, end = packed >> 32, np.maximum.accumulate((packed & 0xFFFFFFFF) + length)
     new = np.concatenate(([True], lo[1:] > end[:-1]))
     return list(zip(lo[new].tolist(), end[np.concatenate((new[1:], [True]))].tolist()))
 
@@ -175,6 +176,13 @@ def prepared(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).select("doc_id", "text", *text_key(F.col("text")))
 
 
+def with_ranges(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, text (null as empty), ranges: starts of the document's repeated strings, null if it has none."""
+    prepare(docs.sparkSession)
+    rows = prepared(docs, doc_id, text)
+    return rows.join(repeated_ranges(rows, length), ["_ka", "_kb"], "left").select("doc_id", "text", "ranges")
+
+
 def with_spans(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text, spans: for each document its repeated bytes as ``array<struct<start, end>>`` (UTF-8 offsets, end exclusive).
 
@@ -183,44 +191,51 @@ def with_spans(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text:
     ``length`` bytes, has no spans; repeated rows repeat each other in full. Other
     columns of ``docs`` are not read.
     """
-    prepare(docs.sparkSession)
-    rows = prepared(docs, doc_id, text)
 
     @F.pandas_udf("array<struct<start:int,end:int>>")
     def merge(ranges: pd.Series) -> pd.Series:
         return pd.Series([[{"start": a, "end": b} for a, b in covered(r, length)] for r in ranges], dtype=object)
 
-    return rows.join(repeated_ranges(rows, length), ["_ka", "_kb"], "left").select("doc_id", "text", merge("ranges").alias("spans"))
+    return with_ranges(docs, length, doc_id, text).select("doc_id", "text", merge("ranges").alias("spans"))
 
 
 DIGEST = "n_removed long, n_spans long, kept_sha256 string"
 
 
 def removal_digests(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 of the bytes outside its spans."""
-    found = with_spans(docs, length, doc_id, text)
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 of the bytes outside its spans (see :func:`with_spans`)."""
 
     @F.pandas_udf(DIGEST)
-    def digest(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
+    def digest(texts: pd.Series, ranges: pd.Series) -> pd.DataFrame:
         rows = []
-        for t, s in zip(texts, spans):
-            data, at, h, gone = t.encode(), 0, hashlib.sha256(), 0
-            for x in s:
-                h.update(data[at : x["start"]])
-                at = x["end"]
-                gone += x["end"] - x["start"]
+        for t, r in zip(texts, ranges):
+            data, at, h, gone, spans = t.encode(), 0, hashlib.sha256(), 0, covered(r, length)
+            for start, end in spans:
+                h.update(data[at:start])
+                at = end
+                gone += end - start
             h.update(data[at:])
-            rows.append((gone, len(s), h.hexdigest()))
+            rows.append((gone, len(spans), h.hexdigest()))
         return pd.DataFrame(rows, columns=["n_removed", "n_spans", "kept_sha256"])
 
-    return found.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), digest("text", "spans").alias("_d")).select("doc_id", "n_bytes", "_d.*")
+    found = with_ranges(docs, length, doc_id, text)
+    return found.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), digest("text", "ranges").alias("_d")).select("doc_id", "n_bytes", "_d.*")
+
+
+def remainder(length: int = 400):
+    """Column function (text, ranges) -> the text without its repeated strings."""
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series, ranges: pd.Series) -> pd.Series:
+        return pd.Series([t if r is None else cut(t, covered(r, length)) for t, r in zip(texts, ranges)], dtype=object)
+
+    return run
 
 
 def cut(text: str, spans) -> str:
     """The text without its spans; a character that a span covers only in part stays."""
     data, at, kept = text.encode(), 0, []
-    for s in spans:
-        start, end = s["start"], s["end"]
+    for start, end in spans:
         while start < len(data) and data[start] & 0xC0 == 0x80:
             start += 1
         while end > start and end < len(data) and data[end] & 0xC0 == 0x80:
