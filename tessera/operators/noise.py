@@ -110,3 +110,30 @@ def secure_geometric(frame: DataFrame, value: str, epsilon_num: int, epsilon_den
             yield s + pd.Series([draw() for _ in range(len(s))], index=s.index)
 
     return frame.withColumn(out, add(F.col(value).cast("long")))
+
+
+def gaussian_steps(u: Column, variance: float, reach: int | None = None) -> Column:
+    """Discrete Gaussian from one uniform by inversion over a fixed table of cumulative chances; the tails beyond ``reach`` (12 sd) have no mass in a double."""
+    reach = reach if reach is not None else max(2, math.ceil(12 * variance**0.5))
+    weights = [math.exp(-x * x / (2 * variance)) for x in range(-reach, reach + 1)]
+    total, run, cumulative = sum(weights), 0.0, []
+    for w in weights:
+        run += w
+        cumulative.append(run / total)
+    return (F.size(F.filter(F.array(*map(F.lit, cumulative)), lambda c: c < u)) - reach).cast("long")
+
+
+def float_gaussian(u: Column, v: Column, variance: float) -> Column:
+    """Fast approximation of the discrete Gaussian for experiments: a rounded normal with the variance less 1/12."""
+    return F.round(F.sqrt(-2 * F.log(u)) * F.cos(2 * F.pi() * v) * max(variance - 1 / 12, 0.0) ** 0.5).cast("long")
+
+
+def smooth_gamma(x: Column, u: Column, largest: Column, alpha: float, epsilon: float, points: int = 2001) -> Column:
+    """x + max(largest * alpha, 1) * (5 / epsilon) * Z, density of Z proportional to 1 / (1 + z**4), by inversion on a fixed grid in z = tan."""
+    grid = [math.tan(math.pi * (i / (points - 1) - 0.5) * 0.999) for i in range(points)]
+    run, cumulative = 0.0, [0.0]
+    for a, b in zip(grid, grid[1:]):
+        run += (b - a) * (1 / (1 + a**4) + 1 / (1 + b**4)) / 2
+        cumulative.append(run)
+    index = F.greatest(F.size(F.filter(F.array(*[F.lit(c / run) for c in cumulative]), lambda c: c < u)) - 1, F.lit(0))
+    return x + F.greatest(largest * alpha, F.lit(1.0)) * (5 / epsilon) * F.get(F.array(*map(F.lit, grid)), index)

@@ -1,4 +1,4 @@
 """Registered queries of the library's operators on the given tables."""
 
-from tessera.plans import accuracy, privacy, records, relational, tabulation  # noqa: F401
+from tessera.plans import accuracy, more, privacy, records, relational, tabulation  # noqa: F401
 from tessera.plans.base import ORACLES, QUERIES  # noqa: F401
