@@ -112,6 +112,16 @@ def secure_geometric(frame: DataFrame, value: str, epsilon_num: int, epsilon_den
     return frame.withColumn(out, add(F.col(value).cast("long")))
 
 
+def count_below(values: list[float], u: Column) -> Column:
+    """Number of the ascending values below ``u``, by two levels of comparisons."""
+    side = max(1, int(len(values) ** 0.5))
+    groups = [values[i : i + side] for i in range(0, len(values), side)]
+    below = lambda a: F.size(F.filter(a, lambda c: c < u))
+    group = below(F.array(*[F.lit(g[-1]) for g in groups]))
+    inside = F.get(F.array(*[F.array(*map(F.lit, g)) for g in groups]), group)
+    return group * side + F.when(inside.isNull(), 0).otherwise(below(inside))
+
+
 def gaussian_steps(u: Column, variance: float, reach: int | None = None) -> Column:
     """Discrete Gaussian from one uniform by inversion over a fixed table of cumulative chances; the tails beyond ``reach`` (12 sd) have no mass in a double."""
     reach = reach if reach is not None else max(2, math.ceil(12 * variance**0.5))
@@ -120,7 +130,7 @@ def gaussian_steps(u: Column, variance: float, reach: int | None = None) -> Colu
     for w in weights:
         run += w
         cumulative.append(run / total)
-    return (F.size(F.filter(F.array(*map(F.lit, cumulative)), lambda c: c < u)) - reach).cast("long")
+    return (count_below(cumulative, u) - reach).cast("long")
 
 
 def float_gaussian(u: Column, v: Column, variance: float) -> Column:
@@ -135,5 +145,5 @@ def smooth_gamma(x: Column, u: Column, largest: Column, alpha: float, epsilon: f
     for a, b in zip(grid, grid[1:]):
         run += (b - a) * (1 / (1 + a**4) + 1 / (1 + b**4)) / 2
         cumulative.append(run)
-    index = F.greatest(F.size(F.filter(F.array(*[F.lit(c / run) for c in cumulative]), lambda c: c < u)) - 1, F.lit(0))
+    index = F.greatest(count_below([c / run for c in cumulative], u) - 1, F.lit(0))
     return x + F.greatest(largest * alpha, F.lit(1.0)) * (5 / epsilon) * F.get(F.array(*map(F.lit, grid)), index)
