@@ -23,30 +23,30 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     profiles = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))))
     if not profiles:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    kept = docs.withColumn("_p", langid.predict(F.col("text"), profiles)).filter((F.col("_p.lang") != langid.UNKNOWN) & (F.col("_p.score") >= MIN_SCORE))
-    return kept.drop("_p")
+    kept = docs.withColumn("__prediction", langid.predict(F.col("text"), profiles)).filter((F.col("__prediction.lang") != langid.UNKNOWN) & (F.col("__prediction.score") >= MIN_SCORE))
+    return kept.drop("__prediction")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash class: the one with the least doc_id (null last, equal ids by text hash; of equal rows one)."""
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), *text_key(F.col("text")))
     key = lambda s: F.concat_ws(":", f"{s}.id", f"{s}._ka", f"{s}._kb")
-    found = simhash.near_duplicates(docs.select(place.alias("_s"), "text"), doc_id="_s")
-    stay = found.filter("doc_id = component_id").select(key("doc_id").alias("_key")).distinct()
-    keyed = docs.withColumn("_s", place).withColumn("_key", key("_s")).drop("_s").join(stay, "_key", "left_semi")
-    # the semi-join has dealt the rows by _key already
-    return keyed.withColumn("_n", F.row_number().over(W.partitionBy("_key").orderBy("_key"))).filter("_n = 1").select(*docs.columns)
+    found = simhash.near_duplicates(docs.select(place.alias("__place"), "text"), doc_id="__place")
+    stay = found.filter("doc_id = component_id").select(key("doc_id").alias("__key")).distinct()
+    keyed = docs.withColumn("__place", place).withColumn("__key", key("__place")).drop("__place").join(stay, "__key", "left_semi")
+    # the semi-join has dealt the rows by this key already
+    return keyed.withColumn("__n", F.row_number().over(W.partitionBy("__key").orderBy("__key"))).filter("__n = 1").select(*docs.columns)
 
 
 def repeat_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their repeated strings of 400 bytes; ``n_chars`` follows, null texts stay null. All rows stay."""
     prepare(spark)
-    others = F.struct(F.col("text").isNull().alias("_none"), *[c for c in docs.columns if c != "text"])
+    others = F.struct(F.col("text").isNull().alias("__null"), *[c for c in docs.columns if c != "text"])
     found = repeats.with_ranges(docs.select(others.alias("_o"), "text"), doc_id="_o").withColumnRenamed("doc_id", "_o")
     # the length tells whether anything went: a cut text is never as long
     new = found.withColumn("_new", repeats.remainder()("text", "ranges"))
     columns = {
-        "text": F.when(~F.col("_o._none"), F.col("_new")),
+        "text": F.when(~F.col("_o.__null"), F.col("_new")),
         "n_chars": F.when(F.char_length("_new") == F.char_length("text"), F.col("_o.n_chars")).otherwise(F.char_length("_new").cast("long")),
     }
     return new.select(*[columns.get(c, F.col(f"_o.`{c}`")).alias(c) for c in docs.columns])
@@ -55,7 +55,7 @@ def repeat_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents into which no benchmark item leaks."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.with_leaks(docs, benchmark, out="_leaks").filter(F.size("_leaks") == 0).drop("_leaks")
+    return decontaminate.with_leaks(docs, benchmark, out="__leaks").filter(F.size("__leaks") == 0).drop("__leaks")
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
