@@ -15,7 +15,7 @@ BATCH_BYTES = 16 << 20
 _shipped: set[str] = set()
 
 
-def prepare(spark: SparkSession) -> None:
+def prepare(spark: SparkSession, batch_rows: int = BATCH_ROWS) -> None:
     """Make this package importable in Python workers and bound Arrow batches.
 
     The package goes out once per application through ``addPyFile``, which the
@@ -23,7 +23,7 @@ def prepare(spark: SparkSession) -> None:
     in rows and bytes, so one task's memory doesn't depend on text lengths
     (a single text larger than the bound is a batch of its own).
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app in _shipped:
