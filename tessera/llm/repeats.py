@@ -83,7 +83,27 @@ def anchors(codes: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     return name, whole, first, last
 
 
-ANCHORS = "name long, whole long, _ka long, _kb long, lo int, hi int"
+ANCHORS = "name long, whole long, _ka long, _kb long, lo int, hi int, times int"
+
+
+def settle(name: np.ndarray, whole: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Names to be dealt by, and how often each place counts, for the places of one document.
+
+    Of places equal in name and whole the first stands for all and counts twice:
+    enough for others elsewhere. The rest recur already and need not meet any
+    others, so they count twice as well, under names of their own. A line that a
+    document repeats thus sends one row to its task, however often it stands there.
+    """
+    order = np.lexsort((whole, name))
+    n, w = name[order], whole[order]
+    same = (n[1:] == n[:-1]) & (w[1:] == w[:-1])
+    again = np.concatenate(([False], same))
+    times = np.ones(len(name), np.int32)
+    times[order] = np.where(again | np.concatenate((same, [False])), 2, 1)
+    name = name.copy()
+    rest = order[again]
+    name[rest] = mix(name[rest] ^ apart[rest])
+    return name, times
 
 
 def find_anchors(length: int):
@@ -91,12 +111,15 @@ def find_anchors(length: int):
         for b in batches:
             out = []
             for ka, kb, text in zip(b["_ka"], b["_kb"], b["text"]):
-                for at, codes in blocks(text.encode(), length):
-                    name, whole, lo, hi = anchors(codes, length)
-                    out.append((name, whole, np.full(len(lo), ka), np.full(len(lo), kb), lo + at, hi + at))
+                parts = [(*anchors(codes, length), at) for at, codes in blocks(text.encode(), length)]
+                if parts:
+                    name, whole = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+                    lo, hi = (np.concatenate([p[i] + p[4] for p in parts]) for i in (2, 3))
+                    name, times = settle(name, whole, mix(lo.astype(np.uint64)) ^ np.uint64(ka & 0xFFFFFFFFFFFFFFFF))
+                    out.append((name, whole, np.full(len(lo), ka), np.full(len(lo), kb), lo, hi, times))
             if out:
-                name, whole, ka, kb, lo, hi = map(np.concatenate, zip(*out))
-                yield pd.DataFrame({"name": name.view(np.int64), "whole": whole.view(np.int64), "_ka": ka, "_kb": kb, "lo": lo.astype(np.int32), "hi": hi.astype(np.int32)})
+                name, whole, ka, kb, lo, hi, times = map(np.concatenate, zip(*out))
+                yield pd.DataFrame({"name": name.view(np.int64), "whole": whole.view(np.int64), "_ka": ka, "_kb": kb, "lo": lo.astype(np.int32), "hi": hi.astype(np.int32), "times": times})
 
     return run
 
@@ -135,9 +158,9 @@ def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
     found = docs.select(*key, "text").mapInPandas(find_anchors(length), ANCHORS)
     same_whole, same_name = W.partitionBy("name", "whole"), W.partitionBy("name")
     counted = (
-        found.withColumn("n_whole", F.count("*").over(same_whole))
+        found.withColumn("n_whole", F.sum("times").over(same_whole))
         .withColumn("first", F.row_number().over(same_whole.orderBy("_ka", "_kb", "lo")) == 1)
-        .withColumn("n_name", F.count("*").over(same_name))
+        .withColumn("n_name", F.sum("times").over(same_name))
         .filter("n_name > 1")
     )
     # settled: all strings of the place recur elsewhere. open: to be looked at one by one; with
