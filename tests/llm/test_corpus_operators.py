@@ -211,3 +211,28 @@ def test_near_duplicate_passages(spark):
     assert all(got[d] == d // 100 * 100 for d, _ in rows if d is not None and d < 10000)
     assert all(got[d] == d for d, _ in rows if d is not None and d >= 10000) and got[None] is None
     assert passages.near_duplicate_passages(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_passages_behind_long_unshared_text(spark):
+    random.seed(2)
+    some = lambda n: " ".join(f"w{random.randrange(10**6)}" for _ in range(n))
+    rows = []
+    for i in range(20):
+        p = some(2000)
+        rows += [(i * 10 + k, f"{some(3000)} {p} {some(50)}") for k in range(2)]
+    got = {r.doc_id: r.class_id for r in passages.near_duplicate_passages(frame(spark, rows)).collect()}
+    assert got == {d: d // 10 * 10 for d, _ in rows}
+
+
+def test_all_joined_intervals_of_a_pair_are_searched(spark):
+    # three functions agree on stretches whose texts differ, and the pair's one true passage lies elsewhere in the joined interval
+    random.seed(3)
+    some = lambda n: " ".join(f"w{random.randrange(10**6)}" for _ in range(n))
+    p = some(60)
+    rows = spark.createDataFrame([(1, 1, f"{some(600)} {p} {some(300)}"), (2, 2, f"{some(600)} {p} {some(300)}")], "doc_id long, dk long, text string")
+    kept, joined = passages.common_passages([(0, 100, 900, 0, j) for j in range(5)], 46, 5, 3)
+    assert joined == [(0, 901, 0)] and kept == [(32, 137, 0)]
+    pairs = lambda pieces: spark.createDataFrame([(1, at, n, 2, at, n) for at, n in pieces], "first long, first_at int, first_n int, dk long, at int, n int")
+    assert passages.verified(rows, pairs([(32, 137)]), 5, 46, 0.8).count() == 0
+    found = passages.verified(rows, passages.pieces(spark.createDataFrame([(1, 0, 901, 2, 0, 901)], "first long, first_at int, first_n int, dk long, at int, n int"), 46), 5, 46, 0.8).collect()
+    assert found and all(r.at < 656 and r.at + r.n > 600 for r in found)
