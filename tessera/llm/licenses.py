@@ -5,7 +5,7 @@ a template (enough of its words are template words), the two are aligned:
 words unique to both sides are anchors, the longest increasing subsequence of
 their positions keeps the order, and the gaps between anchors are aligned the
 same way, where words that repeat in the whole may be unique again. Coverage
-is the share of template words that are aligned.
+is the share of template words that are aligned. Copies may follow each other closely.
 """
 
 from __future__ import annotations
@@ -117,6 +117,36 @@ class Scanner:
             if start is not None:
                 yield k, start, min(end, len(hashes))
 
+    def first_copy(self, k: int, mine: list[str], s: int, end: int) -> tuple[int, int, int] | None:
+        """(aligned words, first word, last word) of the first copy that starts in the span from s.
+
+        Copies that stand close together leave no word unique in a wide window, and a word that one copy lacks is an
+        anchor in the next: windows start at steps of an eighth of the template and grow by such steps up to the span.
+        The first that holds enough may cut its copy short: windows up to there and at its first words are compared.
+        """
+        template = self.templates[k][2]
+        need, step, stride = int(np.ceil(self.coverage * len(template) - 1e-9)), int(SPREAD * len(template)) + 1, max(len(template) // 8, 1)
+        known = Counter(template)
+
+        def tried(at: int) -> Iterator[list[int]]:
+            for width in range(need, step + 2 * stride, stride):
+                part = mine[at : min(at + width, end)]
+                if (Counter(part) & known).total() >= need:
+                    pairs = align(template, part)
+                    if len(pairs) >= need:
+                        yield [at + j for _, j in pairs]
+                if at + width >= end:
+                    return
+
+        for at in range(s, min(s + step, end), stride):
+            places = next(tried(at), None)
+            if places:
+                starts = {*range(at, places[0], stride), *places[: len(template) - need + 1]}
+                # one that starts further on is another copy; a word aligned far from the others is not worth the words between
+                best = max((x for i in starts for x in tried(i) if x[0] <= max(starts)), default=places, key=lambda x: (4 * len(x) - (x[-1] - x[0]), -x[0]))
+                return len(best), best[0], best[-1]
+        return None
+
     def scan(self, text: str) -> list[tuple]:
         """(license, kind, coverage, first word, last word) of each template found; a stretch is scanned on until nothing more is found."""
         if not self.templates:
@@ -128,13 +158,15 @@ class Scanner:
             step = int(SPREAD * len(template)) + 1
             s = start
             while s < end:
-                # a window of twice the span holds any stretch that starts in its first half
-                pairs = align(template, mine[s : min(s + 2 * step, end)])
-                share = len(pairs) / len(template)
-                if share >= self.coverage and pairs[-1][1] - pairs[0][1] < 2 * step:
-                    first, last = s + pairs[0][1], s + pairs[-1][1]
-                    found.append((name, kind, share, first, last))
-                    s = last + 1
+                hit = self.first_copy(k, mine, s, end)
+                if hit is None:
+                    # a window of twice the span holds any stretch that starts in its first half
+                    pairs = align(template, mine[s : min(s + 2 * step, end)])
+                    if len(pairs) / len(template) >= self.coverage and pairs[-1][1] - pairs[0][1] < 2 * step:
+                        hit = len(pairs), s + pairs[0][1], s + pairs[-1][1]
+                if hit:
+                    found.append((name, kind, hit[0] / len(template), *hit[1:]))
+                    s = hit[2] + 1
                 else:
                     s += step
         return found

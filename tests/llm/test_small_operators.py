@@ -166,6 +166,18 @@ def test_license_scan(spark):
     assert [(r.license, r.kind) for r in rows] == [("MIT", "text")] and 0.85 < rows[0].coverage < 0.95
 
 
+def test_license_copies_close_together(spark):
+    mit, apache = licenses.TEMPLATES[8][2], licenses.TEMPLATES[0][2]
+    broken = " ".join(w for i, w in enumerate(mit.split()) if i % 12)
+    texts = [f"the MIT License Copyright A {mit} Copyright B {mit} more words", f"the {apache}\n{apache}", f"{mit} " * 5, f"the {broken} {mit} and {broken}", f"of {apache} x {apache} y {apache} the", f"the {'word ' * 60}{mit}"]
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE)
+    for text, want in zip(texts, ([1, 1], [1, 1], [1] * 5, [0.9, 1, 0.9], [1, 1, 1], [1])):
+        kind = ("MIT", "text") if mit in text else ("Apache-2.0", "notice")
+        got = sorted((x[3], x[4], x[2]) for x in scanner.scan(text) if x[:2] == kind)
+        assert len(got) == len(want) and all(abs(x[2] - w) < 0.05 for x, w in zip(got, want))
+        assert all(x[1] < y[0] for x, y in zip(got, got[1:]))
+
+
 def test_alignment_is_increasing_and_equal():
     random.seed(4)
     for _ in range(200):
