@@ -6,11 +6,10 @@ here only the first ``length`` bytes of a suffix matter, so suffixes need equal
 names for equal beginnings, not a full order:
 
 1. *Parse.* Rolling hashes of 8-grams trigger phrase starts where the hash is the
-   smallest of ``WINDOW`` (rightmost on ties). Whether a place is a trigger depends
-   on fewer than 2*WINDOW bytes around it, so equal strings are parsed alike, and
-   every WINDOW places hold a trigger, whatever the text.
-2. *Dictionary and parse.* Every string of ``length`` bytes belongs to its first
-   trigger that the string alone determines. The bytes around the trigger that
+   smallest of ``window(length)`` (rightmost on ties). Every window in the middle of
+   a string holds one, whatever the text, and the string alone tells which.
+2. *Dictionary and parse.* Every string of ``length`` bytes belongs to the trigger
+   of its middle window. The bytes around the trigger that
    all its strings share name it (the truncated suffix of the parse); a name that
    stands once in the corpus ends all its strings. Where all strings of a trigger
    (a longer name) recur together they are repeated, without a look at each.
@@ -19,6 +18,10 @@ names for equal beginnings, not a full order:
 
 A full suffix array of the dictionary would be as large as a corpus that repeats
 little, and its order is not needed for equality; hence names instead of ranks.
+A name is two 64-bit polynomial hashes: bytes are not compared.
+
+Strings of a greater length are sought only inside the stretches that strings of a
+smaller one cover, so a second length costs a share of the first.
 
 The text itself is shuffled once, by its 128-bit key; what returns to it are
 byte ranges. Equal texts share a key, so copies are searched once per place and
@@ -29,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -36,50 +40,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.rolling import distinct_runs, mix, prefixes, sliding_argmin, stretch
+from tessera.llm.rolling import mix, prefixes, sliding_argmin, stretch
 from tessera.llm.runtime import prepare, text_key
 
-WINDOW = 128
+LENGTH = 400
+#: About the least length in bytes of a passage of 50 words.
+PASSAGE = 240
+LEAST = 32
 GRAM = 8
 BLOCK = 1 << 20
 _TABLE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
 def blocks(data: bytes, length: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Overlapping blocks of bounded size: every trigger with all bytes that its strings and its status need lies in one.
-
-    Each string of ``length`` bytes that starts in [offset, offset + BLOCK) is inside its block.
+    """Overlapping blocks of bounded size. Each string of ``length`` bytes that starts in [offset, offset + BLOCK) is inside its block.
     """
     codes = np.frombuffer(data, np.uint8)
     for at in range(0, max(len(codes) - length + 1, 0), BLOCK):
         yield at, codes[at : at + BLOCK + length - 1]
 
 
-def triggers(codes: np.ndarray) -> np.ndarray:
-    """Positions of phrase starts."""
-    if len(codes) < GRAM:
-        return np.zeros(0, np.int32)
-    grams = np.lib.stride_tricks.sliding_window_view(codes, GRAM)
-    words = np.ascontiguousarray(grams).view(np.uint64).ravel()
-    return distinct_runs(sliding_argmin((mix(words) >> np.uint64(32)).astype(np.uint32), WINDOW))
+def window(length: int) -> int:
+    """Grams among which the trigger of a string is chosen: about half the string, so that all strings of a trigger share the other half."""
+    if length < LEAST:
+        raise ValueError(f"strings of fewer than {LEAST} bytes are not sought")
+    return length // 2
 
 
 def anchors(codes: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """For each trigger that owns strings: its name, the name of all its strings together, first and last start.
 
-    A string starting at i belongs to the first trigger at or behind i + WINDOW - 1;
-    all windows of hashes that can pick a trigger there are inside the string.
+    A string belongs to the least hash of the ``window(length)`` grams in its middle.
     """
-    p = triggers(codes).astype(np.int64)
-    before = np.concatenate(([-1], p[:-1]))
-    first = np.maximum(before - WINDOW + 2, 0)
-    last = np.minimum(p - WINDOW + 1, len(codes) - length)
-    own = first <= last
-    p, first, last = p[own], first[own], last[own]
+    if len(codes) < length:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    grams = np.lib.stride_tricks.sliding_window_view(codes, GRAM)
+    words = np.ascontiguousarray(grams).view(np.uint64).ravel()
+    wide = window(length)
+    lead = (length - wide - GRAM + 1) // 2
+    # the trigger of each string, by its start
+    at = sliding_argmin((mix(words) >> np.uint64(32)).astype(np.uint32), wide)[lead : lead + len(codes) - length + 1].astype(np.int64)
+    first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+    last = np.concatenate((first[1:], [len(at)])) - 1
+    p = at[first]
     sums = prefixes(_TABLE[codes])
-    # strings start WINDOW - 1 to 2 * WINDOW - 2 before their trigger: the bytes common to all of them
-    name = stretch(sums, p - WINDOW + 1, p - 2 * WINDOW + 2 + length)
-    whole = mix(stretch(sums, first, last + length) + ((p - first) * 1024 + (p - last)).astype(np.uint64))
+    # strings start lead to lead + wide - 1 before their trigger: the bytes common to all of them
+    name = stretch(sums, p - lead, p - lead - wide + 1 + length)
+    whole = mix(stretch(sums, first, last + length) + ((p - first) << 32 | (p - last)).astype(np.uint64))
     return name, whole, first, last
 
 
@@ -107,14 +114,22 @@ def settle(name: np.ndarray, whole: np.ndarray, apart: np.ndarray) -> tuple[np.n
 
 
 def find_anchors(length: int):
+    """Anchors of whole texts, or only of their ``runs`` (start * 2**32 + end) where there is such a column."""
+
+    def parts(data: bytes, runs) -> Iterator[tuple]:
+        for run in [len(data)] if runs is None else runs:
+            start, end = int(run) >> 32, int(run) & 0xFFFFFFFF
+            for at, codes in blocks(data[start:end], length):
+                yield *anchors(codes, length), start + at
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for ka, kb, text in zip(b["_ka"], b["_kb"], b["text"]):
-                parts = [(*anchors(codes, length), at) for at, codes in blocks(text.encode(), length)]
-                if parts:
-                    name, whole = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
-                    lo, hi = (np.concatenate([p[i] + p[4] for p in parts]) for i in (2, 3))
+            for ka, kb, text, runs in zip(b["_ka"], b["_kb"], b["text"], b["runs"] if "runs" in b else repeat(None)):
+                found = list(parts(text.encode(), runs))
+                if found:
+                    name, whole = (np.concatenate([p[i] for p in found]) for i in (0, 1))
+                    lo, hi = (np.concatenate([p[i] + p[4] for p in found]) for i in (2, 3))
                     name, times = settle(name, whole, mix(lo.astype(np.uint64)) ^ np.uint64(ka & 0xFFFFFFFFFFFFFFFF))
                     out.append((name, whole, np.full(len(lo), ka), np.full(len(lo), kb), lo, hi, times))
             if out:
@@ -124,11 +139,15 @@ def find_anchors(length: int):
     return run
 
 
-STRINGS = "name long, _ka long, _kb long, lo int, hashes array<long>"
+STRINGS = "name long, part int, _ka long, _kb long, at int, hashes array<long>"
+#: Strings of a place that travel together; equal strings stand equally far before their trigger, so they meet.
+SLICE = 32
 
 
 def expand(length: int):
-    """Hashes of the single strings of the places listed in ``open`` (name, lo, hi)."""
+    """Hashes of the single strings of the places listed in ``open`` (name, lo, hi), in slices by the distance to the trigger."""
+    wide = window(length)
+    lead = (length - wide - GRAM + 1) // 2
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -140,22 +159,48 @@ def expand(length: int):
                     own = [x for x in places if at <= x["lo"] < at + BLOCK]
                     if not own:
                         continue
-                    sums = prefixes(_TABLE[codes[at : max(x["hi"] for x in own) + length]])
+                    part = codes[at : max(x["hi"] for x in own) + length]
+                    sums = prefixes(_TABLE[part])
                     for x in own:
-                        s = np.arange(x["lo"] - at, x["hi"] - at + 1)
-                        rows.append((x["name"], ka, kb, x["lo"], stretch(sums, s, s + length).view(np.int64)))
-            yield pd.DataFrame(rows, columns=["name", "_ka", "_kb", "lo", "hashes"])
+                        lo, hi = x["lo"] - at, x["hi"] - at
+                        s = np.arange(lo, hi + 1)
+                        hashes = stretch(sums, s, s + length).view(np.int64)
+                        grams = np.lib.stride_tricks.sliding_window_view(part[lo + lead : lo + lead + wide + GRAM - 1], GRAM)
+                        order = (mix(np.ascontiguousarray(grams).view(np.uint64).ravel()) >> np.uint64(32))[::-1]
+                        # distance of the first string to the trigger, beyond the least
+                        away = wide - 1 - int(np.argmin(order))
+                        edges = [0, *range(away % SLICE + 1, hi - lo + 1, SLICE), hi - lo + 1]
+                        rows += [(x["name"], (away - i) // SLICE, ka, kb, x["lo"] + i, hashes[i:j]) for i, j in zip(edges, edges[1:])]
+            yield pd.DataFrame(rows, columns=["name", "part", "_ka", "_kb", "at", "hashes"])
 
     return run
 
 
-def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
-    """Per distinct text (key ``_ka``, ``_kb``): ``ranges``, starts of repeated strings as array of lo * 2**32 + hi, inclusive.
+def covered(ranges, length: int) -> np.ndarray:
+    """Maximal runs (start * 2**32 + end) of bytes covered by strings that start in the ranges (lo * 2**32 + hi)."""
+    packed = np.sort(np.asarray(ranges, np.int64))
+    lo, end = packed >> 32, np.maximum.accumulate((packed & 0xFFFFFFFF) + length)
+    new = np.concatenate(([True], lo[1:] > end[:-1]))
+    return lo[new] << 32 | end[np.concatenate((new[1:], [True]))]
+
+
+def spans(runs) -> list[tuple[int, int]]:
+    return [] if runs is None else [(int(x) >> 32, int(x) & 0xFFFFFFFF) for x in runs]
+
+
+def repeated_runs(docs: DataFrame, length: int, within: DataFrame | None = None) -> DataFrame:
+    """Per distinct text (key ``_ka``, ``_kb``): ``runs``, its repeated bytes as array of start * 2**32 + end, end exclusive.
 
     ``docs`` has the columns of :func:`prepared`. Texts without a repeat have no row.
+    ``within``: the result for a smaller length; only its runs are searched, as all shorter strings in a repeated one are repeated.
     """
     key = ["_ka", "_kb"]
-    found = docs.select(*key, "text").mapInPandas(find_anchors(length), ANCHORS)
+    searched = docs.select(*key, "text")
+    if within is not None:
+        long_enough = F.filter("runs", lambda r: r.bitwiseAND(0xFFFFFFFF) - F.shiftright(r, 32) >= length)
+        # doc_id comes along so that all joins read one and the same shuffle of the texts
+        searched = docs.join(within.select(*key, long_enough.alias("runs")).filter(F.size("runs") > 0), key).select("doc_id", *key, "text", "runs")
+    found = searched.mapInPandas(find_anchors(length), ANCHORS)
     same_whole, same_name = W.partitionBy("name", "whole"), W.partitionBy("name")
     counted = (
         found.withColumn("n_whole", F.sum("times").over(same_whole))
@@ -167,98 +212,103 @@ def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
     # them one place of each settled kind under the same name, as what they may be equal to
     settled = F.col("n_whole") > 1
     is_open = (F.col("n_whole") < F.col("n_name")) & (~settled | F.col("first"))
-    # ranges travel as single longs; sets, because copies of a text send the same ones
+    # ranges travel as single longs; sets, because copies of a text send the same ones. Both kinds in one
+    # column and a fixed number of partitions for the strings: so what two readers share is made once
     packed = lambda lo, hi: F.shiftleft(lo.cast("long"), 32) + hi
-    whole_place, open_place = packed(F.col("lo"), F.col("hi")), F.struct("name", "lo", "hi")
-    listed = counted.groupBy(*key).agg(F.collect_set(F.when(settled, whole_place)).alias("settled"), F.collect_list(F.when(is_open, open_place)).alias("open"))
+    place = F.struct(F.when(settled, packed(F.col("lo"), F.col("hi"))).alias("settled"), F.when(is_open, F.struct("name", "lo", "hi")).alias("open"))
+    listed = counted.groupBy(*key).agg(F.collect_set(F.when(settled | is_open, place)).alias("places"))
+    part_of = lambda what: F.transform(F.filter("places", lambda x: x[what].isNotNull()), lambda x: x[what])
     strings = (
-        docs.join(listed.filter(F.size("open") > 0).select(*key, "open"), key)
-        # doc_id comes along so that this join and the last one read one and the same shuffle of the texts
+        docs.join(listed.select(*key, part_of("open").alias("open")).filter(F.size("open") > 0), key)
         .select("doc_id", *key, "text", "open")
         .mapInPandas(expand(length), STRINGS)
-        .select("name", *key, "lo", F.posexplode("hashes").alias("i", "hash"))
-        .select("name", "hash", *key, (F.col("lo") + F.col("i")).alias("at"))
+        .repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "name", "part")
+        .select("name", "part", *key, "at", F.posexplode("hashes").alias("i", "hash"))
+        .select("name", "part", "hash", *key, (F.col("at") + F.col("i")).alias("at"))
     )
-    again = strings.withColumn("n", F.count("*").over(W.partitionBy("name", "hash"))).filter("n > 1")
+    again = strings.withColumn("n", F.count("*").over(W.partitionBy("name", "part", "hash"))).filter("n > 1")
     single = again.groupBy(*key).agg(F.collect_set(packed(F.col("at"), F.col("at"))).alias("ranges"))
-    both = listed.filter(F.size("settled") > 0).select(*key, F.col("settled").alias("ranges")).unionByName(single)
-    return both.groupBy(*key).agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    both = listed.select(*key, part_of("settled").alias("ranges")).filter(F.size("ranges") > 0).unionByName(single)
 
+    @F.pandas_udf("array<long>")
+    def merged(ranges: pd.Series) -> pd.Series:
+        return pd.Series([covered(r, length) for r in ranges], dtype=object)
 
-def covered(ranges, length: int) -> list[tuple[int, int]]:
-    """Maximal runs [start, end) of bytes covered by strings that start in the ranges (lo * 2**32 + hi)."""
-    if ranges is None or len(ranges) == 0:
-        return []
-    packed = np.sort(np.asarray(ranges, np.int64))
-    lo, end = packed >> 32, np.maximum.accumulate((packed & 0xFFFFFFFF) + length)
-    new = np.concatenate(([True], lo[1:] > end[:-1]))
-    return list(zip(lo[new].tolist(), end[np.concatenate((new[1:], [True]))].tolist()))
+    return both.groupBy(*key).agg(F.flatten(F.collect_list("ranges")).alias("ranges")).select(*key, merged("ranges").alias("runs"))
 
 
 def prepared(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).select("doc_id", "text", *text_key(F.col("text")))
 
 
-def with_ranges(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text (null as empty), ranges: starts of the document's repeated strings, null if it has none."""
+def with_runs(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, text (null as empty), runs: the document's repeated bytes (see :func:`repeated_runs`), null if it has none."""
     prepare(docs.sparkSession)
     rows = prepared(docs, doc_id, text)
-    return rows.join(repeated_ranges(rows, length), ["_ka", "_kb"], "left").select("doc_id", "text", "ranges")
+    return rows.join(repeated_runs(rows, length), ["_ka", "_kb"], "left").select("doc_id", "text", "runs")
 
 
-def with_spans(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def with_spans(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text, spans: for each document its repeated bytes as ``array<struct<start, end>>`` (UTF-8 offsets, end exclusive).
 
     Overlaps count, the document's own repeats count, matches never cross
     documents. A null text is taken as empty and, as any text shorter than
-    ``length`` bytes, has no spans; repeated rows repeat each other in full. Other
-    columns of ``docs`` are not read.
+    ``length`` bytes, has no spans; repeated rows repeat each other in full. Very long
+    texts are searched in blocks. ``length`` is ``LEAST`` bytes at least. Other
+    columns of ``docs`` are not read. An empty table gives an empty result.
     """
-
-    @F.pandas_udf("array<struct<start:int,end:int>>")
-    def merge(ranges: pd.Series) -> pd.Series:
-        return pd.Series([[{"start": a, "end": b} for a, b in covered(r, length)] for r in ranges], dtype=object)
-
-    return with_ranges(docs, length, doc_id, text).select("doc_id", "text", merge("ranges").alias("spans"))
+    as_struct = lambda r: F.struct(F.shiftright(r, 32).cast("int").alias("start"), r.bitwiseAND(0xFFFFFFFF).cast("int").alias("end"))
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    return with_runs(docs, length, doc_id, text).select("doc_id", "text", F.coalesce(F.transform("runs", as_struct), none).alias("spans"))
 
 
 DIGEST = "n_removed long, n_spans long, kept_sha256 string"
 
 
-def removal_digests(docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 of the bytes outside its spans (see :func:`with_spans`)."""
+def removal_digests(docs: DataFrame, length: int = LENGTH, passage: int = PASSAGE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 of the bytes outside its spans, n_repeated.
+
+    Spans as in :func:`with_spans`; ``n_repeated`` counts the bytes covered by repeated strings of ``passage`` bytes
+    (``length`` at most), of which only those also covered by strings of ``length`` bytes are removed.
+    """
 
     @F.pandas_udf(DIGEST)
-    def digest(texts: pd.Series, ranges: pd.Series) -> pd.DataFrame:
+    def digest(texts: pd.Series, runs: pd.Series) -> pd.DataFrame:
         rows = []
-        for t, r in zip(texts, ranges):
-            data, at, h, gone, spans = t.encode(), 0, hashlib.sha256(), 0, covered(r, length)
-            for start, end in spans:
+        for t, r in zip(texts, runs):
+            data, at, h, gone, own = t.encode(), 0, hashlib.sha256(), 0, spans(r)
+            for start, end in own:
                 h.update(data[at:start])
                 at = end
                 gone += end - start
             h.update(data[at:])
-            rows.append((gone, len(spans), h.hexdigest()))
+            rows.append((gone, len(own), h.hexdigest()))
         return pd.DataFrame(rows, columns=["n_removed", "n_spans", "kept_sha256"])
 
-    found = with_ranges(docs, length, doc_id, text)
-    return found.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), digest("text", "ranges").alias("_d")).select("doc_id", "n_bytes", "_d.*")
+    prepare(docs.sparkSession)
+    rows, key = prepared(docs, doc_id, text), ["_ka", "_kb"]
+    shorter = repeated_runs(rows, min(passage, length))
+    longer = repeated_runs(rows, length, within=shorter)
+    bytes_of = F.aggregate("shorter", F.lit(0).cast("long"), lambda n, r: n + r.bitwiseAND(0xFFFFFFFF) - F.shiftright(r, 32))
+    found = rows.join(longer, key, "left").join(shorter.withColumnRenamed("runs", "shorter"), key, "left")
+    found = found.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.coalesce(bytes_of, F.lit(0)).alias("n_repeated"), digest("text", "runs").alias("_d"))
+    return found.select("doc_id", "n_bytes", "_d.*", "n_repeated")
 
 
-def remainder(length: int = 400):
-    """Column function (text, ranges) -> the text without its repeated strings."""
+def remainder():
+    """Column function (text, runs) -> the text without its repeated strings."""
 
     @F.pandas_udf("string")
-    def run(texts: pd.Series, ranges: pd.Series) -> pd.Series:
-        return pd.Series([t if r is None else cut(t, covered(r, length)) for t, r in zip(texts, ranges)], dtype=object)
+    def run(texts: pd.Series, runs: pd.Series) -> pd.Series:
+        return pd.Series([t if r is None else cut(t, spans(r)) for t, r in zip(texts, runs)], dtype=object)
 
     return run
 
 
-def cut(text: str, spans) -> str:
+def cut(text: str, own) -> str:
     """The text without its spans; a character that a span covers only in part stays."""
     data, at, kept = text.encode(), 0, []
-    for start, end in spans:
+    for start, end in own:
         while start < len(data) and data[start] & 0xC0 == 0x80:
             start += 1
         while end > start and end < len(data) and data[end] & 0xC0 == 0x80:

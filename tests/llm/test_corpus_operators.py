@@ -120,10 +120,22 @@ def repeat_rows(spark):
 def test_repeats_against_brute_force(spark, monkeypatch):
     rows = repeat_rows(spark)
     want = brute_repeats(rows, 400)
-    assert sorted(map(str, map(tuple, repeats.removal_digests(frame(spark, rows)).collect()))) == want
+    got = repeats.removal_digests(frame(spark, rows)).collect()
+    assert sorted(str(tuple(r)[:5]) for r in got) == want
+    assert sorted(str((r.doc_id, r.n_bytes, r.n_repeated)) for r in got) == sorted(str(eval(w)[:3]) for w in brute_repeats(rows, 240))
     assert repeats.removal_digests(frame(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("length", [64, 150, 241])
+def test_repeats_of_other_lengths(spark, length):
+    rows = [(i, t) for i, (_, t) in enumerate(repeat_rows(spark))]
+    want = {eval(w)[0]: eval(w)[2:4] for w in brute_repeats(rows, length)}
+    got = {r.doc_id: (sum(s.end - s.start for s in r.spans), len(r.spans)) for r in repeats.with_spans(frame(spark, rows), length).collect()}
+    assert got == want
+    with pytest.raises(ValueError):
+        repeats.with_spans(frame(spark, rows), repeats.LEAST - 1)
+
+
 def test_repeats_block_by_block(spark):
     # blocks don't change what is found: anchors of a text cut in small blocks equal those of the whole
     random.seed(6)
