@@ -39,12 +39,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeat_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their repeated strings of 400 bytes; ``n_chars`` follows, null texts stay null. All rows stay."""
+    """Documents without their repeated strings of ``repeats.PASSAGE`` bytes; ``n_chars`` follows, null texts stay null. All rows stay."""
     prepare(spark)
     others = F.struct(F.col("text").isNull().alias("__null"), *[c for c in docs.columns if c != "text"])
-    found = repeats.with_ranges(docs.select(others.alias("_o"), "text"), doc_id="_o").withColumnRenamed("doc_id", "_o")
+    found = repeats.with_runs(docs.select(others.alias("_o"), "text"), repeats.PASSAGE, doc_id="_o").withColumnRenamed("doc_id", "_o")
     # the length tells whether anything went: a cut text is never as long
-    new = found.withColumn("_new", repeats.remainder()("text", "ranges"))
+    new = found.withColumn("_new", repeats.remainder()("text", "runs"))
     columns = {
         "text": F.when(~F.col("_o.__null"), F.col("_new")),
         "n_chars": F.when(F.char_length("_new") == F.char_length("text"), F.col("_o.n_chars")).otherwise(F.char_length("_new").cast("long")),
