@@ -236,15 +236,68 @@ def test_passages_behind_long_unshared_text(spark):
     assert got == {d: d // 10 * 10 for d, _ in rows}
 
 
-def test_all_joined_intervals_of_a_pair_are_searched(spark):
-    # three functions agree on stretches whose texts differ, and the pair's one true passage lies elsewhere in the joined interval
+def test_common_starts():
+    rng = np.random.default_rng(4)
+    for _ in range(100):
+        n = int(rng.integers(1, 12))
+        pair = np.sort(rng.integers(0, 3, n))
+        a = rng.integers(0, 30, n)
+        b = a + rng.integers(0, 10, n)
+        shift = rng.integers(-40, 40, n)
+        got = set()
+        for p, base, start, end, most, peak in zip(*passages.common_starts(pair, a, b, shift, 2)):
+            own = [(x, y) for q, x, y, s in zip(pair, a, b, shift) if q == p and base <= s < base + passages.SHIFT]
+            counts = [sum(x <= i <= y for x, y in own) for i in range(start, end)]
+            assert min(counts) >= 2 and max(counts) == most == counts[peak - start]
+            got |= {(p, i) for i in range(start, end)}
+        want = set()
+        for i in range(n):
+            for j in range(i):
+                if pair[i] == pair[j] and abs(shift[i] - shift[j]) <= passages.SHIFT // 2:
+                    want |= {(pair[i], k) for k in range(max(a[i], a[j]), min(b[i], b[j]) + 1)}
+        assert want <= got
+
+
+def test_every_candidate_start_is_searched(spark, monkeypatch):
+    # the starts tried first hold nothing: the pair is found by its other candidates, broadcast or not
     random.seed(3)
     some = lambda n: " ".join(f"w{random.randrange(10**6)}" for _ in range(n))
     p = some(60)
-    rows = spark.createDataFrame([(1, 1, f"{some(600)} {p} {some(300)}"), (2, 2, f"{some(600)} {p} {some(300)}")], "doc_id long, dk long, text string")
-    kept, joined = passages.common_passages([(0, 100, 900, 0, j) for j in range(5)], 46, 5, 3)
-    assert joined == [(0, 901, 0)] and kept == [(32, 137, 0)]
-    pairs = lambda pieces: spark.createDataFrame([(1, at, n, 2, at, n) for at, n in pieces], "first long, first_at int, first_n int, dk long, at int, n int")
-    assert passages.verified(rows, pairs([(32, 137)]), 5, 46, 0.8).count() == 0
-    found = passages.verified(rows, passages.pieces(spark.createDataFrame([(1, 0, 901, 2, 0, 901)], "first long, first_at int, first_n int, dk long, at int, n int"), 46), 5, 46, 0.8).collect()
-    assert found and all(r.at < 656 and r.at + r.n > 600 for r in found)
+    rows = spark.createDataFrame([(1, f"{some(600)} {p} {some(300)}"), (2, f"{some(600)} {p} {some(300)}")], "dk long, text string")
+    runs = spark.createDataFrame([(1, 0, 901, 2, 0, 901)], "first long, first_at int, first_n int, dk long, at int, n int")
+    assert passages.verified(rows, runs.selectExpr("first", "0 as first_at", "137 as first_n", "dk", "32 as at", "137 as n"), 5, 46, 0.8).count() == 0
+    for few in (True, False):
+        assert passages.verified(rows, passages.pieces(runs, 46), 5, 46, 0.8, few).collect() == [(1, 2)]
+
+
+def test_recall_of_edited_passages(spark):
+    # 80 words with one word changed in the middle: brute force finds a passage of 50 words at similarity 0.8 in each pair
+    random.seed(12)
+    vocab = [f"w{i}" for i in range(50000)]
+    some = lambda n: [random.choice(vocab) for _ in range(n)]
+    rows = []
+    for i in range(600):
+        p = some(80)
+        q = list(p)
+        q[40] = "changed"
+        rows += [(2 * i + k, " ".join(some(random.randint(0, 150)) + x + some(random.randint(0, 150)))) for k, x in enumerate((p, q))]
+
+    def sets(t):
+        w = t.split()
+        s = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+        return [set(s[i : i + 46]) for i in range(len(s) - 45)]
+
+    for i in random.sample(range(600), 20):
+        assert any(len(a & b) / len(a | b) >= 0.8 for a in sets(rows[2 * i][1]) for b in sets(rows[2 * i + 1][1]))
+    got = {r.doc_id: r.class_id for r in passages.near_duplicate_passages(frame(spark, rows)).collect()}
+    assert all(got[d] in (d, d // 2 * 2) for d in got)
+    assert sum(got[2 * i + 1] == 2 * i for i in range(600)) >= 0.95 * 600
+
+
+def test_links_and_copies_are_counted(spark):
+    random.seed(5)
+    some = lambda n: " ".join(f"w{random.randrange(10**6)}" for _ in range(n))
+    p, alone = some(70), some(90)
+    rows = [(1, p + " " + some(30)), (2, some(30) + " " + p), (3, alone), (4, alone), (5, alone), (6, some(80)), (7, "short text"), (8, "short text"), (9, None)]
+    got = {r.doc_id: (r.class_id, r.n_links, r.n_copies) for r in passages.near_duplicate_passages(frame(spark, rows)).collect()}
+    assert got == {1: (1, 1, 0), 2: (1, 1, 0), 3: (3, 2, 2), 4: (3, 2, 2), 5: (3, 2, 2), 6: (6, 0, 0), 7: (7, 0, 0), 8: (8, 0, 0), 9: (9, 0, 0)}
