@@ -139,54 +139,71 @@ def least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def forest(prefix_bits: int, radius: int):
-    """Spanning forest of the collisions among one task's rows (bucket, left, fp)."""
+    """Links among one task's rows (bucket, left, fp), which come in order of their buckets.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [(b.column("bucket").to_numpy(), b.column("left").to_numpy(), b.column("fp").to_numpy()) for b in batches if b.num_rows]
-        if not parts:
-            return
-        bucket, left, fp = (np.concatenate(x) for x in zip(*parts))
+    Whole buckets go through memory together, up to about SLAB words, and each lot sends on a spanning forest of its collisions.
+    """
+    low = 64 - prefix_bits
+    sizes = np.array([len(mask_array(low, r)) for r in range(radius // 2 + 1)])
+
+    def lot(bucket: np.ndarray, left: np.ndarray, fp: np.ndarray) -> pa.RecordBatch | None:
         fps, owner = np.unique(fp, return_inverse=True)
-        order = np.argsort(bucket, kind="stable")
-        bucket, left, owner = bucket[order].astype(np.int64), left[order].astype(np.int64), owner[order]
-        low = 64 - prefix_bits
-        words = (bucket.astype(np.uint64) << np.uint64(low)) | (fps.view(np.uint64)[owner] & np.uint64((1 << low) - 1))
-        # whole buckets together, up to SLAB words
-        sizes = np.array([len(mask_array(low, r)) for r in range(radius // 2 + 1)])[left]
-        total = np.cumsum(sizes)
-        starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-        ends = np.append(starts[1:], len(bucket))
-        edges_a, edges_b, at = [], [], 0
-        while at < len(starts):
-            first = starts[at]
-            goal = (total[first - 1] if first else 0) + SLAB
-            to = max(at + 1, int(np.searchsorted(total[ends - 1], goal, side="right")))
-            s = slice(first, ends[to - 1])
-            at = to
-            if s.stop - s.start > 1:
-                for a, b in collisions(words[s], left[s], owner[s], low):
-                    near = np.bitwise_count(fps.view(np.uint64)[a] ^ fps.view(np.uint64)[b]) <= radius
-                    pairs = np.unique(np.minimum(a, b)[near] * np.int64(len(fps)) + np.maximum(a, b)[near])
-                    edges_a.append(pairs // len(fps))
-                    edges_b.append(pairs % len(fps))
-        if edges_a:
-            label = least_labels(len(fps), np.concatenate(edges_a), np.concatenate(edges_b))
-            moved = np.flatnonzero(label != np.arange(len(fps)))
-            yield pa.RecordBatch.from_arrays([pa.array(fps[moved]), pa.array(fps[label[moved]])], names=["a", "b"])
+        words = (bucket.astype(np.uint64) << np.uint64(low)) | (fp.view(np.uint64) & np.uint64((1 << low) - 1))
+        edges = []
+        for a, b in collisions(words, left, owner, low):
+            near = np.bitwise_count(fps.view(np.uint64)[a] ^ fps.view(np.uint64)[b]) <= radius
+            edges.append(np.unique(np.minimum(a, b)[near] * np.int64(len(fps)) + np.maximum(a, b)[near]))
+        pairs = np.concatenate(edges) if edges else np.zeros(0, np.int64)
+        if not len(pairs):
+            return None
+        label = least_labels(len(fps), pairs // len(fps), pairs % len(fps))
+        moved = np.flatnonzero(label != np.arange(len(fps)))
+        return pa.RecordBatch.from_arrays([pa.array(fps[moved]), pa.array(fps[label[moved]])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        waiting = 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            now = b.column("bucket").to_numpy().astype(np.int64), b.column("left").to_numpy().astype(np.int64), b.column("fp").to_numpy()
+            held.append(now)
+            waiting += int(sizes[now[1]].sum())
+            if waiting >= SLAB:
+                bucket, left, fp = (np.concatenate(x) for x in zip(*held))
+                # the last bucket may go on
+                cut = int(np.searchsorted(bucket, bucket[-1]))
+                if cut:
+                    found = lot(bucket[:cut], left[:cut], fp[:cut])
+                    if found is not None:
+                        yield found
+                held = [(bucket[cut:], left[cut:], fp[cut:])]
+                waiting = int(sizes[left[cut:]].sum())
+        if held:
+            found = lot(*(np.concatenate(x) for x in zip(*held)))
+            if found is not None:
+                yield found
 
     return run
 
 
-def link_forest(fps: DataFrame, radius: int = RADIUS, prefix: int = PREFIX) -> DataFrame:
+def prefix_for(n: int) -> int:
+    """Bits by which words are dealt for ``n`` fingerprints, so that a bucket holds about 100,000 rows at most: PREFIX or more, 32 at most."""
+    return min(32, max(PREFIX, n.bit_length() - 9))
+
+
+def link_forest(fps: DataFrame, radius: int = RADIUS, prefix: int | None = None) -> DataFrame:
     """Edges (a, b) that join all distinct fingerprints (column ``fp``) within ``radius`` bits, and no others."""
+    prefix = prefix or prefix_for(fps.count())
     cover = masks(prefix, radius // 2)
-    spread = F.explode(F.array(*[F.struct(F.lit(m).alias("m"), F.lit(radius // 2 - m.bit_count()).alias("left")) for m in cover]))
-    dealt = fps.select("fp", spread.alias("s")).select(F.shiftrightunsigned("fp", 64 - prefix).bitwiseXOR(F.col("s.m").cast("long")).alias("bucket"), "s.left", "fp")
+    spread = F.explode(F.array(*[F.struct(F.lit(m).cast("long").alias("m"), F.lit(radius // 2 - m.bit_count()).alias("left")) for m in cover]))
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(n, "bucket").mapInArrow(forest(prefix, radius), "a long, b long")
+    # a fixed number of partitions: few fingerprints become many rows
+    dealt = fps.select("fp").repartition(n, "fp").select("fp", spread.alias("s")).select(F.shiftrightunsigned("fp", 64 - prefix).bitwiseXOR(F.col("s.m")).alias("bucket"), "s.left", "fp")
+    return dealt.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(forest(prefix, radius), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE, prefix: int = PREFIX, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE, prefix: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, fp (signed long), component_id (least doc_id reachable over links, itself included).
 
     Documents with equal fingerprints, wordless and null texts among them (0), are
