@@ -15,24 +15,26 @@ first met and kept in a bounded table (dropped and refilled beyond the bound).
 
 A chunk of text maps any entry state to an exit state and a count; as every unit
 starts afresh, the map is (text before the first unit, count of whole units,
-last open unit). The maps compose associatively, so chunks of a long text can
-be counted on their own and put together by a prefix scan.
+last open unit). The maps compose associatively. Texts beyond ``LONG`` characters are dealt out
+in chunks, whose maps are made in parallel and put together by a prefix scan: a tree of
+compositions, not a chain. A chunk without a unit start passes its text on as part of a unit, which the
+machine reads once when the unit is whole.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.runtime import prepare
+from tessera.llm.runtime import prepare, text_key
 
 SPACE = "▁"
 CHUNK = 1 << 16
+LONG = 1 << 17
 MAX_STATES = 400_000
 MAX_UNITS = 3 << 18
 NOWHERE = ("", 0)
@@ -162,19 +164,30 @@ class Transducer:
             return a[0] + b[0], b[1], b[2]
         return a[0], a[1] + self.unit(a[2] + b[0]) + b[1], b[2]
 
+    def scan(self, maps: list[tuple]) -> list[tuple]:
+        """Inclusive prefix scan of chunk maps: pairs are composed, their scan taken, and the maps between filled in."""
+        if len(maps) < 2:
+            return maps
+        paired = self.scan([self.compose(a, b) for a, b in zip(maps[::2], maps[1::2])])
+        return [maps[0], *(paired[k // 2] if k % 2 else self.compose(paired[k // 2 - 1], maps[k]) for k in range(1, len(maps)))]
+
+    def end(self, maps: list[tuple]) -> int:
+        """Tokens of the text whose chunks have these maps, in order."""
+        head, total, last = self.scan(maps)[-1]
+        return (self.unit(head) if head else 0) + total + (self.unit(last) if last else 0)
+
     def count(self, text: str) -> int:
         """Tokens of a whole text: its chunks' maps composed, entered at the dummy space of a text's start."""
-        if not text:
-            return 0
-        marked = SPACE + text.replace(" ", SPACE)
-        maps = [self.chunk(p) for p in chunks(marked)]
-        head, total, last = reduce(self.compose, maps)
-        return (self.unit(head) if head else 0) + total + (self.unit(last) if last else 0)
+        return self.end([self.chunk(p) for p in chunks(marked(text))]) if text else 0
 
 
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 
+def marked(text: str) -> str:
+    return SPACE + text.replace(" ", SPACE)
+
+
 def chunks(marked: str, size: int = CHUNK) -> list[str]:
     """Pieces of about ``size`` characters, never cut behind a ``▁``, so that a run of spaces stays with what follows."""
     out, at = [], 0
@@ -205,13 +218,46 @@ def token_count(text: Column, path: str) -> Column:
     return counts(text)
 
 
+def long_counts(docs: DataFrame, path: str) -> DataFrame:
+    """_ka, _kb, n_tokens of the distinct texts of ``docs`` (_ka, _kb, text), chunk by chunk on all executors."""
+    key = ["_ka", "_kb"]
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for a, c, t in zip(b["_ka"], b["_kb"], b["text"]):
+                parts = chunks(marked(t))
+                yield pd.DataFrame({"_ka": a, "_kb": c, "no": range(len(parts)), "chunk": parts})
+
+    @F.pandas_udf("struct<head:string,total:long,last:string>")
+    def mapped(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        machine = load(path)
+        for s in parts:
+            yield pd.DataFrame([machine.chunk(p) for p in s], columns=["head", "total", "last"]).astype({"last": object})
+
+    @F.pandas_udf("long")
+    def composed(maps: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        machine = load(path)
+        for s in maps:
+            yield pd.Series([machine.end([(m["head"], m["total"], m["last"]) for m in own]) for own in s], dtype="int64")
+
+    dealt = docs.dropDuplicates(key).mapInPandas(cut, "_ka long, _kb long, no int, chunk string").repartition(*key, "no")
+    maps = dealt.select(*key, "no", mapped("chunk").alias("m")).groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("no", "m"))).alias("maps"))
+    return maps.select(*key, composed(F.transform("maps", lambda x: x["m"])).alias("n_tokens"))
+
+
 def count_tokens(docs: DataFrame, path: str, limit: int = 4096, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit).
 
     Rows are independent: repeated rows give repeated results; null texts count as
-    empty; other columns of ``docs`` are not read.
+    empty; texts beyond LONG characters are counted in chunks, each distinct one once; other columns of ``docs``
+    are not read. An empty table gives an empty result.
     """
     prepare(docs.sparkSession)
-    t = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.octet_length(t).cast("long").alias("n_bytes"), token_count(F.col(text), path).alias("n_tokens"))
-    return rows.withColumn("over_limit", F.col("n_tokens") > limit)
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    size = F.octet_length("text").cast("long").alias("n_bytes")
+    is_long = F.char_length("text") > LONG
+    counted = rows.filter(~is_long).select("doc_id", size, token_count(F.col("text"), path).alias("n_tokens"))
+    long_rows = rows.filter(is_long).select("doc_id", size, "text", *text_key(F.col("text")))
+    found = long_counts(long_rows.select("_ka", "_kb", "text"), path)
+    counted = counted.unionByName(long_rows.select("doc_id", "n_bytes", "_ka", "_kb").join(found, ["_ka", "_kb"]).drop("_ka", "_kb"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > limit)
