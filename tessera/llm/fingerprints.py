@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.rolling import distinct_runs, mix, prefixes, sliding_argmin, stretch
-from tessera.llm.runtime import prepare
+from tessera.llm.runtime import cuts, prepare
 
 GRAM = 12
 WINDOW = 20
@@ -72,27 +72,27 @@ def fingerprint(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
 
 
 def ranges(docs: DataFrame, doc_id: str) -> tuple[Column, list[tuple]]:
-    """Range number of a row by descending id, and for each range in order its first id (numeric, or null).
+    """Range number of a row by descending id, and for each range in order its first id (any type with an order, or null).
 
     The cuts are approximate quantiles, one per ROWS_PER_RANGE rows, at most
     MAX_RANGES; only they and the first ids reach the driver.
     """
     n = docs.count()
     bins = min(MAX_RANGES, n // ROWS_PER_RANGE + 1)
-    cuts = sorted(set((docs.agg(F.percentile_approx(doc_id, [i / bins for i in range(1, bins)], 10 * bins)).first()[0] or []) if bins > 1 else []))
-    side = max(1, int(len(cuts) ** 0.5))
-    groups = [cuts[i : i + side] for i in range(0, len(cuts), side)]
+    found = sorted(set(cuts(docs, doc_id, bins)))
+    side = max(1, int(len(found) ** 0.5))
+    groups = [found[i : i + side] for i in range(0, len(found), side)]
     value = F.col(doc_id)
     below = lambda values: F.size(F.filter(values, lambda c: c < value))
-    if not cuts:
+    if not found:
         number = F.lit(0)
     else:
         group = below(F.array(*[F.lit(g[-1]) for g in groups]))
         inside = F.get(F.array(*[F.array(*map(F.lit, g)) for g in groups]), group)
-        number = F.lit(len(cuts)) - (group * side + F.when(inside.isNull(), 0).otherwise(below(inside)))
-        number = F.when(value.isNull(), len(cuts)).otherwise(number)
-    found = docs.select(value.alias("id"), number.alias("range")).groupBy("range").agg(F.max("id").alias("head"))
-    return number, sorted((r["range"], r["head"]) for r in found.collect())
+        number = F.lit(len(found)) - (group * side + F.when(inside.isNull(), 0).otherwise(below(inside)))
+        number = F.when(value.isNull(), len(found)).otherwise(number)
+    heads = docs.select(value.alias("id"), number.alias("range")).groupBy("range").agg(F.max("id").alias("head"))
+    return number, sorted((r["range"], r["head"]) for r in heads.collect())
 
 
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -38,10 +38,12 @@ def prepare(spark: SparkSession, batch_rows: int = BATCH_ROWS) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder of ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """Use the shared folder of ``spark.checkpoint.dir``; a temporary one only where it is unset and all tasks run in this process (tests)."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
 
 
@@ -55,3 +57,22 @@ def text_key(text) -> list:
     """128-bit key of a text as two columns ``_ka`` and ``_kb``; equal texts have equal keys, null counts as empty."""
     t = F.coalesce(text, F.lit(""))
     return [F.xxhash64(t).alias("_ka"), F.xxhash64(F.lit(7), t).alias("_kb")]
+
+
+SAMPLE_ROWS = 50_000
+
+
+def cuts(df: DataFrame, column: str, bins: int) -> list:
+    """Values that cut the rows into about ``bins`` ranges of equal size, ascending; a value that fills whole ranges stands repeatedly.
+
+    Numbers: approximate quantiles. Other types: quantiles of the SAMPLE_ROWS rows with the least hashes. Cuts
+    balance the work and nothing else, so a sample will do.
+    """
+    if bins < 2:
+        return []
+    if dict(df.select(F.col(column).alias("c")).dtypes)["c"] in ("tinyint", "smallint", "int", "bigint", "float", "double"):
+        return df.agg(F.percentile_approx(column, [i / bins for i in range(1, bins)], 10 * bins)).first()[0] or []
+    others = [F.col(c) for c, kind in df.dtypes if not kind.startswith("map")]
+    rows = df.filter(F.col(column).isNotNull()).select(F.col(column).alias("c"), F.xxhash64(*others).alias("h")).orderBy("h").limit(SAMPLE_ROWS)
+    found = rows.agg(F.sort_array(F.collect_list("c")).alias("all")).select(F.array(*[F.get("all", F.floor(F.size("all") * (i / bins)).cast("int")) for i in range(1, bins)]).alias("cuts")).first()[0]
+    return [c for c in found if c is not None]

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tessera.llm.runtime import cuts
+
 ROUNDS = 6
 WALKS = 48
 
@@ -64,27 +66,34 @@ def inverse(place: Column, n: Column, key: int = 0) -> Column:
     return _walk(place.cast("long"), n.cast("long"), key, True)
 
 
-def number_rows(df: DataFrame, order: list[str], side: int = 32) -> DataFrame:
+def number_rows(df: DataFrame, order: list[str], uniform: str | None = None, side: int = 32, parts: int = 64) -> DataFrame:
     """``df`` with ``_row`` (0..n-1 in the order of the columns) and ``_n``, without a single-task sort.
 
-    The first ordering column is cut at approximate quantiles (at most side**2 - 1
-    values fetched) into ranges; rows are ranked inside each range, and the ranges'
-    row counts, a table of at most side**2 rows, are added up. Null orders first;
+    The first ordering column, of any type with an order, is cut at approximate quantiles (at most side**2 - 1
+    values fetched) into ranges; a value that fills whole ranges gets one of its own, which is dealt to ``parts`` further ones by
+    ``uniform``, the second ordering column, if that is spread evenly over 0..2**32-1. Rows are ranked inside each range, and the ranges'
+    row counts, a table of at most 2 * side**2 * parts rows, are added up. Null orders first;
     rows equal in all columns get any of their numbers.
     """
     first = F.col(order[0])
-    bins = side * side
-    cuts = df.agg(F.percentile_approx(first, [i / bins for i in range(1, bins)], 10 * bins)).first()[0] or []
-    cuts = sorted(set(cuts))
-    groups = [cuts[i : i + side] for i in range(0, len(cuts), side)] or [[]]
+    found = cuts(df, order[0], side * side)
+    hot = sorted({c for c, d in zip(found, found[1:]) if c == d})
+    values = sorted(set(found))
+    groups = [values[i : i + side] for i in range(0, len(values), side)] or [[]]
     below = lambda values: F.size(F.filter(F.array(*map(F.lit, values)), lambda c: c < first)) if values else F.lit(0)
     # two levels of comparisons: the group by the groups' last cuts, then the cut inside the group
     group = below([g[-1] for g in groups if g])
     inside = F.lit(0)
-    if cuts:
+    if values:
         inner = F.array(*[F.array(*map(F.lit, g)) for g in groups])
         inside = F.coalesce(F.size(F.filter(F.get(inner, group), lambda c: c < first)), F.lit(0))
-    binned = df.withColumn("_bin", F.when(first.isNull(), 0).otherwise(group * side + F.greatest(inside, F.lit(0))))
+    range_ = F.when(first.isNull(), 0).otherwise(group * side + F.greatest(inside, F.lit(0)) + 1)
+    part = F.lit(0)
+    if hot:
+        # a cut is the greatest value of its range: it goes behind the others, in order of the second column
+        split = F.floor(F.coalesce(F.col(uniform), F.lit(0)) / ((1 << 32) // parts)).cast("int") if uniform else F.lit(0)
+        part = F.when(first.isin(hot), 1 + split).otherwise(0)
+    binned = df.withColumn("_bin", range_ * (parts + 1) + part)
     sizes = binned.groupBy("_bin").agg(F.count("*").alias("_c"))
     sizes = sizes.select("_bin", (F.sum("_c").over(W.orderBy("_bin")) - F.col("_c")).alias("_before"), F.sum("_c").over(W.partitionBy(F.lit(0))).alias("_n"))
     ranked = binned.withColumn("_rank", F.row_number().over(W.partitionBy("_bin").orderBy(*[F.col(c).asc_nulls_first() for c in order])))
@@ -102,7 +111,7 @@ def shard(docs: DataFrame, shards: int = 16, key: int = 0, doc_id: str = "doc_id
     """
     t = F.col(text).cast("binary")
     rows = docs.select(F.col(doc_id).alias("doc_id"), (F.coalesce(F.octet_length(t), F.lit(0)) + 1).cast("long").alias("size"), F.crc32(t).alias("text_crc32"))
-    placed = number_rows(rows, ["doc_id", "text_crc32", "size"]).withColumn("_p", permute(F.col("_row"), F.col("_n"), key))
+    placed = number_rows(rows, ["doc_id", "text_crc32", "size"], uniform="text_crc32").withColumn("_p", permute(F.col("_row"), F.col("_n"), key))
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"),
         F.pmod("_p", F.lit(shards)).cast("int").alias("shard"), F.floor(F.col("_p") / shards).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),

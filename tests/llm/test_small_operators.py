@@ -39,6 +39,27 @@ def test_token_counts(spark):
             assert (r.n_tokens, r.n_bytes, r.over_limit) == (len(lib.encode(t)), len(t.encode()), len(lib.encode(t)) > 4096)
 
 
+def test_long_texts_are_counted_in_chunks(spark, monkeypatch):
+    import sentencepiece as sp
+
+    monkeypatch.setattr(token_counts, "LONG", 400)
+    lib = sp.SentencePieceProcessor(model_file=PIECE)
+    big = "word and more  " * 30000
+    rows = [*((i, t) for i, t in enumerate([*ODD, "x" * 1000, " " * 900, big, big, "é" * 70000])), (None, big)]
+    got = sorted(str((r.doc_id, r.n_tokens)) for r in token_counts.count_tokens(spark.createDataFrame(rows, "doc_id long, text string"), PIECE).collect())
+    assert got == sorted(str((i, len(lib.encode(t or "")))) for i, t in rows)
+    assert token_counts.count_tokens(real_docs(spark).limit(0), PIECE).count() == 0
+
+
+def test_scan_is_all_prefixes():
+    m = token_counts.load(PIECE)
+    maps = [m.chunk(c) for c in token_counts.chunks(token_counts.marked("some words to be counted in very small chunks, onebyone"), 4)]
+    left = maps[0]
+    for k, x in enumerate(m.scan(maps)):
+        left = m.compose(left, maps[k]) if k else left
+        assert x == left
+
+
 def test_transducer_equals_library_on_random_texts_and_chunks():
     m = token_counts.load(PIECE)
     random.seed(2)
@@ -100,6 +121,52 @@ def test_feistel_is_a_permutation(spark, n):
     assert sorted(r.p for r in rows) == list(range(n)) and all(r.i == r.id for r in rows)
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_sharding_places_every_row_by_its_number(spark, kind):
+    # a third of the rows under one id, nulls, repeated rows; places are computed again from sorted rows
+    random.seed(7)
+    ids = [None] * 20 + [7] * 500 + [random.randint(-50, 900) for _ in range(980)]
+    rows = [(i, random.choice([None, "", "a", f"t{random.randint(0, 10**6)}"])) for i in ids]
+    rows = [(i if kind == "long" or i is None else f"k{i}", t) for i, t in rows]
+    docs = spark.createDataFrame(rows, f"doc_id {kind}, text string").repartition(5)
+    got = sharding.shard(docs, 16, key=3).collect()
+    keyed = lambda i, c, s: (i is not None, i if i is not None else 0, c is not None, c or 0, s)
+    order = sorted(((i, None if t is None else zlib.crc32(t.encode()), len((t or "").encode()) + 1) for i, t in rows), key=lambda r: keyed(*r))
+    n = len(rows)
+    places = [r.p for r in spark.range(n).select("id", sharding.permute(F.col("id"), F.lit(n), 3).alias("p")).orderBy("id").collect()]
+    want = sorted(str((*r, p % 16, p // 16)) for r, p in zip(order, places))
+    assert sorted(str((r.doc_id, r.text_crc32, r.size, r.shard, r.slot)) for r in got) == want
+    assert sharding.shard(docs.limit(0)).count() == 0
+
+
+def test_language_id_against_brute_force(spark):
+    from collections import Counter
+
+    docs = real_docs(spark).limit(60)
+    profiles = langid.fit(real_docs(spark), ranks=50)
+
+    def grams(t):
+        words = "".join(c if c.isalpha() else " " for c in t.lower()).split()
+        out = []
+        for w in words:
+            padded = f" {w} "
+            out += [*w, *zip(padded, padded[1:]), *zip(padded, padded[1:], padded[2:])]
+        return Counter(map(tuple, out))
+
+    def code(g):
+        n = [ord(c) if c != " " else 0 for c in g]
+        return {1: lambda: n[0] | int(langid._ONE), 2: lambda: n[0] << 21 | n[1] | int(langid._TWO), 3: lambda: n[0] << 42 | n[1] << 21 | n[2]}[len(n)]()
+
+    rank = {name: {c & (1 << 64) - 1: k for k, c in enumerate(codes)} for name, codes in profiles}
+    for r in docs.select("text", langid.predict(F.col("text"), profiles, 50).alias("p")).collect():
+        mine = [g for g, _ in sorted(((code(g), -n) for g, n in grams(r.text or "").items()), key=lambda x: (x[1], x[0]))[:50]]
+        if not mine:
+            assert r.p.lang == "und"
+            continue
+        away = {name: sum(min(abs(k - known[g]), 50) if g in known else 50 for k, g in enumerate(mine)) for name, known in rank.items()}
+        assert away[r.p.lang] == min(away.values()) and abs(r.p.score - (1 - away[r.p.lang] / (50 * len(mine)))) < 1e-9
+
+
 def test_language_id(spark):
     docs = real_docs(spark)
     got = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
@@ -144,6 +211,47 @@ def test_decontamination_against_brute_force(spark):
     assert decontaminate.leaking_pairs(docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_sketches_beside_small_items(spark, monkeypatch):
+    # items of all sizes, with ids that are strings; documents are sketched although small items are sought
+    random.seed(9)
+    vocab = [f"v{i}" for i in range(400)]
+    some = lambda n: " ".join(random.choice(vocab) for _ in range(n))
+    items = [(f"i{k}", some(random.choice([1, 3, 5, 8, 14, 17, 40, 90]))) for k in range(60)] + [(None, some(30)), ("i0", some(20))]
+    texts = [(f"d{k}", f"{some(random.randint(0, 900))} {items[k % 62][1]} {some(random.randint(0, 900))}") for k in range(80)] + [(None, None), ("e", "")]
+
+    def brute():
+        out = []
+        for d, t in texts:
+            w = decontaminate.words(t or "")
+            for i, x in items:
+                iw = decontaminate.words(x)
+                k = min(5, len(iw))
+                own, there = ({tuple(v[j : j + k]) for j in range(len(v) - k + 1)} for v in (iw, w))
+                if len(own & there) >= 0.8 * len(own):
+                    out.append(str((d, i, len(own & there), len(own))))
+        return sorted(out)
+
+    docs, bench = spark.createDataFrame(texts, "doc_id string, text string"), spark.createDataFrame(items, "item_id string, text string")
+    want = brute()
+    for most in (decontaminate.BLOCK_ITEMS, 10):
+        monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", most)
+        assert sorted(str(tuple(r)[:4]) for r in decontaminate.leaking_pairs(docs, bench).collect()) == want
+    block = decontaminate.Items(items, 5, 0.8)
+    h = decontaminate.shingle_hashes(decontaminate.word_hashes(texts[0][1]), 5)
+    cls = decontaminate.size_class(len(h))
+    assert 0 < len(decontaminate.minima(h, decontaminate.bits(cls))) < len(h)
+    own = {k for k, x in enumerate(block.hashes) if len(x) > decontaminate.SMALL and block.sizes[k] == 5}
+    assert own and set(block.table(5, cls)[2].tolist()) <= own
+
+
+def test_least_class_is_where_minima_begin():
+    rng = np.random.default_rng(3)
+    h = np.unique(rng.integers(0, 1 << 63, 200, dtype=np.uint64) * np.uint64(2))
+    least = decontaminate.least_class(h)
+    for cls in range(20):
+        assert h[least <= cls].tolist() == decontaminate.minima(h, decontaminate.bits(cls)).tolist()
+
+
 def test_decontamination_in_blocks(spark, monkeypatch):
     docs, bench = real_docs(spark), spark.read.parquet(f"{SF}/benchmark.parquet")
     want = {tuple(r) for r in decontaminate.leaking_pairs(docs, bench).collect()}
