@@ -66,3 +66,32 @@ def filler(kind: str, length: int, supported: bool) -> Column:
 def level_labels(index: Column, labels: list[str]) -> Column:
     """Label of a level number; unknown numbers give '-1'."""
     return F.coalesce(F.get(F.array(*map(F.lit, labels)), index), F.lit("-1"))
+
+
+def relationship_or_facility(relationship: Column, facility: Column, size: Column, relatives: int, facilities: list[str]) -> Column:
+    """One code for how a person lives: 0 householder alone, 1 householder with others, 2.. other relationships, then one for each kind of facility.
+
+    ``relationship`` counts from 0, the householder, to ``relatives``; ``facility`` is null in households; ``size`` is the
+    number of persons in the unit. Others: null.
+    """
+    where = F.array_position(F.array(*map(F.lit, facilities)), facility)
+    kin = F.when(relationship == 0, F.when(size == 1, 0).otherwise(1)).when(relationship.between(1, relatives), 1 + relationship)
+    return F.when(facility.isNull(), kin).when(where > 0, relatives + 1 + where).cast("int")
+
+
+def packed(flags: list[Column], sizes: list[int]) -> Column:
+    """Mixed-radix number of several small codes, the first the most significant: the key of a lookup table."""
+    out = F.lit(0)
+    for flag, size in zip(flags, sizes):
+        out = out * size + flag
+    return out
+
+
+def by_table(frame: DataFrame, key: Column, table: DataFrame, code: str, out: str) -> DataFrame:
+    """``out``: code of each row's key in a table (key, code) of schema size; null where the table lacks it."""
+    return frame.withColumn("_key", key).join(F.broadcast(table.select(F.col("key").alias("_key"), F.col(code).alias(out))), "_key", "left").drop("_key")
+
+
+def origin_and_race(hispanic: Column, race: Column, races: int) -> Column:
+    """Two-way code: race, and race + ``races`` for those of the origin; null outside."""
+    return F.when(race.between(0, races - 1) & hispanic.isin(0, 1), hispanic * races + race).cast("int")

@@ -52,11 +52,12 @@ def combine(left: DataFrame, right: DataFrame, keys: list[str], value: str, sign
     return left.select(*keys, value).union(right.select(*keys, (F.col(value) * sign).alias(value))).groupBy(*keys).agg(F.sum(value).alias(value))
 
 
-def densify(hist: DataFrame, keys: list[str], dims: list[str], sizes: list[int], value: str) -> DataFrame:
+def densify(hist: DataFrame, keys: list[str], dims: list[str], sizes: list[int], value: str | list[str]) -> DataFrame:
     """Complete the cells of every geography present with zeros."""
+    values = [value] if isinstance(value, str) else value
     grid = hist.select(*keys).distinct().withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(reduce(lambda a, b: a * b, sizes) - 1))))
     full = grid.select(*keys, *unflatten("_c", dims, sizes))
-    return full.join(hist.select(*keys, *dims, value), [*keys, *dims], "left").withColumn(value, F.coalesce(value, F.lit(0)))
+    return full.join(hist.select(*keys, *dims, *values), [*keys, *dims], "left").withColumns({v: F.coalesce(v, F.lit(0)) for v in values})
 
 
 def roll_up(hist: DataFrame, geo: str, dims: list[str], lengths: list[int], values: list[str], level: str = "level") -> DataFrame:

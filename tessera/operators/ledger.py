@@ -48,9 +48,19 @@ def cell_impact(hits: DataFrame, budgets: DataFrame) -> DataFrame:
 
 
 def query_gaps(hits: DataFrame, queries: DataFrame, cells: DataFrame) -> DataFrame:
-    """Cells that a query counts other than once: (query, cell, times)."""
-    n = cells.crossJoin(F.broadcast(queries)).join(hits.groupBy("query", "cell").agg(F.count("*").alias("times")), ["query", "cell"], "left")
-    return n.withColumn("times", F.coalesce("times", F.lit(0))).filter("times <> 1")
+    """Cells that a query counts other than once: (query, cell, times). Only cells that some query misses meet the list of queries, which is of schema size."""
+    times = hits.join(F.broadcast(queries), "query", "left_semi").groupBy("query", "cell").agg(F.count("*").alias("times"))
+    known = queries.distinct().agg(F.collect_set("query").alias("_all"))
+    have = cells.distinct().join(times.groupBy("cell").agg(F.collect_set("query").alias("_have")), "cell", "left").withColumn("_have", F.coalesce("_have", F.array().cast("array<string>")))
+    missing = have.crossJoin(F.broadcast(known)).select(F.explode(F.array_except("_all", "_have")).alias("query"), "cell", F.lit(0).cast("long").alias("times"))
+    return times.join(cells.distinct(), "cell", "left_semi").filter("times <> 1").select("query", "cell", "times").unionByName(missing)
+
+
+def spent_on_paths(units: DataFrame, geo: str, lengths: list[int]) -> DataFrame:
+    """Budget of every root-to-block path, from units of all levels (code, share): per block the sum over the unit itself and all above it, and how many there are."""
+    blocks = units.filter(F.length(geo) == lengths[-1]).select(F.col(geo).alias("block")).distinct()
+    steps = blocks.select("block", F.explode(F.array(*[F.substring("block", 1, n) for n in lengths])).alias(geo)).distinct()
+    return steps.join(units, geo).groupBy("block").agg(F.sum("share").alias("spent"), F.count("*").alias("units"))
 
 
 def zcdp_to_eps(rho: Column, delta: float) -> Column:

@@ -103,3 +103,19 @@ def count_quantile(frame: DataFrame, keys: list[str], level: str, count: str, pr
     w = W.partitionBy(*keys).orderBy(level)
     run = frame.groupBy(*keys, level).agg(F.sum(count).alias("_n")).withColumn("_run", F.sum("_n").over(w)).withColumn("_all", F.sum("_n").over(W.partitionBy(*keys)))
     return run.filter((F.col("_all") > 0) & (F.col("_run") >= prob * F.col("_all"))).groupBy(*keys).agg(F.min(level).alias(out))
+
+
+#: Metrics by name: (protected, true) -> aggregate. Users add their own.
+NAMED = {
+    "l1": lambda priv, orig: F.sum(F.abs(priv - orig)),
+    "l2": lambda priv, orig: F.sqrt(F.sum((priv - orig) * (priv - orig))),
+    "linf": lambda priv, orig: F.max(F.abs(priv - orig)),
+    "bias": lambda priv, orig: F.avg(priv - orig),
+}
+
+
+def by_name(frame: DataFrame, keys: list[str], names: list[str], priv: str = "priv", orig: str = "orig") -> DataFrame:
+    """The named metrics of each group, in one aggregation."""
+    if unknown := [n for n in names if n not in NAMED]:
+        raise ValueError(f"unknown metrics: {unknown}")
+    return frame.groupBy(*keys).agg(*[NAMED[n](F.col(priv), F.col(orig)).alias(n) for n in names])

@@ -1,7 +1,7 @@
 """Noise mechanisms. Column versions hash their keys for uniforms: reproducible, for experiments and tests.
 
-Releases use :func:`secure_geometric`, which draws whole numbers with the operating system's randomness inside the tasks; write the result before
-reading it twice.
+Releases use :func:`secure_geometric` and :func:`secure_gaussian`, which draw whole numbers with the operating system's randomness inside the tasks and
+whole-number arithmetic only. A task that runs again draws again: write the result once and read only what was written.
 """
 
 from __future__ import annotations
@@ -15,19 +15,20 @@ from pyspark.sql import functions as F
 
 
 def uniform(*keys: str, seed: int = 0) -> Column:
-    """Uniform in (0, 1), fixed by the keys and the seed, whatever the partitioning."""
-    return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keys), 11).cast("double") + 0.5) / float(1 << 53)
+    """Uniform in (0, 1), fixed by the keys (whole numbers or strings) and the seed, whatever the partitioning: 52 bits of an MD5."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") if isinstance(k, str) else k.cast("string") for k in keys])
+    return (F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long") + 0.5) / float(1 << 52)
 
 
-def geometric_side(u: Column, p: float) -> Column:
-    """Geometric number of failures from a uniform: floor(log(u) / log(1 - p))."""
-    return F.floor(F.log(u) / F.log(F.lit(1.0 - p))).cast("long")
+def geometric_difference(u: Column, v: Column, q: Column) -> Column:
+    """Difference of two geometric numbers of failures, of chance ``q`` each: P(x) proportional to q**abs(x)."""
+    side = lambda x: F.floor(F.log(x) / F.log(q)).cast("long")
+    return side(u) - side(v)
 
 
 def double_geometric(keys: list[str], epsilon: float, sensitivity: int = 1, seed: int = 0) -> Column:
-    """Whole-number noise with P(x) proportional to exp(-epsilon * abs(x) / sensitivity): difference of two geometric numbers."""
-    p = 1 - math.exp(-epsilon / sensitivity)
-    return geometric_side(uniform(*keys, seed=seed), p) - geometric_side(uniform(*keys, seed=seed + 1), p)
+    """Whole-number noise with P(x) proportional to exp(-epsilon * abs(x) / sensitivity)."""
+    return geometric_difference(uniform(*keys, seed=seed), uniform(*keys, seed=seed + 1), F.lit(math.exp(-epsilon / sensitivity)))
 
 
 def geometric_variance(epsilon: float, sensitivity: int = 1) -> float:
@@ -35,10 +36,14 @@ def geometric_variance(epsilon: float, sensitivity: int = 1) -> float:
     return 2 * (1 - p) / (p * p)
 
 
+def rounded_normal(u: Column, v: Column, variance: Column) -> Column:
+    """Rounded normal noise from two uniforms."""
+    return F.round(F.sqrt(-2 * F.log(u)) * F.cos(2 * F.pi() * v) * F.sqrt(variance)).cast("long")
+
+
 def rounded_gaussian(keys: list[str], variance: float, seed: int = 0) -> Column:
     """Rounded normal noise by Box-Muller, for experiments."""
-    radius = F.sqrt(-2 * F.log(uniform(*keys, seed=seed)))
-    return F.round(radius * F.cos(2 * F.pi() * uniform(*keys, seed=seed + 1)) * variance**0.5).cast("long")
+    return rounded_normal(uniform(*keys, seed=seed), uniform(*keys, seed=seed + 1), F.lit(float(variance)))
 
 
 def laplace(u: Column, scale: Column | float) -> Column:
@@ -72,44 +77,75 @@ def zero_budget(value: Column, budget: Column) -> tuple[Column, Column]:
     return F.when(~none, value), F.when(none, F.lit(float("inf")))
 
 
-def secure_geometric(frame: DataFrame, value: str, epsilon_num: int, epsilon_den: int, out: str) -> DataFrame:
-    """Exact whole-number noise with P(x) proportional to exp(-abs(x) * num / den) from the operating system's randomness.
-
-    Draws use whole-number arithmetic only. Not reproducible: write before reading twice.
-    """
+def bernoulli_exp(a: int, b: int) -> bool:
+    """True with chance exp(-a / b), exactly, for whole numbers a >= 0 and b > 0."""
+    from secrets import randbelow
+
+    while a > b:  # whole steps of exp(-1)
+        if not bernoulli_exp(1, 1):
+            return False
+        a -= b
+    # the alternating series of exp: k uniform products below a / b in a row, an odd number of trials wins
+    k = 1
+    while randbelow(b * k) < a:
+        k += 1
+    return k % 2 == 1
+
+
+def discrete_laplace(num: int, den: int) -> int:
+    """Whole number with P(x) proportional to exp(-abs(x) * num / den), exactly."""
+    from secrets import randbelow
+
+    while True:
+        u = randbelow(den)
+        if not bernoulli_exp(u, den):
+            continue
+        v = 0
+        while bernoulli_exp(1, 1):
+            v += 1
+        y = (u + den * v) // num
+        if not randbelow(2):
+            return y
+        if y:
+            return -y
+
+
+def discrete_gaussian(num: int, den: int) -> int:
+    """Whole number with P(x) proportional to exp(-x**2 / (2 * num / den)), exactly: discrete Laplace draws, of which the right share is kept."""
+    t = math.isqrt(num // den) + 1
+    while True:
+        y = discrete_laplace(1, t)
+        # chance exp(-(abs(y) - s / t)**2 / (2 s)) with s = num / den, over one denominator
+        if bernoulli_exp((abs(y) * t * den - num) ** 2, 2 * num * t * t * den):
+            return y
+
+
+def secure(frame: DataFrame, value: str, draw, out: str) -> DataFrame:
+    """``out``: the value plus a draw for each row. Marked as not deterministic, so that Spark evaluates it once for each row of a run."""
 
     @F.pandas_udf("long")
     def add(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import secrets
-
-        below = secrets.randbelow
-
-        def bernoulli_exp(a: int, b: int) -> bool:
-            # chance exp(-a/b) for a <= b, by the alternating series of uniform products
-            k = 1
-            while below(b * k) < a:
-                k += 1
-            return k % 2 == 1
-
-        def draw() -> int:
-            while True:
-                u = below(epsilon_den)
-                if not bernoulli_exp(u, epsilon_den):
-                    continue
-                v = 0
-                while bernoulli_exp(1, 1):
-                    v += 1
-                y = (u + epsilon_den * v) // epsilon_num
-                if below(2):
-                    if y:
-                        return -y
-                else:
-                    return y
-
         for s in values:
-            yield s + pd.Series([draw() for _ in range(len(s))], index=s.index)
+            yield s + pd.Series([draw() for _ in range(len(s))], index=s.index, dtype="int64")
+
+    return frame.withColumn(out, add.asNondeterministic()(F.col(value).cast("long")))
+
+
+def secure_geometric(frame: DataFrame, value: str, epsilon_num: int, epsilon_den: int, out: str) -> DataFrame:
+    """Exact whole-number noise with P(x) proportional to exp(-abs(x) * num / den) from the operating system's randomness; null values stay null."""
+    return secure(frame, value, lambda: discrete_laplace(epsilon_num, epsilon_den), out)
+
+
+def secure_gaussian(frame: DataFrame, value: str, variance_num: int, variance_den: int, out: str) -> DataFrame:
+    """Exact discrete Gaussian noise, P(x) proportional to exp(-x**2 * den / (2 * num)), from the operating system's randomness; null values stay null."""
+    return secure(frame, value, lambda: discrete_gaussian(variance_num, variance_den), out)
+
 
-    return frame.withColumn(out, add(F.col(value).cast("long")))
+def gaussian_moment(variance: float) -> float:
+    """Variance of the discrete Gaussian by its series."""
+    reach = math.ceil(14 * variance**0.5) + 2
+    weights = [(x, math.exp(-x * x / (2 * variance))) for x in range(-reach, reach + 1)]
+    return sum(x * x * w for x, w in weights) / sum(w for _, w in weights)
 
 
 def count_below(values: list[float], u: Column) -> Column:

@@ -87,7 +87,7 @@ def named(levels: Column, name: str) -> Column:
     return F.transform(levels, lambda x: F.struct(F.lit(name).alias("query"), x.alias("level")))
 
 
-def answer_many(frame: DataFrame, schema: Schema, queries: list[str], keys: list[str], values: list[str]) -> DataFrame:
+def answer_many(frame: DataFrame, schema: Schema, queries: list[str], keys: list[str], values: list[str], level: str = "level") -> DataFrame:
     """Several queries in one aggregation: keys, ``query``, merged ``level``, summed values.
 
     Each cell is exploded into the (query, level) pairs it counts in; sums are
@@ -104,7 +104,7 @@ def answer_many(frame: DataFrame, schema: Schema, queries: list[str], keys: list
             merged = F.array(F.lit(NOWHERE))
         hits.append(named(merged, q))
     exploded = frame.withColumn("_hit", F.explode(F.concat(*hits)))
-    return exploded.groupBy(*keys, F.col("_hit.query").alias("query"), F.col("_hit.level").alias("level")).agg(*[F.sum(v).alias(v) for v in values])
+    return exploded.groupBy(*keys, F.col("_hit.query").alias("query"), F.col("_hit.level").alias(level)).agg(*[F.sum(v).alias(v) for v in values])
 
 
 def marginal(frame: DataFrame, keys: list[str], keep: list[str], values: list[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.operators import hist, query
+from tessera.operators import hist, order, query
 from tessera.operators import metrics as m
 from tessera.plans.base import DIMS, SCHEMA, SIZES, frame, persons, register, table
 from tessera.plans.tabulation import ANY_BAND, GEO, answers
@@ -195,9 +195,10 @@ DIV = """, g AS (SELECT geocode, flag, status, sum(orig) AS n, sum(priv) AS m FR
 
 def fifths(spark, sf):
     d = m.diversity(frame(spark, sf).filter("level = 10"), ["geocode"], ["flag", "status"]).withColumn("diversity", F.round("diversity", 9))
-    # ranks from counts of equal values: the window sees distinct values only
-    v = d.groupBy("diversity").agg(F.count("*").alias("c"))
-    v = v.select("diversity", F.ceil(5.0 * (F.sum("c").over(W.orderBy("diversity")) - F.col("c") + 1) / F.sum("c").over(W.partitionBy(F.lit(0)))).cast("int").alias("fifth"))
+    # ranks from counts of equal values
+    v = order.running(d.groupBy("diversity").agg(F.count("*").alias("c")), ["diversity"], F.col("c"), "before")
+    n = F.broadcast(d.agg(F.count("*").alias("n")))
+    v = v.crossJoin(n).select("diversity", F.ceil(5.0 * (F.col("before") + 1) / F.col("n")).cast("int").alias("fifth"))
     return d.join(v, "diversity")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import checks, constraints, fit, noise, query
 from tessera.plans.base import DIMS, cells, frame, persons, register, table, units
-from tessera.plans.privacy import CH, FAMILY, KEYS, OK, PROJ, children, fitted_levels, measured, moments
+from tessera.plans.privacy import CH, FAMILY, KEYS, MEAS, PROJ, ROW, children, fitted_levels, measured, normal_sql, row_noise, uniform_sql
 from tessera.plans.records import PERSON
 from tessera.plans.relational import FAC, tract_bounds
 from tessera.plans.tabulation import D
@@ -16,24 +16,24 @@ from tessera.sources import files
 
 @register("io_empty_source", "SELECT geocode, flag, status, band, orig FROM cells WHERE geocode IS NOT NULL")
 def io_empty_source(spark, sf):
-    """A typed empty source joins the others without changing the result."""
+    """A source without files is an empty table of the declared schema and joins the others without changing the result."""
     c = cells(spark, sf)
-    return c.unionByName(spark.createDataFrame([], c.schema))
+    return c.unionByName(files.read_delimited(spark, [], ", ".join(f"{n} {t}" for n, t in c.dtypes)))
 
 
-@register("io_sample_linked_tables", "SELECT true AS linked, true AS near")
+CHOSEN = "CAST('0x'||substr(md5(concat_ws('|','50',unit)),1,13) AS BIGINT)+0.5<4503599627370496.0/3"
+
+
+@register("io_sample_linked_tables", f"SELECT geocode, unit, 'unit' AS kind, NULL::BIGINT AS orderkey, NULL::INTEGER AS run FROM units WHERE {CHOSEN} AND unit IN (SELECT unit FROM persons) UNION ALL SELECT geocode, unit, 'person', orderkey, run FROM persons WHERE {CHOSEN} UNION ALL SELECT * FROM (SELECT geocode, unit, 'vacant', NULL::BIGINT, NULL::INTEGER FROM units WHERE unit NOT IN (SELECT unit FROM persons) ORDER BY unit LIMIT 5)")
 def io_sample_linked_tables(spark, sf):
-    """A sample of units with all their persons: no person is left without its unit, and about a third of the units are in it."""
-    chosen = units(spark, sf).filter(F.pmod(F.xxhash64("unit"), F.lit(3)) == 0).select("unit")
-    p = persons(spark, sf).join(chosen, "unit", "left_semi")
-    lost = p.join(chosen, "unit", "left_anti").agg((F.count("*") == 0).alias("linked"))
-    share = units(spark, sf).join(chosen.withColumn("c", F.lit(1)), "unit", "left").agg(F.abs(F.avg(F.coalesce("c", F.lit(0))) - 1 / 3).alias("d"))
-    return lost.join(F.broadcast(share), how="cross").select("linked", (F.col("d") < 0.15).alias("near"))
+    """A sample of units with all their persons, and five vacant units appended: tables stay linked because the unit's key decides for both."""
+    p, u = persons(spark, sf), units(spark, sf)
+    return files.linked_sample(u.select("geocode", "unit"), p.select("geocode", "unit", "orderkey", "run"), "unit", noise.uniform("unit", seed=50) < 1 / 3, vacant=5)
 
 
 @register("sink_pl94_person_layout", f"SELECT 'P' AS schema_type, substr(geocode,1,1) AS tabblkst, substr(geocode,2,2) AS tabblkcou, substr(geocode,4,2) AS tabtractce, substr(geocode,6,5) AS tabblk, row_number() OVER (ORDER BY geocode, {D})-1 AS epnum, lpad(CAST(flag AS VARCHAR),2,'0') AS gqtype, CAST(1+status AS VARCHAR) AS voting_age, lpad(CAST(band+1 AS VARCHAR),2,'0') AS cenrace FROM persons")
 def sink_pl94_person_layout(spark, sf):
-    r = files.numbered(files.expand(cells(spark, sf), "orig"), ["geocode", *DIMS])
+    r = files.numbered_records(cells(spark, sf), "orig", ["geocode", *DIMS])
     part = lambda a, n: F.substring("geocode", a, n)
     return r.select(
         F.lit("P").alias("schema_type"), part(1, 1).alias("tabblkst"), part(2, 2).alias("tabblkcou"), part(4, 2).alias("tabtractce"), part(6, 5).alias("tabblk"), "epnum",
@@ -50,11 +50,19 @@ def sink_occupancy_units(spark, sf):
     return units(spark, sf).join(o, "unit", "left").select("geocode", F.when(F.col("o") == 1, "1").otherwise("2").alias("hh_status"))
 
 
-@register("sink_unit_residual_rows", "SELECT geocode, unit_type, 'unit' AS kind FROM units WHERE unit_type IN ('BUILDING','MACHINERY') UNION ALL SELECT geocode, CAST(flag AS VARCHAR), 'person' FROM persons WHERE flag=0")
+@register("sink_unit_residual_rows", "SELECT t.geocode, 'facility' AS kind, n-coalesce(h,0) AS n FROM (SELECT substr(geocode,1,5) AS geocode, count(*) AS n FROM units WHERE unit_type IN ('BUILDING','MACHINERY') GROUP BY 1) t LEFT JOIN (SELECT substr(geocode,1,5) AS geocode, count(DISTINCT unit) AS h FROM persons WHERE unit_type IN ('BUILDING','MACHINERY') AND flag=0 GROUP BY 1) p ON t.geocode=p.geocode WHERE n-coalesce(h,0)>0 UNION ALL SELECT t.geocode, 'vacant', n-coalesce(h,0) FROM (SELECT substr(geocode,1,5) AS geocode, count(*) AS n FROM units WHERE unit_type NOT IN ('BUILDING','MACHINERY') GROUP BY 1) t LEFT JOIN (SELECT substr(geocode,1,5) AS geocode, count(DISTINCT unit) AS h FROM persons WHERE unit_type NOT IN ('BUILDING','MACHINERY') AND flag=0 GROUP BY 1) p ON t.geocode=p.geocode WHERE n-coalesce(h,0)>0")
 def sink_unit_residual_rows(spark, sf):
-    u = units(spark, sf).filter(F.col("unit_type").isin("BUILDING", "MACHINERY")).select("geocode", "unit_type", F.lit("unit").alias("kind"))
-    p = persons(spark, sf).filter("flag = 0").select("geocode", F.col("flag").cast("string").alias("unit_type"), F.lit("person").alias("kind"))
-    return u.unionByName(p)
+    """Rows for units that no record stands for: facilities without persons and vacant units, as many as are lacking by tract."""
+    tract, is_facility = F.substring("geocode", 1, 5).alias("geocode"), F.col("unit_type").isin("BUILDING", "MACHINERY")
+    p, u = persons(spark, sf).filter("flag = 0"), units(spark, sf)
+
+    def lacking(kind, own):
+        there = p.filter(own).select(tract, "unit").distinct()
+        total = u.filter(own).groupBy(tract).agg(F.count("*").alias("t"))
+        return files.expand(files.residual_units(there, total, ["geocode"], "t"), "n").withColumn("kind", F.lit(kind))
+
+    rows = lacking("facility", is_facility).unionByName(lacking("vacant", ~is_facility))
+    return rows.groupBy("geocode", "kind").agg(F.count("*").alias("n"))
 
 
 @register("sink_ipums_persons", "SELECT substr(geocode,1,1) AS supdist, substr(geocode,2,4) AS enumdist, CASE WHEN prio=0 THEN 1 ELSE 2 END AS qsex, least(qty,40) AS qage, count(*) AS n FROM persons GROUP BY ALL")
@@ -72,31 +80,38 @@ def sink_multi(spark, sf):
     return files.read_delimited(spark, a, PERSON).intersectAll(spark.read.parquet(b))
 
 
-@register("sink_header_metadata", "SELECT 'geocode|flag|status|band' AS header, count(*) AS n_rows FROM persons")
+@register("sink_header_metadata", "SELECT 'geocode|flag|status|band' AS header, count(*) AS n_rows, '0.50 to persons, 0.50 to units' AS allocation, true AS dated FROM persons")
 def sink_header_metadata(spark, sf):
-    """Header line and row count of a file, as a sidecar row."""
-    p = persons(spark, sf).select("geocode", *DIMS)
-    return p.agg(F.count("*").alias("n_rows")).select(F.lit("|".join(p.columns)).alias("header"), "n_rows")
+    """A file with its sidecar: header line, time, row count counted while writing, and the text of the allocation, read back."""
+    path = files.scratch(spark, "with-header")
+    files.write_with_metadata(persons(spark, sf).select("geocode", *DIMS), path, "0.50 to persons, 0.50 to units")
+    m = files.read_metadata(spark, path)
+    return m.select("header", F.col("n_rows").cast("long").alias("n_rows"), "allocation", F.to_timestamp("written").isNotNull().alias("dated"))
 
 
-@register("noise_discrete_gaussian", OK.format("discrete_gaussian"), base=False)
+REACH = 36
+STEPS = f"WITH w AS (SELECT x, exp(-x*x/18.0) AS p FROM (SELECT unnest(generate_series(-{REACH},{REACH})) AS x)), cum AS (SELECT x, sum(p) OVER (ORDER BY x)/sum(p) OVER () AS c FROM w) "
+
+
+@register("noise_discrete_gaussian", STEPS + f"SELECT {ROW}, (SELECT count(*) FROM cum WHERE c<u)-{REACH} AS x FROM (SELECT *, {uniform_sql(4, *KEYS)} AS u FROM lineitem)", base=False)
 def noise_discrete_gaussian(spark, sf):
-    x = table(spark, sf, "lineitem").select(noise.gaussian_steps(noise.uniform(*KEYS, seed=4), 9.0).alias("x"))
-    return moments(x, "discrete_gaussian", "x", 9.0)
+    """For experiments, from keyed uniforms; releases take :func:`noise.secure_gaussian`."""
+    return row_noise(spark, sf, noise.gaussian_steps(noise.uniform(*KEYS, seed=4), 9.0))
 
 
-@register("noise_float_discrete_gaussian", OK.format("float_discrete_gaussian"), base=False)
+@register("noise_float_discrete_gaussian", f"SELECT {ROW}, {normal_sql('9.0-1.0/12', 6, *KEYS)} AS x FROM lineitem", base=False)
 def noise_float_discrete_gaussian(spark, sf):
-    x = table(spark, sf, "lineitem").select(noise.float_gaussian(noise.uniform(*KEYS, seed=6), noise.uniform(*KEYS, seed=7), 9.0).alias("x"))
-    return moments(x, "float_discrete_gaussian", "x", 9.0)
+    return row_noise(spark, sf, noise.float_gaussian(noise.uniform(*KEYS, seed=6), noise.uniform(*KEYS, seed=7), 9.0))
+
 
+GRID = "WITH g AS (SELECT i, tan(pi()*(i/2000.0-0.5)*0.999) AS z FROM (SELECT unnest(generate_series(0,2000)) AS i)), a AS (SELECT i, z, coalesce((z-lag(z) OVER (ORDER BY i))*(1/(1+power(lag(z) OVER (ORDER BY i),4))+1/(1+power(z,4)))/2,0) AS m FROM g), cum AS (SELECT i, z, sum(m) OVER (ORDER BY i)/sum(m) OVER () AS c FROM a), below AS (SELECT c, z, lead(c) OVER (ORDER BY c) AS up FROM cum)"
 
-@register("sqlnoise_smooth_gamma", "SELECT true AS centred, true AS spread")
+
+@register("sqlnoise_smooth_gamma", GRID + f" SELECT {ROW}, round(l_quantity+greatest(l_quantity*0.1,1.0)*z,6) AS x FROM (SELECT *, {uniform_sql(8, *KEYS)} AS u FROM lineitem) JOIN below ON u>c AND u<=up", base=False)
 def sqlnoise_smooth_gamma(spark, sf):
-    """Half of the noise is within the quartiles of the density 1 / (1 + z**4), its median is near 0."""
-    z = noise.smooth_gamma(F.lit(0.0), noise.uniform(*KEYS, seed=8), F.lit(0.0), 0.1, 5.0)
-    s = table(spark, sf, "lineitem").select(z.alias("z")).agg(F.percentile("z", F.lit(0.5)).alias("m"), F.percentile("z", F.lit(0.75)).alias("q"))
-    return s.select((F.abs("m") < 0.1).alias("centred"), F.col("q").between(0.45, 0.75).alias("spread"))
+    """Quantities with noise of the density 1 / (1 + z**4), scaled by a tenth of the value."""
+    quantity = F.col("l_quantity").cast("double")
+    return row_noise(spark, sf, F.round(noise.smooth_gamma(quantity, noise.uniform(*KEYS, seed=8), quantity, 0.1, 5.0), 6))
 
 
 U9 = "(l_discount*9+0.05)"
@@ -112,13 +127,18 @@ def sqlnoise_seeded(spark, sf):
     return j.select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"), F.round(F.col("l_quantity") + noise.laplace(F.col("u") * 9 + 0.05, 1.0), 6).alias("x"))
 
 
-@register("sqlnoise_apply", "SELECT event_type, 0.75::DOUBLE AS epsilon, true AS moved FROM events GROUP BY 1", base=False)
+def laplace_sql(scale, seed, key):
+    u = uniform_sql(seed, key)
+    return f"-{scale}*sign({u}-0.5)*ln(1-2*abs({u}-0.5))"
+
+
+@register("sqlnoise_apply", f"SELECT event_type, 0.75::DOUBLE AS epsilon, round(sum(value){laplace_sql(2.0, 20, 'event_type')},4) AS total, round(count(*){laplace_sql(4.0, 21, 'event_type')},4) AS n FROM events GROUP BY 1", base=False)
 def sqlnoise_apply(spark, sf):
-    """Two measures of one table with their own budgets, which add up; all values move."""
+    """Two measures of one table with their own budgets, which add up."""
     budgets = {"total": 0.5, "n": 0.25}
     t = table(spark, sf, "events").groupBy("event_type").agg(F.sum("value").alias("total"), F.count("*").alias("n"))
-    noisy = t.withColumns({f"{c}_noisy": F.col(c) + noise.laplace(noise.uniform("event_type", seed=20 + i), 1 / e) for i, (c, e) in enumerate(budgets.items())})
-    return noisy.select("event_type", F.lit(sum(budgets.values())).alias("epsilon"), ((F.col("total_noisy") != F.col("total")) & (F.col("n_noisy") != F.col("n"))).alias("moved"))
+    noisy = [F.round(F.col(c) + noise.laplace(noise.uniform("event_type", seed=20 + i), 1 / e), 4).alias(c) for i, (c, e) in enumerate(budgets.items())]
+    return t.select("event_type", F.lit(sum(budgets.values())).alias("epsilon"), *noisy)
 
 
 @register("measure_strategy_matrix", "SELECT geocode, f.r AS flag_row, CAST(sum(priv*f.w) AS DOUBLE) AS answer FROM frame JOIN (VALUES (0,0,1.0),(0,1,1.0),(0,2,1.0),(1,0,1.0),(1,2,-1.0)) f(r,k,w) ON flag=f.k WHERE level=3 GROUP BY ALL")
@@ -126,39 +146,64 @@ def measure_strategy_matrix(spark, sf):
     return query.kron(frame(spark, sf).filter("level = 3"), ["geocode"], {"flag": [[1, 1, 1], [1, 0, -1]]}, "priv", "answer")
 
 
-@register("fit_multi_query", f", m AS (SELECT geocode, {D}, CAST(priv AS DOUBLE) AS y, CAST(1+band AS DOUBLE) AS v, orig FROM frame WHERE level=3), t AS (SELECT geocode, flag, CAST(sum(orig) AS DOUBLE) AS q FROM m GROUP BY ALL) SELECT m.geocode, m.flag, status, band, round(y+v*(q-sum(y) OVER w)/(sum(v) OVER w+0.5),6) AS x FROM m JOIN t ON m.geocode=t.geocode AND m.flag=t.flag WINDOW w AS (PARTITION BY m.geocode, m.flag)")
-def fit_multi_query(spark, sf):
-    """Cells and one marginal, both noisy, by inverse variance: the cells take the marginal's gap over the sum of both variances."""
-    m = measured(spark, sf, 3)
-    w = W.partitionBy("geocode", "flag")
-    q = F.sum("orig").over(w).cast("double")
-    return m.select("geocode", *DIMS, F.round(F.col("y") + F.col("v") * (q - F.sum("y").over(w)) / (F.sum("v").over(w) + 0.5), 6).alias("x"))
+# noisy answers in place of truth: a fixed disturbance of each true one
+NOISY = "CAST(s+(length(geocode)*5+{}*7)%9-4 AS DOUBLE)"
+MULTI = f""", m AS (SELECT geocode, {D}, CAST(priv AS DOUBLE) AS y, CAST(1+band AS DOUBLE) AS v FROM frame WHERE level=3), q1 AS (SELECT geocode, flag, {NOISY.format('flag')} AS q FROM (SELECT geocode, flag, sum(orig) AS s FROM frame WHERE level=3 GROUP BY ALL)), q2 AS (SELECT geocode, {NOISY.format('1')} AS q FROM (SELECT geocode, sum(orig) AS s FROM frame WHERE level=3 GROUP BY ALL)),
+ s1 AS (SELECT m.*, q-sum(y) OVER w AS gap, sum(v) OVER w+0.5 AS spread FROM m JOIN q1 ON m.geocode=q1.geocode AND m.flag=q1.flag WINDOW w AS (PARTITION BY m.geocode, m.flag)),
+ f1 AS (SELECT geocode, {D}, CASE WHEN abs(gap)>1 THEN y+v*gap/spread ELSE y END AS y, CASE WHEN abs(gap)>1 THEN v-v*v/spread ELSE v END AS v FROM s1),
+ s2 AS (SELECT f1.*, q-sum(y) OVER w AS gap, sum(v) OVER w+0.25 AS spread FROM f1 JOIN q2 ON f1.geocode=q2.geocode WINDOW w AS (PARTITION BY f1.geocode)) """
 
 
-@register("fit_round_by_query", PROJ + f", f AS (SELECT *, CAST(floor(x+1e-9) AS BIGINT) AS fl FROM x), g AS (SELECT *, total-sum(fl) OVER (PARTITION BY parent, {D}) AS more, row_number() OVER (PARTITION BY parent, {D} ORDER BY round(x-fl,9) DESC, geocode) AS rk FROM f) SELECT parent, flag, CAST(sum(fl+CASE WHEN rk<=more THEN 1 ELSE 0 END) AS BIGINT) AS n FROM g GROUP BY ALL")
+@register("fit_multi_query", MULTI + f"SELECT geocode, {D}, round(CASE WHEN abs(gap)>0.001 THEN y+v*gap/spread ELSE y END,6) AS y, round(CASE WHEN abs(gap)>0.001 THEN v-v*v/spread ELSE v END,6) AS v FROM s2")
+def fit_multi_query(spark, sf):
+    """Noisy cells, a noisy marginal (kept where it is within 1) and a noisy total, in two passes."""
+    m = measured(spark, sf, 3).drop("orig")
+    f = frame(spark, sf).filter("level = 3")
+    noisy = lambda group, k, v: f.groupBy(*group).agg(F.sum("orig").alias("s")).select(*group, (F.col("s") + (F.length("geocode") * 5 + k * 7) % 9 - 4).cast("double").alias("q"), F.lit(v).alias("qv"))
+    x = fit.multi_query(m, [(["geocode", "flag"], noisy(["geocode", "flag"], F.col("flag"), 0.5), 1.0), (["geocode"], noisy(["geocode"], F.lit(1), 0.25), 0.001)])
+    return x.select("geocode", *DIMS, F.round("y", 6).alias("y"), F.round("v", 6).alias("v"))
+
+
+def nested_sql(value: str) -> str:
+    """Rounded total, flags within it, and (status, band) one after the other within those."""
+    out, cols = f", n0 AS (SELECT geocode, CAST(greatest(round(sum({value})),0) AS BIGINT) AS t FROM x GROUP BY 1)", []
+    for k, d in enumerate(DIMS, 1):
+        up, cols = ", ".join(["geocode", *cols]), [*cols, d]
+        on = " AND ".join(f"s.{c}=p.{c}" for c in ["geocode", *cols[:-1]])
+        p = ", ".join(f"s.{c}" for c in ["geocode", *cols])
+        out += f", s{k} AS (SELECT geocode, {', '.join(cols)}, sum({value}) AS s FROM x GROUP BY ALL), j{k} AS (SELECT {p}, s.s, p.t, CAST(floor(s.s+1e-9) AS BIGINT) AS f FROM s{k} s JOIN n{k - 1} p ON {on}), r{k} AS (SELECT *, t-sum(f) OVER (PARTITION BY {up}) AS more, row_number() OVER (PARTITION BY {up} ORDER BY round(s-f,9) DESC, {', '.join(cols)}) AS rk FROM j{k}), n{k} AS (SELECT geocode, {', '.join(cols)}, CAST(f+CASE WHEN rk<=more THEN 1 ELSE 0 END AS BIGINT) AS t FROM r{k})"
+    return out
+
+
+@register("fit_round_by_query", PROJ + nested_sql("x") + f" SELECT geocode, {D}, t AS n FROM n3")
 def fit_round_by_query(spark, sf):
-    """Cells are rounded within their parent cells, so every coarser query of the parents keeps its whole-number total."""
-    x = fit.round_controlled(fit.nonneg(children(spark, sf), FAMILY, "total", ["geocode"]), FAMILY, "total", ["geocode"])
-    return x.groupBy("parent", "flag").agg(F.sum("n").alias("n"))
+    """Fitted cells rounded down the query hierarchy: total, flag, status within flag, band within both."""
+    x = fit.nonneg(children(spark, sf), FAMILY, "total", ["geocode"])
+    return fit.round_nested(x, ["geocode"], DIMS)
+
+
+SWAP = MEAS + f""", k AS (SELECT geocode, {D}, CAST(y AS BIGINT) AS n, orig AS y FROM m WHERE level=10), pr AS (SELECT coalesce(a.geocode,b.geocode) AS geocode, coalesce(a.status,b.status) AS status, coalesce(a.band,b.band) AS band, coalesce(a.n,0) AS n, coalesce(a.y,0) AS yn, coalesce(b.n,0) AS m, coalesce(b.y,0) AS ym FROM (SELECT * FROM k WHERE flag=1) a FULL JOIN (SELECT * FROM k WHERE flag=0) b ON a.geocode=b.geocode AND a.status=b.status AND a.band=b.band),
+ lk AS (SELECT *, 3-sum(m) OVER (PARTITION BY geocode) AS lack FROM pr), rec AS (SELECT *, unnest(generate_series(1,CAST(least(n,lack) AS BIGINT))) AS j FROM lk WHERE lack>0 AND n>0),
+ rk AS (SELECT *, row_number() OVER (PARTITION BY geocode ORDER BY 2*(m-ym)-2*(n-yn)+4*j-2, status, band, j) AS r FROM rec), mv AS (SELECT geocode, status, band, count(*) AS c FROM rk WHERE r<=lack GROUP BY ALL),
+ ch AS (SELECT geocode, 0 AS flag, status, band, c FROM mv UNION ALL SELECT geocode, 1, status, band, -c FROM mv) """
 
 
-@register("fit_swap_repair", "SELECT level, geocode, CAST(sum(CASE WHEN flag=0 THEN priv ELSE 0 END) AS BIGINT) AS before, CAST(greatest(sum(CASE WHEN flag=0 THEN priv ELSE 0 END), least(3, sum(CASE WHEN flag<2 THEN priv ELSE 0 END))) AS BIGINT) AS after FROM frame WHERE level=10 GROUP BY ALL")
+@register("fit_swap_repair", SWAP + "SELECT coalesce(k.geocode,ch.geocode) AS geocode, coalesce(k.flag,ch.flag) AS flag, coalesce(k.status,ch.status) AS status, coalesce(k.band,ch.band) AS band, coalesce(n,0)+coalesce(c,0) AS n FROM k FULL JOIN ch ON k.geocode=ch.geocode AND k.flag=ch.flag AND k.status=ch.status AND k.band=ch.band")
 def fit_swap_repair(spark, sf):
-    """At least three records of flag 0 per unit where flag 1 can give them: the move with the least squared change takes just the lack."""
-    n = lambda k: F.sum(F.when(F.col("flag") == k, F.col("priv")).otherwise(0))
-    t = frame(spark, sf).filter("level = 10").groupBy("level", "geocode").agg(n(0).alias("before"), n(1).alias("other"))
-    move = F.greatest(F.least(3 - F.col("before"), F.col("other")), F.lit(0))
-    return t.select("level", "geocode", "before", (F.col("before") + move).alias("after"))
+    """At least three records of flag 0 per unit where flag 1 can give them, moved in the order of the least squared change."""
+    c = frame(spark, sf).filter("level = 10").select("geocode", *DIMS, F.col("priv").alias("n"), F.col("orig").alias("y"))
+    return fit.swap_repair(c, ["geocode"], "flag", 0, 1, ["status", "band"], F.lit(3))
 
 
-@register("fit_resume", "SELECT true AS same")
+@register("fit_resume", "SELECT count(*) AS cells, true AS same FROM frame WHERE level=5")
 def fit_resume(spark, sf):
     """A fit restarted from a saved level gives the same lower levels."""
     lengths, out = fitted_levels(spark, sf)
     path = files.scratch(spark, "fitted")
     out[2].write.parquet(path)
     again = fit.top_down([spark.read.parquet(path).withColumns({"y": F.col("n").cast("double"), "v": F.lit(1.0)}).drop("n"), measured(spark, sf, 5).drop("orig")], "geocode", [3], DIMS)
-    return checks.equal_frames(out[3], again[1]).select(((F.col("only_left") == 0) & (F.col("only_right") == 0)).alias("same"))
+    same = checks.equal_frames(out[3], again[1]).select(((F.col("only_left") == 0) & (F.col("only_right") == 0)).alias("same"))
+    return again[1].agg(F.count("*").alias("cells")).crossJoin(F.broadcast(same))
 
 
 @register("cons_facility_age_bounds", FAC + ", a AS (SELECT substr(geocode,1,5) AS geocode, CAST(sum(CASE WHEN qty>=18 THEN 1 ELSE 0 END) AS BIGINT) AS adults FROM persons GROUP BY 1) SELECT b.geocode, unit_type, CAST(greatest(lower-(total-adults),0) AS BIGINT) AS lower_adults, least(upper, adults) AS upper_adults FROM b JOIN a ON a.geocode=b.geocode JOIN t ON t.geocode=b.geocode")

@@ -6,9 +6,11 @@ import math
 
 from pyspark.sql import functions as F
 
-from tessera.operators import fit, hist, ledger, noise, spine, sqlnoise
-from tessera.plans.base import DIMS, SIZES, cells, frame, persons, register, table, units
+from tessera.operators import fit, hist, ledger, measure, noise, order, spine, sqlnoise
+from tessera.operators import query
+from tessera.plans.base import DIMS, LEVELS, SCHEMA, SIZES, cells, frame, persons, register, table, units
 from tessera.plans.tabulation import D
+from tessera.sources import files
 
 # strategy stand-in: level and query shares from the order table: status by priority
 STRAT = """, s AS (SELECT o_orderstatus AS level, CASE WHEN o_orderpriority<'3' THEN 'b * a' ELSE substr(o_orderpriority,3) END AS query, count(*) AS n FROM orders GROUP BY ALL), sh AS (SELECT level, CASE WHEN query='b * a' THEN 'a * b' ELSE query END AS query, n/CAST(sum(n) OVER (PARTITION BY level) AS DOUBLE) AS share FROM s), lv AS (SELECT o_orderstatus AS level, count(*)/CAST((SELECT count(*) FROM orders) AS DOUBLE) AS share FROM orders GROUP BY 1) """
@@ -43,9 +45,10 @@ def ledger_query_variances(spark, sf):
     return v.select("level", "query", F.round("variance", 6).alias("variance"))
 
 
-@register("ledger_spent", "SELECT CAST(level AS VARCHAR) AS level, count(*) AS units, 1.0::DOUBLE AS least, 1.0::DOUBLE AS most, true AS equal FROM (SELECT DISTINCT level, geocode FROM frame) GROUP BY 1")
+@register("ledger_spent", "SELECT CAST(level AS VARCHAR) AS level, count(*) AS units, CAST(min(b) AS DOUBLE) AS least, CAST(max(b) AS DOUBLE) AS most, max(b)-min(b)<1e-7 AS equal FROM (SELECT level, geocode, sum(0.25+0.25*status) AS b FROM (SELECT DISTINCT level, geocode, status FROM frame) GROUP BY ALL) GROUP BY 1")
 def ledger_spent(spark, sf):
-    per = frame(spark, sf).select("level", "geocode").distinct().withColumn("budget", F.explode(F.array(F.lit(0.25), F.lit(0.75))))
+    """Each unit is measured once for each status it has, at a budget of its own."""
+    per = frame(spark, sf).select("level", "geocode", "status").distinct().withColumn("budget", 0.25 + 0.25 * F.col("status"))
     return ledger.spent(per, ["geocode"]).withColumn("level", F.col("level").cast("string"))
 
 
@@ -90,13 +93,30 @@ def moments(f, name, value, variance):
 
 
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey"]
-OK = "SELECT '{}' AS name, true AS ok"
+ROW = "l_orderkey AS id, l_linenumber AS line, l_partkey AS part"
 
 
-@register("noise_double_geometric", OK.format("double_geometric"), base=False)
+def uniform_sql(seed: int, *keys: str) -> str:
+    """The same keyed uniform as ``noise.uniform`` in SQL."""
+    return f"((CAST('0x'||substr(md5(concat_ws('|','{seed}',{','.join(keys)})),1,13) AS BIGINT)+0.5)/4503599627370496.0)"
+
+
+def row_noise(spark, sf, x):
+    return table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"), x.alias("x"))
+
+
+def geometric_sql(q: str, seed: int, *keys: str) -> str:
+    side = lambda s: f"floor(ln({uniform_sql(s, *keys)})/ln({q}))"
+    return f"CAST({side(seed)}-{side(seed + 1)} AS BIGINT)"
+
+
+def normal_sql(variance: str, seed: int, *keys: str) -> str:
+    return f"CAST(round(sqrt(-2*ln({uniform_sql(seed, *keys)}))*cos(2*pi()*{uniform_sql(seed + 1, *keys)})*sqrt({variance})) AS BIGINT)"
+
+
+@register("noise_double_geometric", f"SELECT {ROW}, {geometric_sql('exp(-0.5)', 0, *KEYS)} AS x FROM lineitem", base=False)
 def noise_double_geometric(spark, sf):
-    x = table(spark, sf, "lineitem").select(noise.double_geometric(KEYS, 0.5).alias("x"))
-    return moments(x, "double_geometric", "x", noise.geometric_variance(0.5))
+    return row_noise(spark, sf, noise.double_geometric(KEYS, 0.5))
 
 
 @register("noise_secure_geometric", None)
@@ -105,19 +125,24 @@ def noise_secure_geometric(spark, sf):
     return moments(x, "secure_geometric", "x", noise.geometric_variance(0.5))
 
 
-@register("noise_rounded_gaussian", OK.format("rounded_gaussian"), base=False)
+@register("noise_secure_gaussian", None)
+def noise_secure_gaussian(spark, sf):
+    """Exact discrete Gaussian draws: their variance against the series of the distribution."""
+    x = noise.secure_gaussian(table(spark, sf, "orders").select(F.lit(0).alias("z")), "z", 9, 2, "x")
+    return moments(x, "secure_gaussian", "x", noise.gaussian_moment(4.5))
+
+
+@register("noise_rounded_gaussian", f"SELECT {ROW}, {normal_sql('100.0', 0, *KEYS)} AS x FROM lineitem", base=False)
 def noise_rounded_gaussian(spark, sf):
-    x = table(spark, sf, "lineitem").select(noise.rounded_gaussian(KEYS, 100.0).alias("x"))
-    return moments(x, "rounded_gaussian", "x", 100.0 + 1 / 12)
+    return row_noise(spark, sf, noise.rounded_gaussian(KEYS, 100.0))
+
+
+OTHER = f"CAST(floor({uniform_sql(1, *KEYS)}*6) AS INTEGER)"
 
 
-@register("noise_randomized_response", OK.format("randomized_response"), base=False)
+@register("noise_randomized_response", f"SELECT {ROW}, CASE WHEN {uniform_sql(0, *KEYS)}<exp(2)/(exp(2)+6) THEN CAST(l_linenumber AS INTEGER)-1 WHEN {OTHER}>=l_linenumber-1 THEN {OTHER}+1 ELSE {OTHER} END AS x FROM lineitem", base=False)
 def noise_randomized_response(spark, sf):
-    li = table(spark, sf, "lineitem").select("l_linenumber", *[c for c in KEYS if c != "l_linenumber"])
-    level = F.col("l_linenumber").cast("int") - 1
-    s = li.select((noise.randomized_response(level, 7, 2.0, KEYS) == level).cast("double").alias("same")).agg(F.avg("same").alias("m"), F.count("*").alias("n"))
-    p = math.exp(2) / (math.exp(2) + 6)
-    return s.select(F.lit("randomized_response").alias("name"), (F.abs(F.col("m") - p) < 6 * F.sqrt(F.lit(p * (1 - p)) / F.col("n"))).alias("ok"))
+    return row_noise(spark, sf, noise.randomized_response(F.col("l_linenumber").cast("int") - 1, 7, 2.0, KEYS))
 
 
 @register("noise_zero_budget", "SELECT geocode, flag, status, band, CASE WHEN flag<>0 THEN orig END AS y, flag=0 AS unbounded FROM cells")
@@ -192,11 +217,40 @@ def measured(spark, sf, level):
     return f.select("geocode", *DIMS, F.col("priv").cast("double").alias("y"), (1 + F.col("band")).cast("double").alias("v"), "orig")
 
 
-@register("measure_answers", None)
+# shares of levels and queries for persons and units, by halves and thirds of a budget of 2
+SHARES = [(h, level, q, w / 5) for level in (0, 1, 3, 5, 10) for h, q, w in (("person", "total", 0.125), ("person", "flag * status", 0.25), ("person", "any_band", 0.375), ("unit", "detailed", 0.25))]
+UNIT_SCHEMA = query.Schema({"kind": 3})
+KINDS = ["BUILDING", "FURNITURE", "MACHINERY"]
+KIND_SQL = "CASE unit_type WHEN 'BUILDING' THEN 0 WHEN 'FURNITURE' THEN 1 ELSE 2 END"
+ALL_ANSWERS = f""", uc AS (SELECT level, substr(geocode,1,level) AS geocode, {KIND_SQL} AS kind, count(*) AS orig FROM units, levels GROUP BY ALL),
+ a AS (SELECT 'person' AS histogram, level, geocode, 'total' AS query, 'total' AS cell, sum(orig) AS t, 0.125/5*2 AS budget, 1.0 AS s FROM frame GROUP BY ALL
+ UNION ALL SELECT 'person', level, geocode, 'flag * status', flag||' BY '||status, sum(orig), 0.25/5*2, 1.0 FROM frame GROUP BY ALL
+ UNION ALL SELECT 'person', level, geocode, 'any_band', b, sum(orig), 0.375/5*2, 2.0 FROM frame JOIN (VALUES ('first',0),('first',1),('first',2),('last',2),('last',3),('last',4)) g(b,k) ON band=k GROUP BY ALL
+ UNION ALL SELECT 'unit', level, geocode, 'detailed', CAST(kind AS VARCHAR), sum(orig), 0.25/5*2, 1.0 FROM uc GROUP BY ALL) """
+
+
+def all_answers(spark, sf, mechanism):
+    kind = F.when(F.col("unit_type") == KINDS[0], 0).when(F.col("unit_type") == KINDS[1], 1).otherwise(2)
+    u = hist.roll_up(hist.count_by_cell(units(spark, sf).withColumn("kind", kind), ["geocode"], ["kind"]), "geocode", ["kind"], LEVELS, ["orig"])
+    given = {"person": (frame(spark, sf), SCHEMA, ["total", "flag * status", "any_band"], "orig"), "unit": (u, UNIT_SCHEMA, ["detailed"], "orig")}
+    shares = spark.createDataFrame(SHARES, "histogram string, level int, query string, whole double")
+    a = measure.answers(given, shares, 2.0, ["level", "geocode"], mechanism, seed=30)
+    return a.withColumns({"variance": F.round("variance", 6), "budget": F.round("budget", 9)})
+
+
+MEASURE_KEYS = ["histogram", "level", "geocode", "query", "cell"]
+
+
+@register("measure_answers", ALL_ANSWERS + f"SELECT histogram, level, geocode, query, cell, CAST(t AS BIGINT)+{geometric_sql('exp(-budget/s)', 30, *MEASURE_KEYS)} AS answer, round(2*exp(-budget/s)/power(1-exp(-budget/s),2),6) AS variance, round(budget,9) AS budget FROM a")
 def measure_answers(spark, sf):
-    """Every level's cells with keyed whole-number noise for a half of the budget each; truth dropped."""
-    y = F.col("orig") + noise.double_geometric(["level", "geocode", *DIMS], 0.5)
-    return frame(spark, sf).select("level", "geocode", *DIMS, y.alias("answer"), F.lit(noise.geometric_variance(0.5)).alias("variance"), F.lit(0.5).alias("budget"))
+    """Every budgeted query of persons and units at every level, with noise by level share times query share."""
+    return all_answers(spark, sf, measure.pure_geometric)
+
+
+@register("measure_answers_zcdp", ALL_ANSWERS + f"SELECT histogram, level, geocode, query, cell, CAST(t AS BIGINT)+{normal_sql('s*s/(2*budget)', 30, *MEASURE_KEYS)} AS answer, round(s*s/(2*budget),6) AS variance, round(budget,9) AS budget FROM a")
+def measure_answers_zcdp(spark, sf):
+    """The same under a zCDP budget."""
+    return all_answers(spark, sf, measure.zcdp_gaussian)
 
 
 @register("measure_drop_truth", MEAS + f"SELECT level, geocode, {D}, y, v FROM m")
@@ -229,9 +283,12 @@ def measure_rescale_weights(spark, sf):
     return f.select("geocode", *DIMS, F.round("v", 6).alias("v"))
 
 
-@register("measure_bottom_up", "SELECT geocode, flag, status, band, priv AS n FROM frame WHERE level=10")
+@register("measure_bottom_up", f"SELECT geocode, flag, status, band, greatest(orig+{geometric_sql('exp(-1.0)', 40, 'geocode', 'flag', 'status', 'band')},0) AS n FROM cells")
 def measure_bottom_up(spark, sf):
-    return measured(spark, sf, 10).select("geocode", *DIMS, F.greatest(F.round("y").cast("long"), F.lit(0)).alias("n"))
+    """Bottom units measured by themselves and made non-negative, without any other level."""
+    keys = ["geocode", *DIMS]
+    y = F.col("orig") + noise.double_geometric(keys, 1.0, seed=40)
+    return cells(spark, sf).select(*keys, F.greatest(y, F.lit(0).cast("long")).alias("n"))
 
 
 CH = MEAS + f", t AS (SELECT geocode AS parent, {D}, orig AS total FROM m WHERE level=3), c AS (SELECT m.*, t.parent, total FROM m JOIN t ON substr(m.geocode,1,3)=t.parent AND m.flag=t.flag AND m.status=t.status AND m.band=t.band WHERE level=5) "
@@ -266,12 +323,14 @@ def fit_round_controlled(spark, sf):
 
 def fitted_levels(spark, sf):
     lengths = [0, 1, 3, 5, 10]
-    return lengths, fit.top_down([measured(spark, sf, n).drop("orig") for n in lengths], "geocode", lengths[:-1], DIMS)
+    all_levels = files.kept(frame(spark, sf), "measured")
+    at = lambda n: all_levels.filter(F.col("level") == n).select("geocode", *DIMS, F.col("priv").cast("double").alias("y"), (1 + F.col("band")).cast("double").alias("v"))
+    return lengths, fit.top_down([at(n) for n in lengths], "geocode", lengths[:-1], DIMS, lambda f: files.kept(f, "fitted"))
 
 
 @register("fit_top_down", "SELECT level, CASE WHEN level=0 THEN 1 ELSE 0 END AS is_top, CAST(sum(CASE WHEN level=0 THEN priv ELSE 0 END) AS BIGINT) AS n_top, true AS adds_up, true AS non_negative FROM frame GROUP BY level")
 def fit_top_down(spark, sf):
-    """All levels fitted from the top; for each level whether it adds up to the level above and is non-negative."""
+    """All levels fitted from the top, each written before the next; for each level whether it adds up to the level above and is non-negative."""
     lengths, out = fitted_levels(spark, sf)
     rows = None
     for i, (n, f) in enumerate(zip(lengths, out)):
@@ -316,13 +375,20 @@ def fit_empty_parent(spark, sf):
     return fit.round_controlled(x, FAMILY, "total", ["geocode"]).select("geocode", *DIMS, "n")
 
 
-@register("fit_bounds", "SELECT true AS within, true AS near")
+BOUNDS = CH + f""", b AS (SELECT *, 0.0::DOUBLE AS lo, CAST(floor(orig*0.75)+2 AS DOUBLE) AS hi FROM c),
+ e AS (SELECT parent, {D}, geocode, CAST(total AS DOUBLE) AS total, (y-hi)/v AS t, v AS slope, hi AS start FROM b UNION ALL SELECT parent, {D}, geocode, CAST(total AS DOUBLE), (y-lo)/v, -v, 0.0 FROM b),
+ e2 AS (SELECT *, sum(slope) OVER w AS s, t-lag(t) OVER w AS d, sum(start) OVER (PARTITION BY parent, {D}) AS top FROM e WINDOW w AS (PARTITION BY parent, {D} ORDER BY t, slope DESC, geocode)),
+ e3 AS (SELECT *, coalesce(lag(s) OVER w*d, 0.0) AS off FROM e2 WINDOW w AS (PARTITION BY parent, {D} ORDER BY t, slope DESC, geocode)),
+ e4 AS (SELECT *, top-sum(off) OVER (PARTITION BY parent, {D} ORDER BY t, slope DESC, geocode ROWS UNBOUNDED PRECEDING) AS g FROM e3),
+ l AS (SELECT parent, {D}, max(t+CASE WHEN s>1e-12 THEN (g-total)/s ELSE 0 END) AS t FROM (SELECT *, row_number() OVER (PARTITION BY parent, {D} ORDER BY t DESC, s DESC) AS k FROM e4 WHERE g>=total-1e-9) WHERE k=1 GROUP BY ALL) """
+
+
+@register("fit_bounds", BOUNDS + f"SELECT b.geocode, b.flag, b.status, b.band, round(CASE WHEN l.t IS NULL THEN hi ELSE greatest(least(y-l.t*v,hi),lo) END,6) AS x, sum(lo) OVER w<=b.total AND sum(hi) OVER w>=b.total AS met FROM b LEFT JOIN l ON b.parent=l.parent AND b.flag=l.flag AND b.status=l.status AND b.band=l.band WINDOW w AS (PARTITION BY b.parent, b.flag, b.status, b.band)")
 def fit_bounds(spark, sf):
-    """Children kept within [1, 3 * true + 5]: all bounds hold, and totals are met wherever the bounds leave room."""
-    c = children(spark, sf).withColumns({"lo": F.lit(0), "hi": 3 * F.col("orig") + 5, "x": F.col("y")})
+    """Children kept within [0, three quarters of the truth + 2]: bounds hold, totals are met where the bounds leave room and else reported."""
+    c = children(spark, sf).withColumns({"lo": F.lit(0.0), "hi": (F.floor(F.col("orig") * 0.75) + 2).cast("double")})
     b = fit.bounded(c, FAMILY, "total", "lo", "hi", ["geocode"])
-    s = b.groupBy(*FAMILY).agg(F.min((F.col("x") >= F.col("lo") - 1e-6) & (F.col("x") <= F.col("hi") + 1e-6)).alias("w"), F.sum("x").alias("s"), F.max("total").alias("t"))
-    return s.agg(F.min("w").alias("within"), F.min(F.abs(F.col("s") - F.col("t")) < 0.01).alias("near"))
+    return b.select("geocode", *DIMS, F.round("x", 6).alias("x"), "met")
 
 
 SP = "substr(geocode,1,3)"
@@ -345,20 +411,60 @@ def geo_level_and_parent(spark, sf):
     return frame(spark, sf).select("geocode").distinct().select("geocode", level.alias("level"), parent.alias("parent"))
 
 
-@register("geo_crosswalk", "SELECT geocode, unit, substr(geocode,1,1) AS region, substr(geocode,1,3) AS nation, CAST(unit % 7 AS VARCHAR) AS district, CASE WHEN unit % 5=0 THEN '99999' ELSE substr(geocode,2,4) END AS place FROM units")
+REF_COLUMNS = "state string, county string, tract string, block string, place string, cousub string, upper string, lower string, school string, urban string, vtd string, tribal string"
+REF = """, ref AS (SELECT substr(geocode,1,1) AS state, substr(geocode,2,2) AS county, substr(geocode,4,2) AS tract, substr(geocode,6,5) AS block, CASE WHEN unit%5=0 THEN '99999' ELSE lpad(CAST(unit%40 AS VARCHAR),5,'0') END AS place, lpad(CAST(unit%9 AS VARCHAR),5,'0') AS cousub,
+ lpad(CAST(unit%7 AS VARCHAR),3,'0') AS upper, lpad(CAST(unit%11 AS VARCHAR),3,'0') AS lower, lpad(CAST(unit%13 AS VARCHAR),5,'0') AS school, CASE WHEN unit%4=0 THEN '' ELSE 'U' || CAST(unit%4 AS VARCHAR) END AS urban, 'V' || CAST(unit%6 AS VARCHAR) AS vtd, CASE WHEN unit%10=0 THEN lpad(CAST(unit%300 AS VARCHAR),4,'0') ELSE '99999' END AS tribal FROM units) """
+
+
+def reference(spark, sf):
+    """A block reference file, written and read as text."""
+    path = files.scratch(spark, "blocks")
+    u = F.col("unit")
+    pad = lambda x, n: F.lpad(x.cast("string"), n, "0")
+    part = lambda at, n: F.substring("geocode", at, n)
+    r = units(spark, sf).select(
+        part(1, 1).alias("state"), part(2, 2).alias("county"), part(4, 2).alias("tract"), part(6, 5).alias("block"), F.when(u % 5 == 0, "99999").otherwise(pad(u % 40, 5)).alias("place"), pad(u % 9, 5).alias("cousub"), pad(u % 7, 3).alias("upper"),
+        pad(u % 11, 3).alias("lower"), pad(u % 13, 5).alias("school"), F.when(u % 4 == 0, "").otherwise(F.concat(F.lit("U"), (u % 4).cast("string"))).alias("urban"), F.concat(F.lit("V"), (u % 6).cast("string")).alias("vtd"),
+        F.when(u % 10 == 0, pad(u % 300, 4)).otherwise("99999").alias("tribal"),
+    )
+    files.write_delimited(r, path)
+    return files.read_delimited(spark, path, REF_COLUMNS).withColumn("urban", F.coalesce("urban", F.lit("")))
+
+
+@register("geo_crosswalk", REF + "SELECT *, state||county AS county_id, state||county||tract AS tract_id, state||county||tract||substr(block,1,1) AS group_id, rpad(state||county||tract||block,15,'0') AS block15, state||place AS place_id, state||upper AS upper_id, state||lower AS lower_id, state||school AS school_id, state||county||cousub AS cousub_id, state||county||vtd AS vtd_id, CASE WHEN urban='' THEN 'rural' ELSE urban END AS urban_id, tribal<>'99999' AS is_tribal, CASE WHEN tribal<>'99999' THEN tribal END AS tribal_id, state||CASE WHEN tribal<>'99999' THEN '1' ELSE '0' END AS state_part, CASE WHEN tribal<>'99999' THEN 'T'||tribal WHEN place<>'99999' THEN 'P'||state||place ELSE 'S'||state||county||cousub END AS entity, CASE WHEN CAST(tract AS INTEGER)<=9 THEN 'north' WHEN CAST(tract AS INTEGER) BETWEEN 10 AND 29 THEN 'middle' END AS district FROM ref")
 def geo_crosswalk(spark, sf):
-    u = units(spark, sf)
-    return u.select("geocode", "unit", F.substring("geocode", 1, 1).alias("region"), F.substring("geocode", 1, 3).alias("nation"), (F.col("unit") % 7).cast("string").alias("district"), F.when(F.col("unit") % 5 == 0, "99999").otherwise(F.substring("geocode", 2, 4)).alias("place"))
+    return spine.crosswalk(reference(spark, sf), {"district": [(0, 9, "north"), (10, 29, "middle")]})
 
 
-@register("geo_drop_not_in_area", "SELECT substr(geocode,2,4) AS place, count(*) AS n FROM units WHERE unit % 5<>0 GROUP BY 1")
+@register("geo_drop_not_in_area", REF + "SELECT place, count(*) AS n FROM ref WHERE place<>'99999' GROUP BY 1")
 def geo_drop_not_in_area(spark, sf):
-    return geo_crosswalk(spark, sf).filter(~F.col("place").endswith("99999")).groupBy("place").agg(F.count("*").alias("n"))
+    return spine.crosswalk(reference(spark, sf)).filter(~F.col("place_id").endswith(spine.NOWHERE)).groupBy("place").agg(F.count("*").alias("n"))
+
+
+GROUPS = f""", u AS (SELECT DISTINCT substr(geocode,1,5) AS parent, geocode FROM units), g AS (SELECT geocode, CAST(floor((row_number() OVER (PARTITION BY parent ORDER BY geocode)-1)/4.0) AS INTEGER) AS grp FROM u) """
+WIDTHS = {"state": 1, "county": 2, "tract": 2, "group": 3, "block": 5}
+
+
+def working(spark, sf):
+    """Working ids by groups of four blocks; every tenth unit is in a tribal area, units divisible by seven are in no group."""
+    u = units(spark, sf).select("unit", "geocode")
+    g = spine.group_children(u.withColumn("parent", F.substring("geocode", 1, 5)), "parent", "geocode", 4)
+    known = g.join(u, "geocode").filter("unit % 7 <> 0").select("geocode", "group", (F.col("unit") % 10 == 0).alias("tribal"))
+    return spine.working_ids(u.select("geocode"), known, "geocode", WIDTHS)
+
+
+WORKING = GROUPS + "SELECT units.geocode, CASE WHEN unit%7<>0 AND unit%10=0 THEN '1' ELSE '0' END||substr(units.geocode,1,5)||lpad(CAST(CASE WHEN unit%7<>0 THEN grp ELSE 0 END AS VARCHAR),3,'0')||substr(units.geocode,6,5)||'-'||units.geocode AS working{} FROM units JOIN g ON g.geocode=units.geocode"
+
+
+@register("spine_tribal_hierarchy", WORKING.format(""))
+def spine_tribal_hierarchy(spark, sf):
+    return working(spark, sf)
 
 
-@register("geo_restore_block_code", "SELECT DISTINCT unit, geocode FROM units")
+@register("geo_restore_block_code", WORKING.format(", units.geocode AS back"))
 def geo_restore_block_code(spark, sf):
-    return units(spark, sf).select("unit", F.concat(F.lit("1"), F.substring("geocode", 1, 5), F.col("geocode")).alias("working")).select("unit", F.expr("right(working, 10)").alias("geocode"))
+    """Working ids and the codes taken back from them."""
+    return working(spark, sf).withColumn("back", spine.original_ids(F.col("working")))
 
 
 @register("spine_group_children", f", u AS (SELECT DISTINCT {SP} AS parent, geocode AS child FROM units), n AS (SELECT *, row_number() OVER (PARTITION BY parent ORDER BY child)-1 AS i FROM u) SELECT parent, child, CAST(floor(i/4.0) AS INTEGER) AS \"group\" FROM n")
@@ -379,39 +485,48 @@ def spine_entity_distance(spark, sf):
     return spine.entity_distance(b, "geocode", [5, 3, 0], "inside")
 
 
-@register("spine_bypass", ", u AS (SELECT DISTINCT substr(geocode,1,5) AS geo FROM units), p AS (SELECT geo, substr(geo,1,3) AS parent, count(*) OVER (PARTITION BY substr(geo,1,3))=1 AS alone FROM u) SELECT parent, geo, CASE WHEN alone THEN 0.0 ELSE 0.25 END::DOUBLE AS share, CASE WHEN alone THEN 0.25 ELSE 0.0 END::DOUBLE AS to_parent FROM p")
+BYPASS = ", u AS (SELECT DISTINCT substr(geocode,1,5) AS geo FROM units), s AS (SELECT geo, substr(geo,1,3) AS parent, 0.125+0.125*(ascii(right(geo,1))%2) AS share FROM u), f AS (SELECT *, count(*) OVER (PARTITION BY parent) AS k, min(share) OVER (PARTITION BY parent) AS least FROM s), p AS (SELECT *, k=1 OR (k<=4 AND 2*least>=(k-1)*0.0625) AS away FROM f) "
+
+
+@register("spine_bypass", BYPASS + "SELECT parent, geo, CAST(CASE WHEN away THEN share-least ELSE share END AS DOUBLE) AS share, CAST(CASE WHEN away THEN least ELSE 0 END AS DOUBLE) AS to_parent FROM p")
 def spine_bypass(spark, sf):
-    u = units(spark, sf).select(F.substring("geocode", 1, 5).alias("geo")).distinct().withColumn("share", F.lit(0.25))
-    return spine.bypass(u, F.substring("geo", 1, 3))
+    """Single children hand up their share, and so do families of up to four whose least share outweighs the parent's."""
+    u = units(spark, sf).select(F.substring("geocode", 1, 5).alias("geo")).distinct().withColumn("share", 0.125 + 0.125 * (F.ascii(F.substring("geo", -1, 1)) % 2))
+    parents = u.select(F.substring("geo", 1, 3).alias("parent")).distinct().withColumn("parent_share", F.lit(0.0625))
+    return spine.bypass(u, F.substring("geo", 1, 3), parents, 4)
+
 
+PATHS = ", b AS (SELECT DISTINCT level, geocode, CASE WHEN level=10 THEN 0.25+0.25*(ascii(right(geocode,1))%2) ELSE 0.125 END::DOUBLE AS share FROM rolled) "
 
-@register("spine_budget_check", "SELECT level, 0.2::DOUBLE AS least, 0.2::DOUBLE AS most, count(DISTINCT geocode) AS units FROM rolled GROUP BY level")
+
+@register("spine_budget_check", PATHS + "SELECT k.geocode AS block, round(sum(b.share),9) AS spent, count(*) AS units, abs(sum(b.share)-1)<1e-7 AS whole FROM b k JOIN b ON b.geocode=substr(k.geocode,1,b.level) WHERE k.level=10 GROUP BY 1")
 def spine_budget_check(spark, sf):
-    b = frame(spark, sf).select("level", "geocode").distinct().withColumn("share", F.lit(0.2))
-    return b.groupBy("level").agg(F.min("share").alias("least"), F.max("share").alias("most"), F.count("*").alias("units"))
+    """Budget that each root-to-block path carries: blocks with an odd last digit get the rest of a whole one."""
+    share = F.when(F.col("level") == 10, 0.25 + 0.25 * (F.ascii(F.substring("geocode", -1, 1)) % 2)).otherwise(0.125)
+    b = frame(spark, sf).select("level", "geocode").distinct().select("geocode", share.alias("share"))
+    paths = ledger.spent_on_paths(b, "geocode", LEVELS)
+    return paths.select("block", F.round("spent", 9).alias("spent"), "units", (F.abs(F.col("spent") - 1) < 1e-7).alias("whole"))
+
+
+@register("spine_level_shares", PATHS + "SELECT level, min(share) AS least, max(share) AS most, mode(share) AS most_common, count(*) AS units FROM b WHERE level<10 GROUP BY level")
+def spine_level_shares(spark, sf):
+    """Least, greatest and most common share of each level above the blocks."""
+    b = frame(spark, sf).filter("level < 10").select("level", "geocode").distinct().withColumn("share", F.lit(0.125))
+    return b.groupBy("level").agg(F.min("share").alias("least"), F.max("share").alias("most"), F.mode("share").alias("most_common"), F.count("*").alias("units"))
 
 
 @register("spine_codes_by_level", "SELECT level, geocode, row_number() OVER (PARTITION BY level ORDER BY geocode)-1 AS position FROM (SELECT DISTINCT level, geocode FROM rolled)")
 def spine_codes_by_level(spark, sf):
-    from pyspark.sql import Window as W
-
-    c = frame(spark, sf).select("level", "geocode").distinct()
-    return c.withColumn("position", (F.row_number().over(W.partitionBy("level").orderBy("geocode")) - 1).cast("long"))
+    return order.numbered(frame(spark, sf).select("level", "geocode").distinct(), ["geocode"], "position", ["level"])
 
 
-@register("spine_facility_signature", f"SELECT {SP} AS geocode, max(CASE WHEN unit_type='BUILDING' THEN '1' ELSE '0' END)||max(CASE WHEN unit_type='FURNITURE' THEN '1' ELSE '0' END)||max(CASE WHEN unit_type='MACHINERY' THEN '1' ELSE '0' END) AS signature FROM units WHERE unit%3=0 GROUP BY 1")
+@register("spine_facility_signature", f"SELECT {SP} AS geocode, max(CASE WHEN unit_type='BUILDING' THEN '1' ELSE '0' END)||max(CASE WHEN unit_type='FURNITURE' THEN '1' ELSE '0' END)||max(CASE WHEN unit_type='MACHINERY' THEN '1' ELSE '0' END) AS signature FROM units GROUP BY 1")
 def spine_facility_signature(spark, sf):
-    u = units(spark, sf).filter("unit % 3 = 0").withColumn("geocode", F.substring("geocode", 1, 3))
+    u = units(spark, sf).withColumn("geocode", F.substring("geocode", 1, 3))
     return spine.facility_signature(u, "geocode", "unit_type", ["BUILDING", "FURNITURE", "MACHINERY"])
 
 
-@register("spine_classify", "SELECT unit, substr(geocode,1,1) AS state, unit%10=0 AS tribal, CASE WHEN unit%10=0 THEN 'T'||substr(geocode,1,1) ELSE substr(geocode,1,3) END AS county FROM units")
+@register("spine_classify", REF + ", k AS (SELECT *, coalesce(tribal<>'99999' AND (CAST(tribal AS INTEGER) BETWEEN 0 AND 99 OR CAST(tribal AS INTEGER) BETWEEN 150 AND 299), false) AS t FROM ref), c AS (SELECT state, tract, block, t AS is_tribal, CASE WHEN t THEN 'T'||tribal ELSE state||county END AS county_part, CASE WHEN state IN ('1','3') OR place='99999' THEN 'S'||cousub ELSE 'P'||place END AS area FROM k) SELECT *, county_part||'-'||area AS primitive FROM c")
 def spine_classify(spark, sf):
-    tribal = F.col("unit") % 10 == 0
-    return units(spark, sf).select("unit", F.substring("geocode", 1, 1).alias("state"), tribal.alias("tribal"), F.when(tribal, F.concat(F.lit("T"), F.substring("geocode", 1, 1))).otherwise(F.substring("geocode", 1, 3)).alias("county"))
-
-
-@register("spine_tribal_hierarchy", "SELECT geocode, CASE WHEN unit%10=0 THEN '1' ELSE '0' END||substr(geocode,1,5)||geocode AS working FROM units")
-def spine_tribal_hierarchy(spark, sf):
-    flag = F.when(F.col("unit") % 10 == 0, "1").otherwise("0")
-    return units(spark, sf).select("geocode", F.concat(flag, F.substring("geocode", 1, 5), F.col("geocode")).alias("working"))
+    """Blocks by intervals of tribal codes and by how their state is governed."""
+    return spine.classify(reference(spark, sf), [(0, 99), (150, 299)], ["1", "3"])

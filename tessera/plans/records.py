@@ -7,8 +7,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.functions import recode
-from tessera.operators import hist
+from tessera.operators import hist, metrics, order, resample
 from tessera.plans.base import DIMS, SIZES, cells, frame, persons, register, table, units
+from tessera.plans.privacy import uniform_sql
 from tessera.sources import files
 
 
@@ -54,10 +55,15 @@ def recode_size_topcode(spark, sf):
     return sizes(spark, sf).withColumn("size", recode.topcode(F.col("n"), 70, 10))
 
 
-@register("recode_relationship_gq", f"SELECT orderkey, run, qty, CAST(CASE WHEN n>30 THEN prio ELSE prio+5 END AS INTEGER) AS code FROM persons JOIN {SIZE} s ON persons.unit=s.unit")
+FACILITIES = ["BUILDING", "MACHINERY"]
+
+
+@register("recode_relationship_gq", f"SELECT orderkey, run, qty, CAST(CASE unit_type WHEN 'BUILDING' THEN 5 WHEN 'MACHINERY' THEN 6 ELSE CASE WHEN prio=0 THEN CASE WHEN n=1 THEN 0 ELSE 1 END WHEN prio<=3 THEN 1+prio END END AS INTEGER) AS code FROM persons JOIN {SIZE} s ON persons.unit=s.unit")
 def recode_relationship_gq(spark, sf):
+    """Relationship in households, alone or not by the unit's population; kind of facility elsewhere."""
     j = persons(spark, sf).join(sizes(spark, sf), "unit")
-    return j.select("orderkey", "run", "qty", F.when(F.col("n") > 30, F.col("prio")).otherwise(F.col("prio") + 5).cast("int").alias("code"))
+    facility = F.when(F.col("unit_type").isin(FACILITIES), F.col("unit_type"))
+    return j.select("orderkey", "run", "qty", recode.relationship_or_facility(F.col("prio"), facility, F.col("n"), 3, FACILITIES).alias("code"))
 
 
 @register("recode_facility_8level", "SELECT p_partkey AS id, CASE WHEN p_size%10=0 THEN 0 ELSE least(CAST(substr(CAST(p_size*20 AS VARCHAR),1,1) AS INTEGER),7) END AS level FROM part", base=False)
@@ -89,9 +95,15 @@ def recode_elderly_presence(spark, sf):
     return presence(spark, sf).select("unit", recode.bands(F.col("oldest"), [0, 40, 45, 49]).alias("elderly"))
 
 
-@register("recode_household_type_lookup", f"SELECT unit, CAST(CASE young*2+older WHEN 3 THEN 12 WHEN 2 THEN 7 WHEN 0 THEN 4 END AS INTEGER) AS type FROM {PRES}")
+FLAGS = "young*12+older*6+CASE WHEN oldest>=45 THEN 3 ELSE 0 END+unit%3"
+
+
+@register("recode_household_type_lookup", f"SELECT unit, CASE WHEN ({FLAGS})%5<>4 THEN ({FLAGS})*7%24 END AS type FROM {PRES}")
 def recode_household_type_lookup(spark, sf):
-    return presence(spark, sf).select("unit", recode.lookup(F.col("young") * 2 + F.col("older"), {3: 12, 2: 7, 0: 4}).alias("type"))
+    """Four flags packed into one key of 24 values; the table of types lacks some."""
+    key = recode.packed([F.col("young"), F.col("older"), F.when(F.col("oldest") >= 45, 1).otherwise(0), (F.col("unit") % 3).cast("int")], [2, 2, 2, 3])
+    types = spark.createDataFrame([(k, k * 7 % 24) for k in range(24) if k % 5 != 4], "key int, type int")
+    return recode.by_table(presence(spark, sf), key, types, "type", "type").select("unit", "type")
 
 
 @register("recode_type_from_marginals", f"SELECT unit, CAST(CASE WHEN young=1 AND older=1 THEN 4 WHEN young=1 THEN 2 WHEN older=1 THEN 3 END AS INTEGER) AS type FROM {PRES}")
@@ -99,15 +111,24 @@ def recode_type_from_marginals(spark, sf):
     return presence(spark, sf).select("unit", recode.candidates({"young": {1: [2, 4], 0: [3]}, "older": {1: [3, 4], 0: [2]}}).alias("type"))
 
 
-@register("recode_citizen_race_12", "SELECT orderkey, run, qty, CAST(flag*2+status AS INTEGER) AS race6 FROM persons")
+@register("recode_citizen_race_12", "SELECT orderkey, run, qty, CASE WHEN prio<4 THEN CAST(status*6+CASE WHEN prio=3 THEN 5 ELSE prio+flag%2 END AS INTEGER) END AS race12 FROM persons")
 def recode_citizen_race_12(spark, sf):
-    table6 = {f * 2 + s: f * 2 + s for f in range(3) for s in range(2)}
-    return persons(spark, sf).select("orderkey", "run", "qty", recode.lookup(F.col("flag") * 2 + F.col("status"), table6).alias("race6"))
+    """File codes are remapped by a table, then crossed with origin: twelve levels, null for codes that the table lacks."""
+    remap = {p * 3 + f: 5 if p == 3 else p + f % 2 for p in range(4) for f in range(3)}
+    race = recode.lookup(F.col("prio") * 3 + F.col("flag"), remap)
+    return persons(spark, sf).select("orderkey", "run", "qty", recode.origin_and_race(F.col("status"), race, 6).alias("race12"))
 
 
-@register("recode_historic_1940", "SELECT orderkey, run, qty, prio-1 AS sex, least(qty,40) AS age, CASE WHEN flag=0 THEN 0 ELSE 1 END AS binary FROM persons")
+@register("recode_historic_1940", "SELECT orderkey, run, qty, CAST(CASE prio WHEN 1 THEN 0 WHEN 2 THEN 1 END AS INTEGER) AS sex, least(qty,40) AS age, CAST(CASE WHEN flag=0 THEN 0 ELSE 1 END AS INTEGER) AS citizen, CAST(CASE WHEN qty<10 THEN 0 WHEN qty<30 THEN 1 ELSE 2 END AS INTEGER) AS school, CAST(status*3+flag AS INTEGER) AS origin_race FROM persons WHERE prio IN (1,2)")
 def recode_historic_1940(spark, sf):
-    return persons(spark, sf).select("orderkey", "run", "qty", (F.col("prio") - 1).alias("sex"), recode.topcode(F.col("qty"), 40).alias("age"), F.when(F.col("flag") == 0, 0).otherwise(1).alias("binary"))
+    """The old file's codes: sex from 1 and 2, ages topped, citizenship, schooling in bands, origin by race; rows with other sexes go."""
+    return recode.apply_recodes(
+        persons(spark, sf),
+        {
+            "sex": recode.lookup(F.col("prio"), {1: 0, 2: 1}), "age": recode.topcode(F.col("qty"), 40), "citizen": F.when(F.col("flag") == 0, 0).otherwise(1),
+            "school": recode.bands(F.col("qty"), [0, 10, 30]), "origin_race": recode.origin_and_race(F.col("status"), F.col("flag"), 3),
+        },
+    ).filter("sex is not null").select("orderkey", "run", "qty", "sex", "age", "citizen", "school", "origin_race")
 
 
 @register("recode_from_output_layout", "SELECT geocode, CASE l WHEN 'F' THEN 0 ELSE 1 END AS status, count(*) AS n FROM (SELECT geocode, CASE status WHEN 0 THEN 'F' ELSE 'O' END AS l FROM persons) GROUP BY ALL")
@@ -173,11 +194,23 @@ def io_read_fixed_width(spark, sf):
     return files.read_fixed_width(spark, path, LAYOUT)
 
 
-@register("io_read_record_type", "SELECT geocode, flag, status, band FROM persons WHERE geocode LIKE '1%'")
+TYPES = {
+    "H": [("geocode", 2, 10, "string"), ("unit", 12, 8, "int"), ("size", 20, 6, "int")],
+    "P": [("geocode", 2, 10, "string"), ("unit", 12, 8, "int"), ("qty", 20, 6, "int")],
+}
+
+
+@register("io_read_record_type", "SELECT 'H' AS kind, u.geocode, u.unit, count(p.unit) AS number FROM units u LEFT JOIN persons p ON p.unit=u.unit GROUP BY ALL HAVING count(p.unit)>0 UNION ALL SELECT 'P', geocode, unit, qty FROM persons")
 def io_read_record_type(spark, sf):
+    """Household and person lines in one file, each read by its own layout; only households that hold persons are kept."""
     path = files.scratch(spark, "types")
-    files.write_fixed_width(persons(spark, sf), path, LAYOUT)
-    return files.read_fixed_width(spark, path, LAYOUT, F.col("value").startswith("1"))
+    line = lambda kind, number: F.concat(F.lit(kind), F.rpad("geocode", 10, " "), F.rpad(F.col("unit").cast("string"), 8, " "), F.rpad(F.col(number).cast("string"), 6, " ")).alias("value")
+    p = persons(spark, sf)
+    size = units(spark, sf).join(p.groupBy("unit").agg(F.count("*").alias("size")), "unit", "left").withColumn("size", F.coalesce("size", F.lit(0)))
+    size.select(line("H", "size")).union(p.select(line("P", "qty"))).write.text(path)
+    found = files.read_record_types(spark, path, TYPES)
+    h = found["H"].filter("size > 0").select(F.lit("H").alias("kind"), "geocode", "unit", F.col("size").alias("number"))
+    return h.union(found["P"].select(F.lit("P"), "geocode", "unit", "qty")).withColumn("number", F.col("number").cast("long"))
 
 
 @register("io_filter_test_area", "SELECT geocode, count(*) AS n FROM persons WHERE geocode LIKE '2%' GROUP BY 1")
@@ -185,21 +218,31 @@ def io_filter_test_area(spark, sf):
     return persons(spark, sf).filter(F.col("geocode").startswith("2")).groupBy("geocode").agg(F.count("*").alias("n"))
 
 
-@register("io_read_geo_reference", "SELECT DISTINCT unit AS oidtb, geocode FROM units")
+@register("io_read_geo_reference", "SELECT unit AS oidtb, geocode FROM units")
 def io_read_geo_reference(spark, sf):
-    return units(spark, sf).filter("geocode is not null").select(F.col("unit").alias("oidtb"), "geocode").distinct()
+    """A block reference file of code parts, some lines twice: parts are put together to the working code."""
+    path = files.scratch(spark, "reference")
+    u = units(spark, sf).select(F.col("unit").alias("oidtb"), *[F.substring("geocode", at, n).alias(c) for c, at, n in (("state", 1, 1), ("county", 2, 2), ("tract", 4, 2), ("block", 6, 5))])
+    files.write_delimited(u.union(u.filter("oidtb % 3 = 0")), path)
+    r = files.read_delimited(spark, path, "oidtb long, state string, county string, tract string, block string")
+    return r.filter("block is not null").select("oidtb", F.concat("state", "county", "tract", "block").alias("geocode")).distinct()
 
 
-@register("io_read_crosswalk_map", "SELECT c_custkey AS unit, coalesce(s.n,'') AS primgeo FROM customer LEFT JOIN (SELECT s_nationkey AS k, CAST(count(*) AS VARCHAR) AS n FROM supplier GROUP BY 1) s ON c_nationkey=k", base=False)
+@register("io_read_crosswalk_map", "SELECT c_custkey AS unit, coalesce(s.n,'none') AS primgeo FROM customer LEFT JOIN (SELECT s_nationkey AS k, CAST(count(*) AS VARCHAR) AS n FROM supplier WHERE s_nationkey%2=0 GROUP BY 1) s ON c_nationkey=k", base=False)
 def io_read_crosswalk_map(spark, sf):
-    m = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("c_nationkey")).agg(F.count("*").cast("string").alias("primgeo"))
-    return table(spark, sf, "customer").join(m, "c_nationkey", "left").select(F.col("c_custkey").alias("unit"), F.coalesce("primgeo", F.lit("")).alias("primgeo"))
+    """Codes by a map file that lacks some keys."""
+    path = files.scratch(spark, "map")
+    s = table(spark, sf, "supplier").filter("s_nationkey % 2 = 0").groupBy(F.col("s_nationkey").alias("c_nationkey")).agg(F.count("*").cast("string").alias("primgeo"))
+    files.write_delimited(s, path)
+    c = files.read_mapped(spark, table(spark, sf, "customer").select("c_custkey", "c_nationkey"), path, "c_nationkey", "primgeo", "none")
+    return c.select(F.col("c_custkey").alias("unit"), "primgeo")
 
 
 @register("io_read_land_area", "SELECT p_partkey AS id, round(CAST(p_retailprice*1000000 AS DOUBLE)/2589988,6) AS land, round(CAST(p_size*1000000 AS DOUBLE)/2589988,6) AS water, round(CAST(p_retailprice*1000000 AS DOUBLE)/2589988+CAST(p_size*1000000 AS DOUBLE)/2589988,6) AS area FROM part", base=False)
 def io_read_land_area(spark, sf):
-    land, water = F.col("p_retailprice") * 1000000 / 2589988, (F.col("p_size") * 1000000).cast("double") / 2589988
-    return table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.round(land, 6).alias("land"), F.round(water, 6).alias("water"), F.round(land + water, 6).alias("area"))
+    path = files.scratch(spark, "areas")
+    files.write_delimited(table(spark, sf, "part").select(F.col("p_partkey").alias("id"), (F.col("p_retailprice") * 1000000).cast("double").alias("land"), (F.col("p_size") * 1000000).cast("double").alias("water")), path)
+    return files.read_areas(spark, path, "id").select("id", *[F.round(c, 6).alias(c) for c in ("land", "water", "area")])
 
 
 @register("io_read_noisy_by_level", "SELECT level, geocode, flag, status, band, priv FROM frame WHERE level IN (1,3)")
@@ -212,23 +255,33 @@ def io_read_noisy_by_level(spark, sf):
 
 @register("io_read_synthetic_as_raw", "SELECT geocode, flag, status, band, priv AS orig FROM frame WHERE level=10 AND priv>0")
 def io_read_synthetic_as_raw(spark, sf):
-    records = files.expand(frame(spark, sf).filter("level = 10").select("geocode", *DIMS, "priv"), "priv")
+    """Written records read as new input: no required field is null, and counts by geocode equal the invariants saved beside them."""
+    out, saved = files.scratch(spark, "synthetic"), files.scratch(spark, "invariants")
+    protected = frame(spark, sf).filter("level = 10")
+    files.write_delimited(files.expand(protected.select("geocode", *DIMS, "priv"), "priv"), out)
+    protected.filter("priv > 0").groupBy("geocode").agg(F.sum("priv").alias("total")).write.parquet(saved)
+    records = files.read_as_raw(files.read_delimited(spark, out, PERSON), ["geocode", *DIMS], ["geocode"], spark.read.parquet(saved), "total")
     return hist.count_by_cell(records, ["geocode"], DIMS)
 
 
 @register("io_read_experiment_runs", "SELECT geocode, flag, status, band, n, run_id, plb FROM (SELECT geocode, flag, status, band, orig AS n, 'a' AS run_id, 1.0::DOUBLE AS plb FROM frame WHERE level=10 UNION ALL SELECT geocode, flag, status, band, priv, 'b', 4.0::DOUBLE FROM frame WHERE level=10)")
 def io_read_experiment_runs(spark, sf):
+    """Two runs, each saved by itself, read as one frame."""
     f = frame(spark, sf).filter("level = 10")
-    run = lambda name, value, plb: f.select("geocode", *DIMS, F.col(value).alias("n"), F.lit(name).alias("run_id"), F.lit(plb).alias("plb"))
-    return run("a", "orig", 1.0).unionByName(run("b", "priv", 4.0))
+    runs = {name: (files.scratch(spark, f"run-{name}"), plb) for name, plb in (("a", 1.0), ("b", 4.0))}
+    for (path, _), value in zip(runs.values(), ("orig", "priv")):
+        f.select(F.col(value).alias("n"), *DIMS, "geocode").write.parquet(path)
+    return files.read_runs(spark, runs, ["geocode", *DIMS, "n"])
 
 
-@register("io_read_state_from_path", "SELECT substr(geocode,1,1) AS state, count(*) AS n FROM persons GROUP BY 1")
+@register("io_read_state_from_path", "SELECT 'v'||substr(geocode,1,1) AS state, count(*) AS n FROM persons GROUP BY 1")
 def io_read_state_from_path(spark, sf):
+    """The state is the last part of each file's name, as in unit_counts_v3.txt."""
     path = files.scratch(spark, "states")
-    persons(spark, sf).withColumn("state", F.substring("geocode", 1, 1)).select("geocode", "state").write.partitionBy("state").parquet(path)
-    from_path = F.regexp_extract("_metadata.file_path", r"/state=([^/]*)/", 1)
-    return spark.read.option("recursiveFileLookup", "true").parquet(path).groupBy(from_path.alias("state")).agg(F.count("*").alias("n"))
+    p = persons(spark, sf).select("geocode").withColumn("state", F.substring("geocode", 1, 1))
+    for state in range(table(spark, sf, "region").count()):
+        files.write_named(p.filter(F.col("state") == str(state)).select("geocode"), f"{path}", f"unit_counts_v{state}.txt")
+    return spark.read.option("recursiveFileLookup", "true").text(path).groupBy(files.file_part().alias("state")).agg(F.count("*").alias("n"))
 
 
 @register("sink_microdata", "SELECT geocode, flag, status, band FROM frame, unnest(generate_series(1, priv)) WHERE level=10")
@@ -241,7 +294,7 @@ def sink_microdata(spark, sf):
 
 @register("sink_microdata_numbered", "SELECT geocode, flag, status, band, row_number() OVER (ORDER BY geocode, flag, status, band)-1 AS epnum FROM persons")
 def sink_microdata_numbered(spark, sf):
-    return files.numbered(files.expand(cells(spark, sf), "orig"), ["geocode", *DIMS])
+    return files.numbered_records(cells(spark, sf), "orig", ["geocode", *DIMS])
 
 
 @register("sink_household_units", "SELECT t.geocode, CAST(n-coalesce(h,0) AS BIGINT) AS n FROM (SELECT substr(geocode,1,3) AS geocode, count(*) AS n FROM units GROUP BY 1) t LEFT JOIN (SELECT substr(geocode,1,3) AS geocode, count(DISTINCT unit) AS h FROM persons WHERE ostatus='P' GROUP BY 1) p ON t.geocode=p.geocode WHERE n-coalesce(h,0)>0")
@@ -296,13 +349,23 @@ def sink_noisy_by_level(spark, sf):
 
 @register("sink_measurements_long", f"SELECT 'detailed' AS query, CASE WHEN geocode='' THEN '0' ELSE geocode END AS geocode, {CELL} AS cell, priv AS value FROM frame")
 def sink_measurements_long(spark, sf):
+    """Measurements as a flat delimited file, read back; the root is written as 0."""
+    path = files.scratch(spark, "measurements")
     root = F.when(F.col("geocode") == "", "0").otherwise(F.col("geocode"))
-    return frame(spark, sf).select(F.lit("detailed").alias("query"), root.alias("geocode"), hist.flat_index(DIMS, SIZES).alias("cell"), F.col("priv").alias("value"))
+    files.write_delimited(frame(spark, sf).select(F.lit("detailed").alias("query"), root.alias("geocode"), hist.flat_index(DIMS, SIZES).alias("cell"), F.col("priv").alias("value")), path)
+    return files.read_delimited(spark, path, "query string, geocode string, cell int, value long")
+
 
+DENSE = ", g AS (SELECT DISTINCT geocode FROM frame WHERE level=3), a AS (SELECT * FROM g, (SELECT unnest([0,1,2]) AS flag), (SELECT unnest([0,1]) AS status), (SELECT unnest([0,1,2,3,4]) AS band)), s AS (SELECT geocode, flag, status, band, CASE WHEN geocode LIKE '1%' THEN 0 ELSE orig END AS orig, CASE WHEN geocode LIKE '1%' THEN 0 ELSE priv END AS priv FROM frame WHERE level=3) "
 
-@register("sink_dense_or_sparse_df", "SELECT geocode, flag, status, band, orig, priv FROM frame WHERE level=3 AND (orig<>0 OR priv<>0)")
+
+@register("sink_dense_or_sparse_df", DENSE + "SELECT 'dense' AS kind, a.geocode, a.flag, a.status, a.band, coalesce(orig,0) AS orig, coalesce(priv,0) AS priv FROM a LEFT JOIN s ON a.geocode=s.geocode AND a.flag=s.flag AND a.status=s.status AND a.band=s.band UNION ALL SELECT 'sparse', * FROM s WHERE orig<>0 OR priv<>0 UNION ALL SELECT DISTINCT 'sparse', geocode, 0, 0, 0, 0, 0 FROM s WHERE geocode LIKE '1%'")
 def sink_dense_or_sparse_df(spark, sf):
-    return frame(spark, sf).filter("level = 3 and (orig <> 0 or priv <> 0)").drop("level")
+    """Both forms of one histogram in which a region holds nothing."""
+    empty = F.col("geocode").startswith("1")
+    f = frame(spark, sf).filter("level = 3").select("geocode", *DIMS, *[F.when(empty, 0).otherwise(F.col(v)).cast("long").alias(v) for v in ("orig", "priv")])
+    form = lambda dense: files.dense_or_sparse(f, ["geocode"], DIMS, SIZES, ["orig", "priv"], dense).select(F.lit("dense" if dense else "sparse").alias("kind"), "geocode", *DIMS, "orig", "priv")
+    return form(True).unionByName(form(False))
 
 
 @register("sink_microdata_df", "SELECT geocode, flag, status, band, CASE WHEN band>=2 THEN 'big' ELSE 'small' END AS size FROM persons")
@@ -341,19 +404,18 @@ def udf_recoder_plugin(spark, sf):
     return persons(spark, sf).select("orderkey", "run", "qty", user("qty", "flag").alias("code"))
 
 
-@register("udf_metric_plugin", "SELECT level, geocode, CAST(sum(abs(priv-orig)) AS BIGINT) AS value FROM frame GROUP BY ALL")
+@register("udf_metric_plugin", "SELECT level, geocode, CAST(sum(abs(priv-orig)) AS BIGINT) AS l1, CAST(max(abs(priv-orig)) AS BIGINT) AS farthest FROM frame GROUP BY ALL")
 def udf_metric_plugin(spark, sf):
-    metrics = {"l1": F.sum(F.abs(F.col("priv") - F.col("orig")))}
-    return frame(spark, sf).groupBy("level", "geocode").agg(metrics["l1"].alias("value"))
+    """A metric chosen by its name, among them one of the user's."""
+    metrics.NAMED["farthest"] = lambda priv, orig: F.max(F.abs(priv - orig))
+    return metrics.by_name(frame(spark, sf), ["level", "geocode"], ["l1", "farthest"])
+
+
+DRAWS = f"SELECT state, CAST(lo+floor({uniform_sql(11, 'i')}*c) AS BIGINT) AS i FROM (SELECT substr(geocode,1,1) AS state, i, min(i) OVER (PARTITION BY substr(geocode,1,1)) AS lo, count(*) OVER (PARTITION BY substr(geocode,1,1)) AS c FROM n)"
 
 
-@register("measure_bootstrap", "SELECT substr(geocode,1,1) AS state, count(*) AS n FROM persons GROUP BY 1")
+@register("measure_bootstrap", f", n AS (SELECT geocode, flag, status, band, row_number() OVER (ORDER BY geocode, flag, status, band)-1 AS i FROM persons) SELECT d.state, n.geocode, n.flag, n.status, n.band, count(*) AS n FROM ({DRAWS}) d JOIN n ON n.i=d.i GROUP BY ALL")
 def measure_bootstrap(spark, sf):
-    """Resample each state's records with replacement: its total is kept. Records draw their partner's number, found by a join on (state, number)."""
-    from tessera.operators import noise
-
-    p = persons(spark, sf).select(F.substring("geocode", 1, 1).alias("state"), "geocode", "orderkey", "run", "qty")
-    n = files.numbered(p, ["geocode", "orderkey", "run", "qty"], "i")
-    first = n.groupBy("state").agg(F.min("i").alias("lo"), F.count("*").alias("c"))
-    draw = n.join(first, "state").select("state", (F.col("lo") + F.floor(noise.uniform("i", seed=11) * F.col("c"))).alias("i"))
-    return draw.join(n.select("i", "geocode"), "i").groupBy("state").agg(F.count("*").alias("n"))
+    """Resampled histogram: every record of a state draws one of its state, so state totals are kept and blocks and cells vary."""
+    c = cells(spark, sf).withColumn("state", F.substring("geocode", 1, 1))
+    return resample.bootstrap(c, "state", ["geocode", *DIMS], "orig", seed=11)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.operators import checks, constraints, hist, joins
+from tessera.operators import checks, constraints, hist, joins, partition
 from tessera.plans.base import DIMS, SIZES, frame, persons, protected, cells, register, table, units
 
 
@@ -286,10 +286,21 @@ def ops_distinct(spark, sf):
     return persons(spark, sf).select("unit_type", "flag", "status").distinct()
 
 
-@register("ops_repartition_even", "SELECT substr(geocode,1,3) AS parent, count(*) AS n_rows, count(DISTINCT geocode) AS n_children FROM cells GROUP BY 1")
+@register("ops_repartition_even", "SELECT least(count(*), 16) AS partitions, count(*) AS n_rows, true AS even, true AS in_order FROM cells")
 def ops_repartition_even(spark, sf):
-    c = cells(spark, sf).withColumn("parent", F.substring("geocode", 1, 3)).repartitionByRange("parent", "geocode")
-    return c.groupBy("parent").agg(F.count("*").alias("n_rows"), F.countDistinct("geocode").alias("n_children"))
+    """Contiguous partitions of nearly equal size in the order of the keys, and the statistics that show it."""
+    n = partition.even(cells(spark, sf), ["geocode", *DIMS], 16)
+    s = partition.sizes(n, "part", "position")
+    ends = s.agg(F.count("*").alias("partitions"), F.sum("n_rows").alias("n_rows"), (F.max("n_rows") - F.min("n_rows") <= 1).alias("even"), (F.sum(F.col("last") - F.col("first") + 1) == F.sum("n_rows")).alias("in_order"))
+    return ends.select("partitions", "n_rows", "even", "in_order")
+
+
+@register("ops_partitions_per_key", "SELECT count(DISTINCT substr(geocode,1,3)) AS keys, count(*) AS n_rows, 1::BIGINT AS most FROM cells")
+def ops_partitions_per_key(spark, sf):
+    """Dealt by parent, each parent's rows stand in one partition."""
+    c = cells(spark, sf).withColumn("parent", F.substring("geocode", 1, 3)).repartition("parent")
+    p = partition.per_key(c, ["parent"])
+    return p.agg(F.count("*").alias("keys"), F.sum("n_rows").alias("n_rows"), F.max("partitions").alias("most"))
 
 
 @register("fn_string", "SELECT c_custkey AS id, lpad(CAST(c_custkey AS VARCHAR),8,'0') AS padded, reverse(c_mktsegment) AS back, substr(c_mktsegment,2,3) AS part, length(c_name) AS n, concat_ws('-', c_mktsegment, CAST(c_nationkey AS VARCHAR)) AS joined, starts_with(c_mktsegment,'B') AS b, split_part(c_name,'#',2) AS tail FROM customer", base=False)

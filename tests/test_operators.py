@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import recode
-from tessera.operators import checks, constraints, fit, hist, noise, query
+from tessera.operators import checks, constraints, fit, hist, noise, order, query
+from tessera.sources import files
 
 
 def test_nonneg_projection_is_the_closest_point(spark):
@@ -96,3 +97,82 @@ def test_secure_geometric_distribution(spark):
     got = noise.secure_geometric(spark.range(20000).select(F.lit(0).alias("z")), "z", 1, 1, "x").groupBy("x").count().toPandas().set_index("x")["count"]
     p = (1 - math.exp(-1)) / (1 + math.exp(-1))
     assert abs(got[0] / 20000 - p) < 0.02 and abs(got[1] / 20000 - p * math.exp(-1)) < 0.02
+
+
+def test_discrete_gaussian_distribution():
+    draws = np.array([noise.discrete_gaussian(7, 2) for _ in range(8000)])
+    weight = {x: math.exp(-x * x / 7) for x in range(-30, 31)}
+    for x in range(-4, 5):
+        p = weight[x] / sum(weight.values())
+        assert abs((draws == x).mean() - p) < 5 * math.sqrt(p * (1 - p) / len(draws))
+    assert abs(draws.var() / noise.gaussian_moment(3.5) - 1) < 0.1
+
+
+def test_secure_gaussian_keeps_nulls_and_is_not_deterministic(spark):
+    df = spark.createDataFrame([(1,), (None,), (3,)], "x long")
+    got = noise.secure_gaussian(df, "x", 1, 1000, "y").collect()
+    assert [r.y for r in got] == [1, None, 3]
+
+
+def test_bounded_fit_is_the_closest_within_bounds(spark):
+    rng = np.random.default_rng(2)
+    rows = []
+    for p in range(60):
+        n, total = int(rng.integers(1, 7)), int(rng.integers(-3, 30))
+        for i in range(n):
+            lo = float(rng.integers(-2, 4))
+            rows.append((p, i, float(rng.normal(3, 6)), float(rng.uniform(0.5, 3)), total, lo, lo + float(rng.integers(0, 9))))
+    df = spark.createDataFrame(rows, "p int, i int, y double, v double, total int, lo double, hi double")
+    for _, g in fit.bounded(df, ["p"], "total", "lo", "hi", ["i"]).toPandas().groupby("p"):
+        total, x = g.total.iloc[0], g.x.values
+        assert (x >= g.lo - 1e-9).all() and (x <= g.hi + 1e-9).all()
+        assert g.met.all() == (g.lo.sum() <= total <= g.hi.sum())
+        if not g.met.all():
+            assert np.allclose(x, g.lo if total < g.lo.sum() else g.hi, atol=1e-6)
+            continue
+        a, b = -1e4, 1e4
+        for _ in range(200):
+            t = (a + b) / 2
+            a, b = (t, b) if np.clip(g.y - t * g.v, g.lo, g.hi).sum() > total else (a, t)
+        assert np.allclose(x, np.clip(g.y - a * g.v, g.lo, g.hi), atol=1e-5) and abs(x.sum() - total) < 1e-6
+
+
+def test_numbers_and_running_sums(spark):
+    rng = np.random.default_rng(3)
+    rows = [(None if k % 11 == 0 else f"k{int(rng.integers(0, 40)):02d}" if k % 3 else "hot", int(rng.integers(0, 5)), int(rng.integers(0, 2))) for k in range(900)]
+    df = spark.createDataFrame(rows, "a string, b int, g int")
+    for within in ([], ["g"]):
+        got = order.running(df, ["a", "b"], F.col("b").cast("long"), "s", within, bins=9).collect()
+        for key in {tuple(r[w] for w in within) for r in got}:
+            mine = sorted((r for r in got if tuple(r[w] for w in within) == key), key=lambda r: (r.a is not None, r.a or "", r.b, r.s))
+            total = 0
+            for r in mine:
+                assert r.s == total
+                total += r.b
+        numbers = order.numbered(df, ["a", "b"], "i", within)
+        assert numbers.select("i", *within).distinct().count() == len(rows)
+    assert order.numbered(df.limit(0), ["a"], "i").count() == 0
+
+
+def test_counts_beyond_a_block_are_expanded(spark):
+    df = spark.createDataFrame([("a", 2500), ("b", 0), ("c", 1)], "k string, n long")
+    assert sorted((r.k, r.i) for r in files.expand(df, "n", "i").collect()) == [*(("a", i) for i in range(2500)), ("c", 0)]
+    assert [r.epnum for r in files.numbered_records(df, "n", ["k"]).orderBy("epnum").collect()] == list(range(2501))
+
+
+def test_reingest_refuses_nulls_and_other_counts(spark):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "g string, x int")
+    saved = spark.createDataFrame([("a", 2), ("b", 1)], "g string, n long")
+    assert files.read_as_raw(rows, ["g", "x"], ["g"], saved, "n").count() == 3
+    with pytest.raises(ValueError):
+        files.read_as_raw(rows, ["g"], ["g"], saved.filter("g = 'a'"), "n")
+    with pytest.raises(ValueError):
+        files.read_as_raw(rows.withColumn("x", F.when(F.col("x") > 1, F.col("x"))), ["x"], ["g"], saved, "n")
+
+
+def test_swaps_move_the_least_changed_records(spark):
+    # two donors: the one whose measured count is lower gives first
+    rows = [(1, 1, 0, 5, 5), (1, 1, 1, 5, 1), (1, 0, 0, 0, 0), (2, 1, 0, 1, 1), (2, 0, 1, 9, 9)]
+    df = spark.createDataFrame(rows, "u int, f int, c int, n long, y long")
+    got = {(r.u, r.f, r.c): r.n for r in fit.swap_repair(df, ["u"], "f", 0, 1, ["c"], F.lit(2)).collect()}
+    assert got == {(1, 1, 0): 5, (1, 1, 1): 3, (1, 0, 0): 0, (1, 0, 1): 2, (2, 1, 0): 1, (2, 0, 1): 9}

@@ -2,6 +2,7 @@
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 from tessera import plans
@@ -22,7 +23,7 @@ def rows(frame):
     frame = frame[sorted(frame.columns)]
     out = []
     for r in frame.astype(object).itertuples(index=False):
-        out.append(tuple(None if v is None or v != v else round(float(v), 6) + 0.0 if isinstance(v, (int, float, np.number)) else str(v) for v in r))
+        out.append(tuple(None if pd.isna(v) else round(float(v), 6) + 0.0 if isinstance(v, (int, float, np.number)) else str(v) for v in r))
     return sorted(out, key=str)
 
 
