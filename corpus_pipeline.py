@@ -76,11 +76,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each but the last is written as Parquet to the shared folder and read again."""
+    """All stages over ``documents``; each but the last is written as Parquet to the shared folder and read again, and goes when the next is written."""
     checkpoint_dir(spark)
     folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{next(_runs)}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.mode("overwrite").parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            old = spark._jvm.org.apache.hadoop.fs.Path(before)
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+        before = f"{folder}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)
