@@ -34,7 +34,7 @@ from tessera.llm.runtime import prepare, text_key
 
 SPACE = "▁"
 CHUNK = 1 << 16
-LONG = 1 << 17
+LONG = 1 << 16
 MAX_STATES = 400_000
 MAX_UNITS = 3 << 18
 NOWHERE = ("", 0)
