@@ -11,6 +11,7 @@ Decoding joins the raw bytes of the ids; bytes are never decoded one id at a tim
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -23,9 +24,20 @@ from tessera.llm.runtime import prepare
 
 PART_CHARS = 1 << 18
 _SAFE = re.compile(r"(?<=\S)(?=[ \t\r\n])")
+_PROBE = ["a", "Z", "é", "日", "7", "'", "'s", ".", "!?", "_", "🙂", "\u0301"]
 _cache: dict = {}
 
 
+@functools.cache
+def cuts_safely(pattern: str) -> bool:
+    """Whether a pre-splitting pattern keeps a non-space and the white space behind it apart, as far as probes of all kinds of characters tell; if not, texts are encoded whole."""
+    import regex
+
+    split = regex.compile(pattern)
+    probes = (a + b + space + c for a in ("", " ", "a", "\n") for b in _PROBE for space in (" ", "\t", "\r\n", "\n\n", "  ") for c in ("", "b", "9", ".", "\n"))
+    return not any(_SAFE.search(m.group(), 1) for p in probes for m in split.finditer(p))
+
+
 def load(path: str, pattern: str):
     """The encoding of a rank file (lines of base64 token and rank), one per worker process."""
     import tiktoken
@@ -51,7 +63,7 @@ def safe_parts(text: str, size: int = PART_CHARS) -> Iterator[str]:
 
 def encode_text(encoding, text: str, size: int = PART_CHARS) -> list[int]:
     """Ids of a whole text, without special tokens."""
-    if len(text) <= size:
+    if len(text) <= size or not cuts_safely(encoding._pat_str):
         return encoding.encode_ordinary(text)
     ids: list[int] = []
     for part in safe_parts(text, size):
@@ -115,6 +127,10 @@ def round_trip(text: Column, path: str, pattern: str) -> Column:
 
 
 def encoded_digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256.
+
+    Null texts count as empty; repeated rows give repeated results; long texts are encoded in parts (see :func:`safe_parts`), a part
+    without white space whole. Other columns are not read. An empty table gives an empty result.
+    """
     prepare(docs.sparkSession)
     return docs.select(F.col(doc_id).alias("doc_id"), round_trip(F.col(text), path, pattern).alias("_r")).select("doc_id", "_r.*")

@@ -122,7 +122,11 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
 
 
 def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """One row per document: doc_id, held_out, lang_pred, score; learned from the rows that aren't held out."""
+    """One row per document: doc_id, held_out, lang_pred, score; learned from the rows that aren't held out.
+
+    Null and letterless texts are ``und`` with score 0; repeated rows get equal results, and count as often as they stand when learning; whole texts are
+    profiled, however long. Null ids are held out. Without a labelled row every prediction is ``und``. Other columns are not read. An empty table gives an empty result.
+    """
     prepare(docs.sparkSession)
     profiles = fit(docs.filter(~held_out(F.col(doc_id))), text, lang, doc_id)
     rows = docs.select(F.col(doc_id).alias("doc_id"), held_out(F.col(doc_id)).alias("held_out"), predict(F.col(text), profiles).alias("_p"))

@@ -186,6 +186,15 @@ def licenses(text: Column, templates: list[tuple[str, str, str]], coverage: floa
     return run(text)
 
 
+def templates_from(table: DataFrame, most: int = 10_000, most_bytes: int = 32 << 20) -> list[tuple[str, str, str]]:
+    """Templates of a table (license, kind, text), whose size is checked before it is fetched: more than the bounds is an error."""
+    rows = table.select("license", "kind", "text").filter(F.col("text").isNotNull())
+    n, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    if n > most or size > most_bytes:
+        raise ValueError(f"{n} templates of {size} bytes are too many to go to the tasks")
+    return sorted(map(tuple, rows.collect()))
+
+
 def scan_licenses(docs: DataFrame, templates: list[tuple[str, str, str]] = TEMPLATES, coverage: float = COVERAGE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, license, kind, coverage, first_word, last_word: a row for each template found in a document.
 

@@ -166,9 +166,13 @@ def test_edited_fingerprints(spark, monkeypatch):
     want = []
     for i, (d, t) in enumerate(order):
         half, nxt = len(t) // 2, order[(i + 1) % len(order)][1]
-        want.append((d, len(t), hashlib.sha256((t[: len(t) - half] + nxt[:half]).encode()).hexdigest()))
+        edited = t[: len(t) - half] + nxt[:half]
+        kept = [fingerprints.winnow(fingerprints.points(x)) for x in (t, edited, nxt)]
+        mine, other, after = (set(h.tolist()) for h, _ in kept)
+        near = [round(len(mine & x) / len(mine | x), 9) if mine | x else 1.0 for x in (other, after)]
+        want.append((d, len(t), hashlib.sha256(edited.encode()).hexdigest(), fingerprints.digest(*kept[0]), fingerprints.digest(*kept[1]), *near))
     got = fingerprints.edited_fingerprints(df).collect()
-    assert sorted(str((r.doc_id, r.n_chars, r.edited_sha256)) for r in got) == sorted(map(str, want))
+    assert sorted(str((r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9))) for r in got) == sorted(map(str, want))
     assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
     assert len({r.fingerprint for r in got if r.n_chars == 0}) == 1
     assert fingerprints.edited_fingerprints(df.limit(0)).count() == 0

@@ -298,3 +298,34 @@ def test_alignment_is_increasing_and_equal():
 
 def test_registered_queries_name_every_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in entry.QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
+def test_queries_stand_empty_tables(spark, tmp_path, name):
+    for t in ("documents", "benchmark"):
+        spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(str(tmp_path / f"{t}.parquet"))
+    assert entry.QUERIES[name](spark, str(tmp_path)).count() == 0
+
+
+def test_only_patterns_that_part_at_white_space_are_cut():
+    assert bpe.cuts_safely(P.PATTERN)
+    assert not bpe.cuts_safely(r"\w+\s*|[^\w]+") and not bpe.cuts_safely(r"(?s).+")
+
+
+def test_long_texts_are_encoded_in_parts_through_spark(spark):
+    big = "many words and more of them, 123 times over.\n" * 9000
+    assert len(big) > bpe.PART_CHARS
+    rows = [(1, big), (2, big + "x" * 300000)]
+    enc = bpe.load(RANKS, P.PATTERN)
+    for r in bpe.encoded_digests(spark.createDataFrame(rows, "doc_id long, text string"), RANKS, P.PATTERN).collect():
+        t = dict(rows)[r.doc_id]
+        assert r.decoded_sha256 == hashlib.sha256(t.encode()).hexdigest()
+        if r.doc_id == 1:
+            assert r.n_tokens == len(enc.encode_ordinary(t))
+
+
+def test_templates_come_from_a_table_of_checked_size(spark):
+    table = spark.createDataFrame([*licenses.TEMPLATES, ("none", "text", None)], "license string, kind string, text string")
+    assert licenses.templates_from(table) == sorted(licenses.TEMPLATES)
+    with pytest.raises(ValueError):
+        licenses.templates_from(table, most=3)
