@@ -197,9 +197,9 @@ def repeated_runs(docs: DataFrame, length: int, within: DataFrame | None = None)
     key = ["_ka", "_kb"]
     searched = docs.select(*key, "text")
     if within is not None:
-        long_enough = F.filter("runs", lambda r: r.bitwiseAND(0xFFFFFFFF) - F.shiftright(r, 32) >= length)
-        # doc_id comes along so that all joins read one and the same shuffle of the texts
-        searched = docs.join(within.select(*key, long_enough.alias("runs")).filter(F.size("runs") > 0), key).select("doc_id", *key, "text", "runs")
+        # doc_id comes along so that all joins read one and the same shuffle of the texts; no filter on the runs, which
+        # would make them anew (runs that are too short have no anchors)
+        searched = docs.join(within.select(*key, "runs"), key).select("doc_id", *key, "text", "runs")
     found = searched.mapInPandas(find_anchors(length), ANCHORS)
     same_whole, same_name = W.partitionBy("name", "whole"), W.partitionBy("name")
     counted = (

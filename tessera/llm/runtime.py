@@ -25,6 +25,8 @@ def prepare(spark: SparkSession, batch_rows: int = BATCH_ROWS) -> None:
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    # lists and sets per document: by hash for as many documents as a task has, instead of by sorting beyond 128
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "65536")
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
