@@ -22,8 +22,8 @@ def cuts(df: DataFrame, column: str, bins: int) -> list:
         return df.agg(F.percentile_approx(column, [i / bins for i in range(1, bins)], 10 * bins)).first()[0] or []
     others = [F.col(c) for c, kind in df.dtypes if not kind.startswith("map")]
     rows = df.filter(F.col(column).isNotNull()).select(F.col(column).alias("c"), F.xxhash64(*others).alias("h")).orderBy("h").limit(SAMPLE_ROWS)
-    found = rows.agg(F.sort_array(F.collect_list("c")).alias("all")).select(F.array(*[F.get("all", F.floor(F.size("all") * (i / bins)).cast("int")) for i in range(1, bins)]).alias("cuts")).first()[0]
-    return [c for c in found if c is not None]
+    sample = sorted(r["c"] for r in rows.select("c").collect())
+    return [sample[len(sample) * i // bins] for i in range(1, bins)] if sample else []
 
 
 def range_number(value: Column, found: list, side: int = SIDE) -> Column:
