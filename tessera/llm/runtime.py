@@ -49,10 +49,20 @@ def checkpoint_dir(spark: SparkSession) -> None:
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def keep(df: DataFrame) -> DataFrame:
-    """Materialise and cut lineage in the shared checkpoint folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise and cut lineage in the shared checkpoint folder; the shuffle files that led there go at once, not at some later collection of garbage."""
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        # a frame takes this setting when it is made
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        spark.conf.set(CLEANUP, before)
 
 
 def text_key(text) -> list:
