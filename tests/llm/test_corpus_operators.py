@@ -240,6 +240,21 @@ def test_passages_behind_long_unshared_text(spark):
     assert got == {d: d // 10 * 10 for d, _ in rows}
 
 
+def test_hot_keys_dealt_in_ranges_meet_the_same_windows(spark, monkeypatch):
+    random.seed(23)
+    line = " ".join(f"line{i}" for i in range(60))
+    texts = [f"{' '.join(f'w{random.randint(0, 999)}' for _ in range(random.randint(0, 80)))} {line} {line if i % 3 else ''}" for i in range(150)]
+    rows = frame(spark, [(i, t) for i, t in enumerate(texts + texts[:20])]).select(F.xxhash64("text").alias("dk"), "text")
+    monkeypatch.setattr(passages, "HOT_SHARE", 1)
+    hot = passages.hot_keys(rows, 5, 50, 4)
+    assert hot
+    met = lambda keys: passages.neighbours(rows.mapInPandas(passages.windows(5, 50, 4, keys), passages.WINDOWS)).distinct()
+    whole, parted = ({tuple(r) for r in met(keys).collect()} for keys in ([], hot))
+    assert whole == parted and len(whole) > 150
+    sizes = rows.mapInPandas(passages.windows(5, 50, 4, hot), passages.WINDOWS).groupBy("key", "part").count()
+    assert {r.key for r in sizes.filter("part > 0").collect()} == set(hot)
+
+
 def test_common_starts():
     rng = np.random.default_rng(4)
     for _ in range(100):
