@@ -32,3 +32,19 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 100)
             return e.select(F.col("u").alias("node"), F.col("v").alias("label")).union(roots.select("node", F.col("node").alias("label")))
         seen = state
     raise RuntimeError("components did not settle")
+
+
+SALTS = 16
+
+
+def least_of_component(values: DataFrame, labels: DataFrame, node: str, least: str) -> DataFrame:
+    """``values`` (one row per node) with ``least`` replaced by the least one of the node's component (null only if all are).
+
+    Nodes without a label are components of their own and join nothing; a large component's rows are dealt over SALTS tasks, and
+    its minimum is sent to each.
+    """
+    own = labels.select(F.col("node").alias(node), "label").join(values.select(node, least), node)
+    found = own.groupBy("label").agg(F.min(least).alias("_least")).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = own.select(node, "label", F.pmod(F.xxhash64(node), F.lit(SALTS)).cast("int").alias("_salt"))
+    of_node = dealt.join(found, ["label", "_salt"]).select(node, "_least")
+    return values.join(of_node, node, "left").withColumn(least, F.coalesce("_least", least)).drop("_least")

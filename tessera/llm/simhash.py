@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.components import components
+from tessera.llm.components import components, least_of_component
 from tessera.llm.runtime import keep, prepare
 
 SHINGLE = 4
@@ -215,9 +215,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE,
     rows = keep(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), size).alias("fp")))
     least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     labels = components(link_forest(rows.select("fp").distinct(), radius, prefix))
-    of_fp = least.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("label", "fp"))
-    of_root = of_fp.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(of_fp.select("fp", "root").join(of_root, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    of_fp = least_of_component(least, labels, "fp", "least").withColumnRenamed("least", "component_id")
+    return rows.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
 def fingerprint_classes(docs: DataFrame) -> DataFrame:
