@@ -41,7 +41,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.llm.rolling import mix, prefixes, sliding_argmin, stretch
-from tessera.llm.runtime import prepare, text_key
+from tessera.llm.runtime import keep, prepare, text_key
 
 LENGTH = 400
 #: About the least length in bytes of a passage of 50 words.
@@ -194,6 +194,7 @@ def repeated_runs(docs: DataFrame, length: int, within: DataFrame | None = None)
     ``docs`` has the columns of :func:`prepared`. Texts without a repeat have no row.
     ``within``: the result for a smaller length; only its runs are searched, as all shorter strings in a repeated one are repeated.
     """
+    window(length)  # too short a length fails here, not in the tasks
     key = ["_ka", "_kb"]
     searched = docs.select(*key, "text")
     if within is not None:
@@ -216,7 +217,8 @@ def repeated_runs(docs: DataFrame, length: int, within: DataFrame | None = None)
     # column and a fixed number of partitions for the strings: so what two readers share is made once
     packed = lambda lo, hi: F.shiftleft(lo.cast("long"), 32) + hi
     place = F.struct(F.when(settled, packed(F.col("lo"), F.col("hi"))).alias("settled"), F.when(is_open, F.struct("name", "lo", "hi")).alias("open"))
-    listed = counted.groupBy(*key).agg(F.collect_set(F.when(settled | is_open, place)).alias("places"))
+    # few rows are left of many: the shuffle of all places goes before the texts are shuffled
+    listed = keep(counted.groupBy(*key).agg(F.collect_set(F.when(settled | is_open, place)).alias("places")))
     part_of = lambda what: F.transform(F.filter("places", lambda x: x[what].isNotNull()), lambda x: x[what])
     strings = (
         docs.join(listed.select(*key, part_of("open").alias("open")).filter(F.size("open") > 0), key)
