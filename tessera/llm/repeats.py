@@ -289,7 +289,8 @@ def removal_digests(docs: DataFrame, length: int = LENGTH, passage: int = PASSAG
 
     prepare(docs.sparkSession)
     rows, key = prepared(docs, doc_id, text), ["_ka", "_kb"]
-    shorter = repeated_runs(rows, min(passage, length))
+    # read by the second search and by the result
+    shorter = keep(repeated_runs(rows, min(passage, length)))
     longer = repeated_runs(rows, length, within=shorter)
     bytes_of = F.aggregate("shorter", F.lit(0).cast("long"), lambda n, r: n + r.bitwiseAND(0xFFFFFFFF) - F.shiftright(r, 32))
     found = rows.join(longer, key, "left").join(shorter.withColumnRenamed("runs", "shorter"), key, "left")
