@@ -177,9 +177,10 @@ def expand(length: int):
 
 
 def covered(ranges, length: int) -> np.ndarray:
-    """Maximal runs (start * 2**32 + end) of bytes covered by strings that start in the ranges (lo * 2**32 + hi)."""
+    """Maximal runs (start * 2**32 + end) of bytes covered by strings that start in the ranges (lo * 2**32 + hi - lo)."""
     packed = np.sort(np.asarray(ranges, np.int64))
-    lo, end = packed >> 32, np.maximum.accumulate((packed & 0xFFFFFFFF) + length)
+    lo = packed >> 32
+    end = np.maximum.accumulate(lo + (packed & 0xFFFFFFFF) + length)
     new = np.concatenate(([True], lo[1:] > end[:-1]))
     return lo[new] << 32 | end[np.concatenate((new[1:], [True]))]
 
@@ -213,8 +214,9 @@ def repeated_runs(docs: DataFrame, length: int, within: DataFrame | None = None)
     settled = F.col("n_whole") > 1
     is_open = (F.col("n_whole") < F.col("n_name")) & (~settled | F.col("first"))
     # ranges travel as single longs; sets, because copies of a text send the same ones. Both kinds in one
-    # column and a fixed number of partitions for the strings: so what two readers share is made once
-    packed = lambda lo, hi: F.shiftleft(lo.cast("long"), 32) + hi
+    # column and a fixed number of partitions for the strings: so what two readers share is made once.
+    # Start and length, not start and end: a set hashes a long by the xor of its halves, which is 0 wherever these are equal
+    packed = lambda lo, hi: F.shiftleft(lo.cast("long"), 32) + (hi - lo)
     place = F.struct(F.when(settled, packed(F.col("lo"), F.col("hi"))).alias("settled"), F.when(is_open, F.struct("name", "lo", "hi")).alias("open"))
     listed = counted.groupBy(*key).agg(F.collect_set(F.when(settled | is_open, place)).alias("places"))
     part_of = lambda what: F.transform(F.filter("places", lambda x: x[what].isNotNull()), lambda x: x[what])
