@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers as tokenizers
-from tessera.llm import bpe, decontaminate, fingerprints, infill, langid, licenses, passages, repeats, sharding, simhash, token_counts
+from tessera.llm import bpe, conversations, decontaminate, fingerprints, infill, langid, licenses, passages, repeats, sharding, simhash, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,11 +58,15 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_digests(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.infill_digests(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_winnowing, op4_simhash, op5_passages, op6_license_scan, op7_suffix_repeats, op8_token_counts, op9_byte_bpe, op10_sharding, op12_fill_in_middle)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_winnowing, op4_simhash, op5_passages, op6_license_scan, op7_suffix_repeats, op8_token_counts, op9_byte_bpe, op10_sharding, op11_conversation_repair, op12_fill_in_middle)}
 _HEX = lambda k: f"CAST('0x' || substr(digest, {8 * k + 1}, 8) AS BIGINT)"
 ORACLES: dict[str, str] = {
     "op12_fill_in_middle": f"""WITH cut AS (
