@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers as tokenizers
-from tessera.llm import bpe, conversations, decontaminate, fingerprints, infill, langid, licenses, passages, repeats, sharding, simhash, token_counts
+from tessera.llm import bpe, conversations, decontaminate, fingerprints, infill, langid, licenses, neighbours, passages, repeats, sharding, simhash, token_counts
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +67,11 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.infill_digests(documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_winnowing, op4_simhash, op5_passages, op6_license_scan, op7_suffix_repeats, op8_token_counts, op9_byte_bpe, op10_sharding, op11_conversation_repair, op12_fill_in_middle)}
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 20 == 0)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontamination, op2_language_id, op3_winnowing, op4_simhash, op5_passages, op6_license_scan, op7_suffix_repeats, op8_token_counts, op9_byte_bpe, op10_sharding, op11_conversation_repair, op12_fill_in_middle, op13_neighbours)}
 _HEX = lambda k: f"CAST('0x' || substr(digest, {8 * k + 1}, 8) AS BIGINT)"
 ORACLES: dict[str, str] = {
     "op12_fill_in_middle": f"""WITH cut AS (
