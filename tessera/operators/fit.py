@@ -104,15 +104,22 @@ def marginal_pass(cells: DataFrame, group: list[str], query: DataFrame, toleranc
 
 
 def multi_query(cells: DataFrame, passes: list[tuple[list[str], DataFrame, float]]) -> DataFrame:
-    """Fit cells to several noisy queries in passes (group, answers (q, qv), tolerance), the coarsest last so that it holds best."""
+    """Fit cells to several noisy queries one after the other (group, answers (q, qv), tolerance); what comes later moves what came before.
+
+    Where earlier answers have to stay, use :func:`tessera.operators.passes.fit_passes`.
+    """
     return reduce(lambda c, p: marginal_pass(c, *p), passes, cells)
 
 
 def round_nested(fitted: DataFrame, parent: list[str], cell: list[str], value: str = "x") -> DataFrame:
-    """Whole numbers by the query hierarchy total -> first column -> ... -> cell: each query is rounded within the rounded one above it."""
-    total = fitted.groupBy(*parent).agg(F.sum(value).alias("_s")).select(*parent, F.greatest(F.round("_s").cast("long"), F.lit(0)).alias("_total"))
+    """Whole numbers by the query hierarchy total -> first column -> ... -> cell: each query is rounded within the rounded one above it.
+
+    Sums are taken to 9 places before they are rounded, so that the order of summation decides nothing.
+    """
+    summed = F.round(F.sum(value), 9).alias("_s")
+    total = fitted.groupBy(*parent).agg(summed).select(*parent, F.greatest(F.round("_s").cast("long"), F.lit(0)).alias("_total"))
     for k in range(1, len(cell) + 1):
-        sums = fitted.groupBy(*parent, *cell[:k]).agg(F.sum(value).alias("_s"))
+        sums = fitted.groupBy(*parent, *cell[:k]).agg(summed)
         above = [*parent, *cell[: k - 1]]
         total = round_controlled(sums.join(total, above), above, "_total", cell[:k], "_s").select(*parent, *cell[:k], F.col("n").alias("_total"))
     return total.withColumnRenamed("_total", "n")

@@ -166,12 +166,12 @@ def fit_multi_query(spark, sf):
 
 def nested_sql(value: str) -> str:
     """Rounded total, flags within it, and (status, band) one after the other within those."""
-    out, cols = f", n0 AS (SELECT geocode, CAST(greatest(round(sum({value})),0) AS BIGINT) AS t FROM x GROUP BY 1)", []
+    out, cols = f", n0 AS (SELECT geocode, CAST(greatest(round(round(sum({value}),9)),0) AS BIGINT) AS t FROM x GROUP BY 1)", []
     for k, d in enumerate(DIMS, 1):
         up, cols = ", ".join(["geocode", *cols]), [*cols, d]
         on = " AND ".join(f"s.{c}=p.{c}" for c in ["geocode", *cols[:-1]])
         p = ", ".join(f"s.{c}" for c in ["geocode", *cols])
-        out += f", s{k} AS (SELECT geocode, {', '.join(cols)}, sum({value}) AS s FROM x GROUP BY ALL), j{k} AS (SELECT {p}, s.s, p.t, CAST(floor(s.s+1e-9) AS BIGINT) AS f FROM s{k} s JOIN n{k - 1} p ON {on}), r{k} AS (SELECT *, t-sum(f) OVER (PARTITION BY {up}) AS more, row_number() OVER (PARTITION BY {up} ORDER BY round(s-f,9) DESC, {', '.join(cols)}) AS rk FROM j{k}), n{k} AS (SELECT geocode, {', '.join(cols)}, CAST(f+CASE WHEN rk<=more THEN 1 ELSE 0 END AS BIGINT) AS t FROM r{k})"
+        out += f", s{k} AS (SELECT geocode, {', '.join(cols)}, round(sum({value}),9) AS s FROM x GROUP BY ALL), j{k} AS (SELECT {p}, s.s, p.t, CAST(floor(s.s+1e-9) AS BIGINT) AS f FROM s{k} s JOIN n{k - 1} p ON {on}), r{k} AS (SELECT *, t-sum(f) OVER (PARTITION BY {up}) AS more, row_number() OVER (PARTITION BY {up} ORDER BY round(s-f,9) DESC, {', '.join(cols)}) AS rk FROM j{k}), n{k} AS (SELECT geocode, {', '.join(cols)}, CAST(f+CASE WHEN rk<=more THEN 1 ELSE 0 END AS BIGINT) AS t FROM r{k})"
     return out
 
 
