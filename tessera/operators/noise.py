@@ -1,6 +1,6 @@
-"""Noise mechanisms. Column versions hash their keys for uniforms: reproducible, for experiments and tests.
+"""Noise mechanisms. Column versions hash their keys for uniforms: whoever knows the keys knows the noise, so they are for experiments and tests only.
 
-Releases use :func:`secure_geometric` and :func:`secure_gaussian`, which draw whole numbers with the operating system's randomness inside the tasks and
+Releases use :func:`secure_by_row`, :func:`secure_geometric` and :func:`secure_gaussian`, which draw whole numbers with the operating system's randomness inside the tasks and
 whole-number arithmetic only. A task that runs again draws again: write the result once and read only what was written.
 """
 
@@ -131,6 +131,23 @@ def secure(frame: DataFrame, value: str, draw, out: str) -> DataFrame:
     return frame.withColumn(out, add.asNondeterministic()(F.col(value).cast("long")))
 
 
+def secure_by_row(frame: DataFrame, value: str, num: str, den: str, out: str, gaussian: bool = False) -> DataFrame:
+    """``out``: the whole-number value plus an exact draw at the row's own ratio num / den of whole numbers above 0; any of them null: null.
+
+    P(x) proportional to exp(-abs(x) * num / den), or with ``gaussian`` to exp(-x**2 / (2 * num / den)). From the operating system's randomness, and not
+    deterministic: write the result once and read only what was written.
+    """
+
+    @F.pandas_udf("long")
+    def add(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        draw = discrete_gaussian if gaussian else discrete_laplace
+        for values, nums, dens in parts:
+            rows = zip(values.astype("Int64"), nums.astype("Int64"), dens.astype("Int64"))
+            yield pd.Series([None if pd.isna(x) or pd.isna(a) or pd.isna(b) else int(x) + draw(int(a), int(b)) for x, a, b in rows], index=values.index, dtype="Int64")
+
+    return frame.withColumn(out, add.asNondeterministic()(F.col(value).cast("long"), F.col(num).cast("long"), F.col(den).cast("long")))
+
+
 def secure_geometric(frame: DataFrame, value: str, epsilon_num: int, epsilon_den: int, out: str) -> DataFrame:
     """Exact whole-number noise with P(x) proportional to exp(-abs(x) * num / den) from the operating system's randomness; null values stay null."""
     return secure(frame, value, lambda: discrete_laplace(epsilon_num, epsilon_den), out)

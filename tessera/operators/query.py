@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from itertools import combinations, product
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NOWHERE = "total"
@@ -138,12 +138,23 @@ def weighted_sum(answers: list[tuple[float, DataFrame]], keys: list[str], value:
     return reduce(DataFrame.unionByName, parts).groupBy(*keys).agg(F.sum(out).alias(out))
 
 
-def fill_missing(answers: DataFrame, spark: SparkSession, schema: Schema, queries: list[str], keys: list[str], values: list[str]) -> DataFrame:
-    """Add the (query, level) rows that a key lacks, with zeros and was_missing = 1. The list of levels is part of the schema, so it is broadcast."""
-    wanted = spark.createDataFrame([(q, lv) for q in queries for lv in schema.levels(q)], "query string, level string")
-    full = answers.select(*keys).distinct().join(F.broadcast(wanted), how="cross")
-    joined = full.join(answers.withColumn("_there", F.lit(1)), [*keys, "query", "level"], "left")
-    return joined.select(*keys, "query", "level", *[F.coalesce(v, F.lit(0)).alias(v) for v in values], F.when(F.col("_there").isNull(), 1).otherwise(0).alias("was_missing"))
+def with_levels(keys: DataFrame, schema: Schema, queries: list[str], level: str = "level") -> DataFrame:
+    """Each row of ``keys`` with every (query, merged level), made by exploding the parts of a query one after the other."""
+    out = None
+    for q in queries:
+        f = keys.withColumn("query", F.lit(q)).withColumn(level, F.lit(NOWHERE if not schema.parse(q) else ""))
+        for i, p in enumerate(schema.parse(q)):
+            labelled = F.transform(F.sequence(F.lit(0), F.lit(schema.dims[p] - 1)), lambda x: x.cast("string")) if p in schema.dims else F.array(*map(F.lit, schema.groups(p)))
+            f = f.withColumn("_part", F.explode(labelled)).withColumn(level, F.concat(level, F.lit(" BY " if i else ""), "_part")).drop("_part")
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
+def fill_missing(answers: DataFrame, schema: Schema, queries: list[str], keys: list[str], values: list[str], units: DataFrame | None = None, level: str = "level") -> DataFrame:
+    """Add the (query, level) rows that a key lacks, with zeros and was_missing = 1; ``units`` lists the keys, else those that have an answer."""
+    full = with_levels((answers if units is None else units).select(*keys).distinct(), schema, queries, level)
+    joined = full.join(answers.withColumn("_there", F.lit(1)), [*keys, "query", level], "left")
+    return joined.select(*keys, "query", level, *[F.coalesce(v, F.lit(0)).alias(v) for v in values], F.when(F.col("_there").isNull(), 1).otherwise(0).alias("was_missing"))
 
 
 def merge_dims(frame: DataFrame, dims: list[str], out: str = "level") -> DataFrame:

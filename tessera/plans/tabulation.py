@@ -186,7 +186,7 @@ def query_workload(spark, sf):
 def query_fill_missing(spark, sf):
     f = frame(spark, sf).withColumnRenamed("level", "geolevel")
     a = query.answer_many(f, SCHEMA, ["flag * status"], ["geolevel", "geocode"], ["orig"])
-    return query.fill_missing(a, spark, SCHEMA, ["flag * status"], ["geolevel", "geocode"], ["orig"])
+    return query.fill_missing(a, SCHEMA, ["flag * status"], ["geolevel", "geocode"], ["orig"])
 
 
 @register("query_levels_shape", f", {MANY_SQL} SELECT query, CAST(CASE query WHEN 'total' THEN 1 WHEN 'flag' THEN 3 WHEN 'flag * status' THEN 6 WHEN 'any_band' THEN 2 ELSE 30 END AS INTEGER) AS size, count(DISTINCT level) AS seen FROM answers GROUP BY query")
