@@ -1,6 +1,7 @@
 """Operators that compare documents, against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
 from collections import Counter
@@ -312,6 +313,50 @@ def test_recall_of_edited_passages(spark):
     assert sum(got[2 * i + 1] == 2 * i for i in range(600)) >= 0.95 * 600
 
 
+@pytest.mark.parametrize("variants", [8, 20])
+def test_families_of_variants_keep_their_links(spark, variants):
+    """Families of one passage, each member with its own changes: classes and links against brute force over all pairs."""
+    random.seed(variants)
+    vocab = [f"w{i}" for i in range(50000)]
+    some = lambda n: [random.choice(vocab) for _ in range(n)]
+    rows, family = [], {}
+    for changed in (2, 3, 4):
+        for f in range(240 // variants // 2):
+            base = some(75)
+            for _ in range(variants):
+                words = list(base)
+                for i in random.sample(range(75), changed):
+                    words[i] = random.choice(vocab)
+                family[len(rows)] = (changed, f)
+                rows.append((len(rows), " ".join(some(random.randint(0, 60)) + words + some(random.randint(0, 60)))))
+
+    def sets(t):
+        w = t.split()
+        s = [hash(tuple(w[i : i + 5])) for i in range(len(w) - 4)]
+        return [set(s[i : i + 46]) for i in range(len(s) - 45)]
+
+    windows = {i: sets(t) for i, t in rows}
+    linked = {2: [], 3: [], 4: []}
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        # two sets of 46 shingles are as similar if they share 41
+        if family[i] == family[j] and len(set().union(*windows[i]) & set().union(*windows[j])) >= 41 and any(len(a & b) >= 41 for a in windows[i] for b in windows[j]):
+            linked[family[i][0]].append((i, j))
+    got = {r.doc_id: r for r in passages.near_duplicate_passages(frame(spark, rows)).collect()}
+    assert all(family[got[i].class_id] == family[i] for i in got)
+    degree = {i: 0 for i in got}
+    for changed, pairs in linked.items():
+        same = sum(got[i].class_id == got[j].class_id for i, j in pairs)
+        assert len(pairs) >= 5 and same >= 0.95 * len(pairs), (changed, same, len(pairs))
+        print(variants, changed, same, len(pairs))
+        for i, j in pairs:
+            degree[i] += 1
+            degree[j] += 1
+    assert all(got[i].n_links <= degree[i] for i in got)
+    print(variants, sum(got[i].n_links for i in got), sum(degree.values()))
+    # links are counted to the texts of the NEIGHBOURS windows before: all of them in small families
+    assert sum(got[i].n_links for i in got) >= (0.95 if variants <= passages.NEIGHBOURS else 0.75) * sum(degree.values())
+
+
 def test_links_and_copies_are_counted(spark):
     random.seed(5)
     some = lambda n: " ".join(f"w{random.randrange(10**6)}" for _ in range(n))
