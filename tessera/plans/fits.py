@@ -1,11 +1,12 @@
-"""Registered queries: fits in passes and within bounds on query rows."""
+"""Registered queries: fits in passes and within bounds on query rows, crossing roundings, moves under kept bounds."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.operators import passes
+from tessera.operators import fit, passes, rounding
 from tessera.plans.base import DIMS, frame, register
+from tessera.plans.privacy import FAMILY, PROJ, children
 from tessera.plans.tabulation import D
 
 LIFT = 1000  # far from zero, so that the fit has a closed form
@@ -80,3 +81,35 @@ def fit_query_bounds(spark, sf):
     sums = x.groupBy("geocode", "flag").agg(F.sum("x").alias("s"), F.min("met").alias("met"), F.min("x").alias("least"))
     within = (F.col("s") >= F.col("lower") - 1e-6) & (F.col("s") <= F.col("upper") + 1e-6) & (F.col("least") >= 0)
     return sums.join(b, ["geocode", "flag"]).select("geocode", "flag", "lower", "upper", within.alias("within"), "met")
+
+
+CROSSED = PROJ + """, s AS (SELECT 'geocode' AS along, parent, geocode AS part, round(sum(x),6) AS x FROM x GROUP BY ALL UNION ALL SELECT 'flag', parent, CAST(flag AS VARCHAR), round(sum(x),6) FROM x GROUP BY ALL UNION ALL SELECT 'all', parent, '', round(sum(x),6) FROM x GROUP BY ALL) """
+
+
+@register("fit_round_crossing", CROSSED + "SELECT along, parent, part, CAST(floor(x) AS BIGINT) AS low, CAST(ceil(x) AS BIGINT) AS high, true AS within FROM s")
+def fit_round_crossing(spark, sf):
+    """Fitted cells of a parent rounded so that the sums by child and by flag, which do not nest, are roundings as well: for each sum its floor, its ceiling, and whether the rounded sum is one of them."""
+    x = fit.nonneg(children(spark, sf), FAMILY, "total", ["geocode"])
+    n = rounding.round_crossing(x.select("parent", "geocode", *DIMS, "x"), ["parent"], ["geocode"], ["flag"], ["geocode", *DIMS])
+    out = None
+    for by, part in (("geocode", F.col("geocode")), ("flag", F.col("flag").cast("string")), ("all", F.lit(""))):
+        s = n.groupBy("parent", part.alias("part")).agg(F.round(F.sum("x"), 6).alias("x"), F.sum("n").alias("n"), F.max(F.abs(F.col("n") - F.col("x"))).alias("far"))
+        within = (F.abs(F.col("n") - F.col("x")) < 1 - 1e-9) & (F.col("far") < 1)
+        one = s.select(F.lit(by).alias("along"), "parent", "part", F.floor("x").alias("low"), F.ceil("x").alias("high"), within.alias("within"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("fit_swap_within", ", s AS (SELECT geocode, CAST(sum(priv) AS BIGINT) AS total FROM frame WHERE level=10 GROUP BY 1) SELECT geocode, total, 7<=total AND total<=3*greatest(9, ceil(total*0.35)) AS met, 0::BIGINT AS n_broken FROM s WHERE total>0")
+def fit_swap_within(spark, sf):
+    """At least 4, 2 and 1 records of the flags and at most a share of all: whether a unit's bounds can be met, and how many of those that held are broken after."""
+    f = frame(spark, sf).filter("level = 10")
+    total = f.groupBy("geocode").agg(F.sum("priv").alias("total")).filter("total > 0")
+    upper = F.greatest(F.lit(9.0), F.ceil(F.col("total") * 0.35))
+    bounds = total.select("geocode", F.posexplode(F.array(F.lit(4), F.lit(2), F.lit(1))).alias("flag", "lower"), upper.alias("upper"))
+    after = rounding.swap_within(f.select("geocode", *DIMS, "priv").join(total.select("geocode"), "geocode"), ["geocode"], "flag", ["status", "band"], bounds, "priv")
+    sums = lambda g, n, out: g.groupBy("geocode", "flag").agg(F.sum(n).alias(out))
+    j = bounds.join(sums(f, "priv", "was"), ["geocode", "flag"], "left").join(sums(after, "n", "now"), ["geocode", "flag"], "left").na.fill(0, ["was", "now"])
+    held = lambda c: (F.col(c) >= F.col("lower")) & (F.col(c) <= F.col("upper"))
+    broken = j.groupBy("geocode").agg(F.count_if(held("was") & ~held("now")).alias("n_broken"))
+    return total.join(after.groupBy("geocode").agg(F.min("met").alias("met")), "geocode").join(broken, "geocode").select("geocode", "total", "met", "n_broken")
