@@ -1,4 +1,4 @@
-"""Registered queries: measurements for publication, and by strategies that are products of matrices."""
+"""Registered queries: measurements for publication, by strategies that are products of matrices, and of SQL tables under one budget."""
 
 from __future__ import annotations
 
@@ -7,8 +7,8 @@ from fractions import Fraction
 import numpy as np
 from pyspark.sql import functions as F
 
-from tessera.operators import measure
-from tessera.plans.base import DIMS, SCHEMA, frame, register, units
+from tessera.operators import measure, noise, sqlnoise
+from tessera.plans.base import DIMS, SCHEMA, frame, register, table, units
 from tessera.plans.privacy import uniform_sql
 
 QUERIES = ["total", "flag * status", "any_band"]
@@ -97,3 +97,32 @@ def measure_strategy_round_trip(spark, sf):
     """Without noise the cells come back."""
     x = measure.reconstruct(strategy(spark, sf, None), ["geocode"], STRATEGY)
     return x.select("geocode", *DIMS, (F.round("x", 6) + 0.0).alias("x"))
+
+
+def laplace_sql(value: str, u: str, scale: float) -> str:
+    return f"round({value}-{scale!r}*sign({u}-0.5)*ln(1-2*abs({u}-0.5)),4)"
+
+
+KIND = [uniform_sql(70 + k, "event_type") for k in range(3)]
+STATUS = uniform_sql(73, "o_orderstatus")
+
+
+@register("sqlnoise_composed", f"SELECT event_type AS key, 0.75::DOUBLE AS epsilon, {laplace_sql('sum(value)', KIND[0], 20.0)} AS a, {laplace_sql('count(*)', KIND[1], 2.0)} AS b, {laplace_sql('count(DISTINCT user_id)', KIND[2], 4.0)} AS c FROM events GROUP BY 1 UNION ALL SELECT o_orderstatus, 0.25, {laplace_sql('count(*)', STATUS, 4.0)}, NULL, NULL FROM orders GROUP BY 1", base=False)
+def sqlnoise_composed(spark, sf):
+    """Two tables under a whole of 1: two measures that share the greater of their budgets, one beside them, and one in the other table."""
+    kinds = table(spark, sf, "events").groupBy(F.col("event_type")).agg(F.sum("value").alias("a"), F.count("*").alias("b"), F.countDistinct("user_id").alias("c"))
+    states = table(spark, sf, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("a"))
+    lap = sqlnoise.laplace_measure
+    plan = {"kinds": [[lap("a", 0.5, 10.0), lap("b", 0.25)], [lap("c", 0.25)]], "states": [[lap("a", 0.25)]]}
+    out = sqlnoise.apply({"kinds": kinds, "states": states}, plan, 1.0, {"kinds": ["event_type"], "states": ["o_orderstatus"]}, seed=70)
+    k, s = out["kinds"].withColumnRenamed("event_type", "key"), out["states"].withColumnRenamed("o_orderstatus", "key")
+    return k.unionByName(s, allowMissingColumns=True).select("key", "epsilon", *[F.round(c, 4).alias(c) for c in "abc"])
+
+
+@register("sqlnoise_by_number", f"SELECT o_orderkey AS id, round(x-2.0*sign(u-0.5)*ln(1-2*abs(u-0.5)),6) AS x, round(v,9) AS v FROM (SELECT o_orderkey, o_totalprice AS x, {uniform_sql(80, 'n', '0')} AS u, {uniform_sql(80, 'n', '1')} AS v FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey)-1 AS n FROM orders))", base=False)
+def sqlnoise_by_number(spark, sf):
+    """Two uniforms for each order from a counter-based table, joined by the order's number."""
+    o = table(spark, sf, "orders")
+    given = sqlnoise.uniforms(spark, o.count(), ["u", "v"], seed=80)
+    j = sqlnoise.with_uniforms(o.select("o_orderkey", "o_totalprice"), ["o_orderkey"], given)
+    return j.select(F.col("o_orderkey").alias("id"), F.round(F.col("o_totalprice") + noise.laplace(F.col("u"), 2.0), 6).alias("x"), F.round("v", 9).alias("v"))

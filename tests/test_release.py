@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import measure, noise, query
+from tessera.operators import measure, noise, query, sqlnoise
 
 SCHEMA = query.Schema({"a": 3, "b": 2}, {"wide": ("a", {"x": [0, 1], "y": [1, 2]})})
 
@@ -73,3 +73,30 @@ def test_levels_made_in_the_plan(spark):
     for q in ("total", "a", "wide * b", "detailed"):
         got = sorted(r.level for r in query.with_levels(keys, SCHEMA, [q]).filter("k = 'x'").collect())
         assert got == sorted(SCHEMA.levels(q))
+
+
+def test_composition_is_checked_before_noise_is_drawn(spark):
+    lap = sqlnoise.laplace_measure
+    t = spark.createDataFrame([("x", 1.0, 2.0, 3.0)], "k string, a double, b double, c double")
+    plan = {"t": [[lap("a", 0.5), lap("b", 0.2)], [lap("c", 0.3)]]}
+    assert sqlnoise.composed(plan) == ({"t": [[0.5, 0.5], [0.3]]}, {"t": 0.8}, 0.8)
+    got = sqlnoise.apply({"t": t, "u": t}, plan, 0.8, {"t": ["k"]}, as_they_are=("u",))
+    assert got["t"].first().epsilon == 0.8 and got["u"] is t
+    # a and b are drawn at the same budget
+    at = lambda e: t.select((F.col("b") + noise.laplace(noise.uniform("k", seed=1), 1 / e)).alias("b")).first().b
+    assert got["t"].first().b == at(0.5) != at(0.2)
+    for bad, whole, tables in ((plan, 1.0, {"t": t}), (plan, 0.8, {"t": t, "u": t}), ({"t": [[lap("z", 1.0)]]}, 1.0, {"t": t}), ({"t": [[lap("a", 0.5)], [lap("a", 0.5)]]}, 1.0, {"t": t}), ({"t": [[lap("a", 0.0)]]}, 0.0, {"t": t}), ({"t": [[]]}, 0.0, {"t": t})):
+        with pytest.raises(ValueError):
+            sqlnoise.apply(tables, bad, whole, {"t": ["k"]})
+
+
+def test_uniforms_follow_the_row_number_and_nothing_else(spark):
+    df = spark.range(500).select((F.col("id") * 7919 % 1000).alias("k"))
+    found = []
+    for parts in (1, 6):
+        given = sqlnoise.uniforms(spark, 500, ["u", "v"], seed=3).repartition(parts)
+        found.append(sorted(map(tuple, sqlnoise.with_uniforms(df.repartition(parts), ["k"], given).collect())))
+    assert found[0] == found[1] and len(found[0]) == 500
+    assert all(0 < u < 1 and u != v for _, u, v in found[0]) and abs(np.mean([u for _, u, _ in found[0]]) - 0.5) < 0.06
+    with pytest.raises(Exception, match="more rows than uniforms"):
+        sqlnoise.with_uniforms(df, ["k"], sqlnoise.uniforms(spark, 400, ["u"])).collect()
