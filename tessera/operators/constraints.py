@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MOST = 99999
+MOST = 99999  # fixed value: the upper bound where no facility is known
 
 
 def invariants(persons: DataFrame, units: DataFrame, geo: str, unit_type: str, adult: Column) -> DataFrame:

@@ -72,7 +72,7 @@ def bypass(budgets: DataFrame, parent_of: Column, parents: DataFrame | None = No
     return b.select("parent", "geo", F.when(F.col("_away"), F.col("share") - F.col("_least")).otherwise(F.col("share")).alias("share"), F.when(F.col("_away"), F.col("_least")).otherwise(0.0).alias("to_parent"))
 
 
-NOWHERE = "99999"
+NOWHERE = "99999"  # fixed value: the code of no area
 
 
 def crosswalk(reference: DataFrame, districts: dict[str, list[tuple[int, int, str]]] | None = None) -> DataFrame:
