@@ -15,7 +15,7 @@ def bootstrap(cells: DataFrame, stratum: str, keys: list[str], count: str, seed:
     Cells hold ranges of record numbers in the order of ``keys``; a draw is a number, and finds its cell by an equi-join on
     blocks of ``block`` numbers that a cell's range touches. Returns stratum, keys, n.
     """
-    ranged = order.running(cells.filter(F.col(count) > 0), keys, F.col(count).cast("long"), "_lo").withColumn("_hi", F.col("_lo") + F.col(count))
+    ranged = order.running(files.kept(cells.filter(F.col(count) > 0), "cells"), keys, F.col(count).cast("long"), "_lo").withColumn("_hi", F.col("_lo") + F.col(count))
     span = ranged.groupBy(stratum).agg(F.min("_lo").alias("_from"), F.sum(count).alias("_size"))
     numbers = files.expand(ranged.select(stratum, "_lo", F.col(count).alias("_n")), "_n", "_at").select(stratum, (F.col("_lo") + F.col("_at")).alias("_i"))
     draw = F.col("_from") + F.floor(noise.uniform("_i", seed=seed) * F.col("_size"))

@@ -24,11 +24,12 @@ def io_empty_source(spark, sf):
 CHOSEN = "CAST('0x'||substr(md5(concat_ws('|','50',unit)),1,13) AS BIGINT)+0.5<4503599627370496.0/3"
 
 
-@register("io_sample_linked_tables", f"SELECT geocode, unit, 'unit' AS kind, NULL::BIGINT AS orderkey, NULL::INTEGER AS run FROM units WHERE {CHOSEN} AND unit IN (SELECT unit FROM persons) UNION ALL SELECT geocode, unit, 'person', orderkey, run FROM persons WHERE {CHOSEN} UNION ALL SELECT * FROM (SELECT geocode, unit, 'vacant', NULL::BIGINT, NULL::INTEGER FROM units WHERE unit NOT IN (SELECT unit FROM persons) ORDER BY unit LIMIT 5)")
+@register("io_sample_linked_tables", f"SELECT geocode, unit, 'unit' AS kind, NULL::BIGINT AS orderkey, NULL::INTEGER AS run FROM units WHERE {CHOSEN} AND unit IN (SELECT unit FROM persons) UNION ALL SELECT geocode, unit, 'person', orderkey, run FROM persons WHERE {CHOSEN} UNION ALL SELECT * FROM (SELECT geocode, unit, 'vacant', NULL::BIGINT, NULL::INTEGER FROM units WHERE unit NOT IN (SELECT unit FROM persons) ORDER BY unit LIMIT 5) UNION ALL SELECT * FROM (SELECT geocode, unit, 'facility', NULL::BIGINT, NULL::INTEGER FROM units WHERE unit_type='MACHINERY' ORDER BY unit LIMIT 7)")
 def io_sample_linked_tables(spark, sf):
-    """A sample of units with all their persons, and five vacant units appended: tables stay linked because the unit's key decides for both."""
+    """A sample of units with all their persons, and five vacant units and seven facilities appended: tables stay linked because the unit's key decides for both."""
     p, u = persons(spark, sf), units(spark, sf)
-    return files.linked_sample(u.select("geocode", "unit"), p.select("geocode", "unit", "orderkey", "run"), "unit", noise.uniform("unit", seed=50) < 1 / 3, vacant=5)
+    both = files.linked_sample(u.select("geocode", "unit", "unit_type"), p.select("geocode", "unit", "orderkey", "run"), "unit", noise.uniform("unit", seed=50) < 1 / 3, 5, F.col("unit_type") == "MACHINERY", 7)
+    return both.drop("unit_type")
 
 
 @register("sink_pl94_person_layout", f"SELECT 'P' AS schema_type, substr(geocode,1,1) AS tabblkst, substr(geocode,2,2) AS tabblkcou, substr(geocode,4,2) AS tabtractce, substr(geocode,6,5) AS tabblk, row_number() OVER (ORDER BY geocode, {D})-1 AS epnum, lpad(CAST(flag AS VARCHAR),2,'0') AS gqtype, CAST(1+status AS VARCHAR) AS voting_age, lpad(CAST(band+1 AS VARCHAR),2,'0') AS cenrace FROM persons")

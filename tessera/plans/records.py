@@ -220,12 +220,12 @@ def io_filter_test_area(spark, sf):
 
 @register("io_read_geo_reference", "SELECT unit AS oidtb, geocode FROM units")
 def io_read_geo_reference(spark, sf):
-    """A block reference file of code parts, some lines twice: parts are put together to the working code."""
+    """A block reference file of code parts, some lines twice: parts are put together to the working code, and a part that is null fails."""
     path = files.scratch(spark, "reference")
     u = units(spark, sf).select(F.col("unit").alias("oidtb"), *[F.substring("geocode", at, n).alias(c) for c, at, n in (("state", 1, 1), ("county", 2, 2), ("tract", 4, 2), ("block", 6, 5))])
     files.write_delimited(u.union(u.filter("oidtb % 3 = 0")), path)
     r = files.read_delimited(spark, path, "oidtb long, state string, county string, tract string, block string")
-    return r.filter("block is not null").select("oidtb", F.concat("state", "county", "tract", "block").alias("geocode")).distinct()
+    return files.required(r, ["oidtb", "state", "county", "tract", "block"]).select("oidtb", F.concat("state", "county", "tract", "block").alias("geocode")).distinct()
 
 
 @register("io_read_crosswalk_map", "SELECT c_custkey AS unit, coalesce(s.n,'none') AS primgeo FROM customer LEFT JOIN (SELECT s_nationkey AS k, CAST(count(*) AS VARCHAR) AS n FROM supplier WHERE s_nationkey%2=0 GROUP BY 1) s ON c_nationkey=k", base=False)
@@ -264,12 +264,12 @@ def io_read_synthetic_as_raw(spark, sf):
     return hist.count_by_cell(records, ["geocode"], DIMS)
 
 
-@register("io_read_experiment_runs", "SELECT geocode, flag, status, band, n, run_id, plb FROM (SELECT geocode, flag, status, band, orig AS n, 'a' AS run_id, 1.0::DOUBLE AS plb FROM frame WHERE level=10 UNION ALL SELECT geocode, flag, status, band, priv, 'b', 4.0::DOUBLE FROM frame WHERE level=10)")
+@register("io_read_experiment_runs", "SELECT geocode, flag, status, band, n, run_id, plb, budget_group FROM (SELECT geocode, flag, status, band, orig AS n, 'a' AS run_id, 1.0::DOUBLE AS plb, 'low' AS budget_group FROM frame WHERE level=10 UNION ALL SELECT geocode, flag, status, band, priv, 'b', 4.0::DOUBLE, 'high' FROM frame WHERE level=10)")
 def io_read_experiment_runs(spark, sf):
     """Two runs, each saved by itself, read as one frame."""
     f = frame(spark, sf).filter("level = 10")
-    runs = {name: (files.scratch(spark, f"run-{name}"), plb) for name, plb in (("a", 1.0), ("b", 4.0))}
-    for (path, _), value in zip(runs.values(), ("orig", "priv")):
+    runs = {name: (files.scratch(spark, f"run-{name}"), plb, group) for name, plb, group in (("a", 1.0, "low"), ("b", 4.0, "high"))}
+    for (path, *_), value in zip(runs.values(), ("orig", "priv")):
         f.select(F.col(value).alias("n"), *DIMS, "geocode").write.parquet(path)
     return files.read_runs(spark, runs, ["geocode", *DIMS, "n"])
 
@@ -306,6 +306,20 @@ def sink_household_units(spark, sf):
     return files.expand(files.residual_units(h, t, ["geocode"], "t"), "n").groupBy("geocode").agg(F.count("*").alias("n"))
 
 
+@register("sink_household_rows", "SELECT geocode, 'household' AS kind, count(DISTINCT unit) AS n FROM (SELECT substr(geocode,1,3) AS geocode, unit FROM persons WHERE ostatus='P' AND unit_type NOT IN ('BUILDING','MACHINERY')) GROUP BY 1 UNION ALL SELECT t.geocode, 'vacant', CAST(n-coalesce(h,0) AS BIGINT) FROM (SELECT substr(geocode,1,3) AS geocode, count(*) AS n FROM units WHERE unit_type NOT IN ('BUILDING','MACHINERY') GROUP BY 1) t LEFT JOIN (SELECT substr(geocode,1,3) AS geocode, count(DISTINCT unit) AS h FROM persons WHERE ostatus='P' AND unit_type NOT IN ('BUILDING','MACHINERY') GROUP BY 1) p ON t.geocode=p.geocode WHERE n-coalesce(h,0)>0 UNION ALL SELECT substr(geocode,1,3), 'facility '||unit_type, count(*) FROM units WHERE unit_type IN ('BUILDING','MACHINERY') GROUP BY ALL")
+def sink_household_rows(spark, sf):
+    """Household records, a row for each vacant unit and one for each facility of each type, written as one file and counted from it."""
+    state, facility = F.substring("geocode", 1, 3).alias("geocode"), F.col("unit_type").isin("BUILDING", "MACHINERY")
+    u, path = units(spark, sf), files.scratch(spark, "units")
+    h = persons(spark, sf).filter(~facility).filter("ostatus = 'P'").select(state, "unit").distinct()
+    t = u.filter(~facility).groupBy(state).agg(F.count("*").alias("t"))
+    vacant = files.expand(files.residual_units(h, t, ["geocode"], "t"), "n").select("geocode", F.lit("vacant").alias("kind"))
+    rows = h.select("geocode", F.lit("household").alias("kind")).unionByName(vacant)
+    rows = rows.unionByName(u.filter(facility).select(state, F.concat(F.lit("facility "), "unit_type").alias("kind")))
+    files.write_delimited(rows, path)
+    return files.read_delimited(spark, path, "geocode string, kind string").groupBy("geocode", "kind").agg(F.count("*").alias("n"))
+
+
 @register("sink_occupancy_counts", "SELECT geocode, count(*)-count(DISTINCT o_custkey) AS vacant_count, count(DISTINCT o_custkey) AS occupied_count FROM units LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus='P') ON o_custkey=unit GROUP BY 1")
 def sink_occupancy_counts(spark, sf):
     o = table(spark, sf, "orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("unit")).distinct().withColumn("occ", F.lit(1))
@@ -327,6 +341,17 @@ def sink_reallocate_tenure(spark, sf):
     return files.reallocate(u, k, ["geocode3"], F.col("unit_type") == "BUILDING", ["unit"], "mortgage", "owned", "tenure").select("unit", "unit_type", "geocode3", "tenure")
 
 
+@register("sink_reallocate_pairs", "SELECT unit, unit_type, geocode3, CASE unit_type WHEN 'BUILDING' THEN CASE WHEN r<=n//3 THEN 'mortgage' ELSE 'owned' END WHEN 'FURNITURE' THEN CASE WHEN r<=n-1 THEN 'rented' ELSE 'no pay' END END AS tenure FROM (SELECT unit, unit_type, substr(geocode,1,3) AS geocode3, row_number() OVER w AS r, count(*) OVER (PARTITION BY substr(geocode,1,3), unit_type) AS n FROM units WINDOW w AS (PARTITION BY substr(geocode,1,3), unit_type ORDER BY unit))")
+def sink_reallocate_pairs(spark, sf):
+    """Two coarse categories split to the totals of a second table; what is left must be what that table says."""
+    u = units(spark, sf).withColumn("geocode3", F.substring("geocode", 1, 3)).drop("geocode")
+    n = u.filter("unit_type in ('BUILDING', 'FURNITURE')").groupBy("geocode3", "unit_type").agg(F.count("*").alias("n"))
+    k = F.when(F.col("unit_type") == "BUILDING", F.floor(F.col("n") / 3)).otherwise(F.col("n") - 1)
+    targets = n.select("geocode3", "unit_type", k.alias("k"), (F.col("n") - k).alias("left"))
+    pairs = {"BUILDING": ("mortgage", "owned"), "FURNITURE": ("rented", "no pay")}
+    return files.reallocate_pairs(u, ["geocode3"], "unit_type", targets, pairs, ["unit"], "tenure").select("unit", "unit_type", "geocode3", "tenure")
+
+
 @register("sink_level_columns", "SELECT substr(geocode,1,1) AS region, substr(geocode,1,3) AS nation, substr(geocode,1,5) AS tract, flag, count(*) AS n FROM persons GROUP BY ALL")
 def sink_level_columns(spark, sf):
     cut = [F.substring("geocode", 1, n).alias(c) for c, n in (("region", 1), ("nation", 3), ("tract", 5))]

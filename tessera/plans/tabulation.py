@@ -203,7 +203,26 @@ def query_sensitivity(spark, sf):
     return seen.select(F.lit("any_band").alias("query"), F.least(F.col("n"), F.lit(SCHEMA.sensitivity("any_band"))).alias("most"))
 
 
-@register("query_names", None)
+NAMED_GROUPS = {
+    "low_band": ("band", {"low": [0, 1], "high": [3, 4]}), "returned": ("flag", {"returned": [0, 2], "kept": [1]}), "any_band": ("band", {"first": [0, 1, 2], "last": [2, 3, 4]}),
+}
+
+
+def names_sql() -> str:
+    """One and two parts that share no dim, each counted at the root."""
+    dim = {d: d for d in DIMS} | {r: d for r, (d, _) in NAMED_GROUPS.items()}
+    place = {d: i for i, d in enumerate(DIMS)}
+    found = [[], *[[p] for p in dim], *[sorted((p, q), key=lambda x: place[dim[x]]) for i, p in enumerate(dim) for q in list(dim)[i + 1 :] if dim[p] != dim[q]]]
+    out = [f"SELECT 'detailed' AS query, count(*) AS levels, CAST(sum(orig) AS BIGINT) AS orig FROM (SELECT {D}, sum(orig) AS orig FROM frame WHERE level=0 GROUP BY ALL)"]
+    for parts in found:
+        labels = {p: f"l{i}.label" if p in NAMED_GROUPS else p for i, p in enumerate(parts)}
+        joins = " ".join(f"JOIN (VALUES {', '.join(f"('{label}',{k})" for label, members in NAMED_GROUPS[p][1].items() for k in members)}) l{i}(label,k) ON frame.{dim[p]}=l{i}.k" for i, p in enumerate(parts) if p in NAMED_GROUPS)
+        columns = ", ".join(f"{labels[p]} AS p{i}" for i, p in enumerate(parts)) or "1 AS p0"
+        out.append(f"SELECT '{' * '.join(parts) or 'total'}', count(*), CAST(sum(orig) AS BIGINT) FROM (SELECT {columns}, sum(orig) AS orig FROM frame {joins} WHERE level=0 GROUP BY ALL)")
+    return " UNION ALL ".join(out)
+
+
+@register("query_names", names_sql())
 def query_names(spark, sf):
     """Catalogue of the schema's queries, with what each answers over the whole table."""
     root = frame(spark, sf).filter("level = 0").drop("level")

@@ -83,18 +83,27 @@ def read_as_raw(records: DataFrame, required: list[str], keys: list[str], saved:
     return records
 
 
-def read_runs(spark: SparkSession, runs: dict[str, tuple[str, float]], columns: list[str]) -> DataFrame:
-    """Saved runs as one frame: run id -> (Parquet path, privacy-loss budget); fixed order of columns, then run_id and plb."""
-    one = lambda name, path, plb: spark.read.parquet(path).select(*columns, F.lit(name).alias("run_id"), F.lit(float(plb)).alias("plb"))
+def read_runs(spark: SparkSession, runs: dict[str, tuple[str, float, str]], columns: list[str]) -> DataFrame:
+    """Saved runs as one frame: run id -> (Parquet path, privacy-loss budget, group of budgets); fixed order of columns, then run_id, plb and budget_group."""
+    one = lambda name, path, plb, group: spark.read.parquet(path).select(*columns, F.lit(name).alias("run_id"), F.lit(float(plb)).alias("plb"), F.lit(group).alias("budget_group"))
     return reduce(DataFrame.unionByName, [one(name, *at) for name, at in runs.items()])
 
 
-def linked_sample(units: DataFrame, persons: DataFrame, key: str, chosen: Column, vacant: int = 0) -> DataFrame:
-    """Units whose key is chosen and all their persons, in one frame with ``kind``, and the first ``vacant`` units without persons, by key."""
+def required(frame: DataFrame, columns: list[str]) -> DataFrame:
+    """The frame; reading a row with a null in one of the columns fails."""
+    told = lambda c: F.coalesce(F.col(c), F.raise_error(F.lit(f"null in {c}")).cast(frame.schema[c].dataType))
+    return frame.withColumns({c: told(c) for c in columns})
+
+
+def linked_sample(units: DataFrame, persons: DataFrame, key: str, chosen: Column, vacant: int = 0, facility: Column | None = None, facilities: int = 0) -> DataFrame:
+    """Units whose key is chosen and all their persons, in one frame with ``kind``, and by key the first ``vacant`` units without persons and the first ``facilities`` units that are one."""
     lived = units.join(persons.select(key).distinct(), key, "left_semi").filter(chosen).withColumn("kind", F.lit("unit"))
     people = persons.filter(chosen).withColumn("kind", F.lit("person"))
     empty = units.join(persons.select(key).distinct(), key, "left_anti").orderBy(key).limit(vacant).withColumn("kind", F.lit("vacant"))
-    return lived.unionByName(people, allowMissingColumns=True).unionByName(empty, allowMissingColumns=True)
+    out = lived.unionByName(people, allowMissingColumns=True).unionByName(empty, allowMissingColumns=True)
+    if facility is None:
+        return out
+    return out.unionByName(units.filter(facility).orderBy(key).limit(facilities).withColumn("kind", F.lit("facility")), allowMissingColumns=True)
 
 
 def write_with_metadata(frame: DataFrame, path: str, allocation: str, sep: str = "|") -> None:
@@ -158,8 +167,8 @@ def numbered(records: DataFrame, order: list[str], out: str = "epnum") -> DataFr
 
 
 def numbered_records(hist: DataFrame, count: str, order: list[str], out: str = "epnum") -> DataFrame:
-    """Records of a histogram with their numbers: cells, not records, are put in order."""
-    cells = ranks.running(hist.filter(F.col(count) > 0), order, F.col(count).cast("long"), "_first")
+    """Records of a histogram with their numbers: cells, not records, are put in order. They are written first, as cuts, totals and running sums each read them."""
+    cells = ranks.running(kept(hist.filter(F.col(count) > 0), "cells"), order, F.col(count).cast("long"), "_first")
     return expand(cells, count, "_at").withColumn(out, F.col("_first") + F.col("_at")).drop("_first", "_at")
 
 
@@ -187,3 +196,20 @@ def reallocate(records: DataFrame, targets: DataFrame, keys: list[str], coarse:
     rank = F.row_number().over(W.partitionBy(*keys, coarse).orderBy(*order))
     j = records.join(targets.select(*keys, F.col("k").alias("_k")), keys, "left").withColumn("_r", F.when(coarse, rank))
     return j.withColumn(out, F.when(F.col("_r").isNull(), F.lit(None)).when(F.col("_r") <= F.coalesce("_k", F.lit(0)), first).otherwise(rest)).drop("_k", "_r")
+
+
+def reallocate_pairs(records: DataFrame, keys: list[str], coarse: str, targets: DataFrame, pairs: dict[str, tuple[str, str]], order: list[str], out: str) -> DataFrame:
+    """Split several coarse categories at once: of category c with the pair (first, rest), the first k records of each key become ``first``, the others ``rest``.
+
+    ``targets``: keys, ``coarse`` (its value), ``k`` and ``left``, the number that the rest must have (null: any); records of other categories keep a null.
+    A key where fewer than k records stand, or where another number is left, fails when its rows are read. Ranks are taken within a key and category.
+    """
+    w = W.partitionBy(*keys, coarse)
+    j = records.join(targets.select(*keys, F.col(coarse), F.col("k").alias("_k"), F.col("left").alias("_left")), [*keys, coarse], "left")
+    j = j.withColumns({"_r": F.row_number().over(w.orderBy(*order)), "_n": F.count("*").over(w), "_k": F.coalesce("_k", F.lit(0))})
+    off = (F.col("_n") < F.col("_k")) | (F.coalesce("_left", F.col("_n") - F.col("_k")) != F.col("_n") - F.col("_k"))
+    names = F.lit(None).cast("string")
+    for category, (first, rest) in pairs.items():
+        names = F.when(F.col(coarse) == category, F.when(F.col("_r") <= F.col("_k"), first).otherwise(rest)).otherwise(names)
+    told = F.when(F.col(coarse).isin(list(pairs)) & off, F.raise_error(F.concat(F.lit("the counts of a pair do not add up in "), F.concat_ws(",", *keys))).cast("string")).otherwise(names)
+    return j.withColumn(out, told).drop("_k", "_left", "_r", "_n")
