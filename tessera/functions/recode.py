@@ -95,3 +95,42 @@ def by_table(frame: DataFrame, key: Column, table: DataFrame, code: str, out: st
 def origin_and_race(hispanic: Column, race: Column, races: int) -> Column:
     """Two-way code: race, and race + ``races`` for those of the origin; null outside."""
     return F.when(race.between(0, races - 1) & hispanic.isin(0, 1), hispanic * races + race).cast("int")
+
+
+#: Codes of couples: none, married of opposite sex, married of same sex, cohabiting of opposite sex, cohabiting of same sex.
+COUPLES = ["no_partner", "married_opposite", "married_same", "cohabiting_opposite", "cohabiting_same"]
+
+
+def household_flags(children: Column, couple: Column, relatives: Column, size: Column, generations: Column) -> dict[str, Column]:
+    """0/1 flags of a household: ``children`` 0 none, 1 under 6, 2 of 6 to 17, 3 both; ``couple`` by COUPLES; ``relatives`` 0/1; persons; generations.
+
+    A household of one has no partner, relatives or children of its own, whatever its codes say; null codes give null flags.
+    """
+    shared = size > 1
+    of = lambda c: c.cast("int")
+    kids = F.when(shared, children).otherwise(F.when(size == 1, 0))
+    pair = F.when(shared, couple).otherwise(F.when(size == 1, 0))
+    family = F.when(shared, (pair.isin(1, 2)) | (relatives == 1) | (kids > 0)).otherwise(F.when(size == 1, F.lit(False)))
+    flags = {"child_under_6_only": kids == 1, "child_6_to_17_only": kids == 2, "child_both": kids == 3, "no_child": kids == 0}
+    flags |= {name: pair == k for k, name in enumerate(COUPLES)}
+    flags |= {"married": pair.isin(1, 2), "cohabiting": pair.isin(3, 4), "with_relatives": shared & (relatives == 1), "family": family, "alone": size == 1, "not_alone": shared}
+    flags |= {"three_generations": generations >= 3, "couple_with_child": (pair > 0) & (kids > 0), "couple_without_child": (pair > 0) & (kids == 0), "single_with_child": (pair == 0) & (kids > 0), "others_only": shared & ~family & (pair == 0)}
+    return {name: of(c) for name, c in flags.items()}
+
+
+def published_household(flags: dict[str, Column], sex: Column, age: Column, oldest: Column, adults: Column) -> dict[str, Column]:
+    """Codes of a published household record from :func:`household_flags`, the householder's sex (1, 2) and age, the oldest person's age and the number of adults.
+
+    Type: 1 married, 2 other family of a man, 3 of a woman, 4 alone man, 5 man not alone, 6 alone woman, 7 woman not alone. With cohabiting: 1 married with own
+    children, 2 without, 3 cohabiting with, 4 without, 5 to 8 no partner, by man or woman and alone or not. Presence codes are 1 for none and 2 for some.
+    """
+    is_ = lambda name: flags[name] == 1
+    man = sex == 1
+    some = lambda c: F.when(c, "2").otherwise("1")
+    kind = F.when(is_("married"), "1").when(is_("family"), F.when(man, "2").otherwise("3")).when(man, F.when(is_("alone"), "4").otherwise("5")).otherwise(F.when(is_("alone"), "6").otherwise("7"))
+    wide = F.when(is_("married"), F.when(is_("no_child"), "2").otherwise("1")).when(is_("cohabiting"), F.when(is_("no_child"), "4").otherwise("3")).when(man, F.when(is_("alone"), "5").otherwise("6")).otherwise(F.when(is_("alone"), "7").otherwise("8"))
+    couple = F.when(is_("married_opposite"), "1").when(is_("married_same"), "2").when(is_("cohabiting_opposite"), "3").when(is_("cohabiting_same"), "4").otherwise("5")
+    child = F.when(is_("child_under_6_only"), "1").when(is_("child_6_to_17_only"), "2").when(is_("child_both"), "3").otherwise("0")
+    codes = {"hht": kind, "hht2": wide, "cplt": couple, "upart": F.when(is_("cohabiting"), F.when(man, "1").otherwise("2")).otherwise("5"), "multg": some(is_("three_generations"))}
+    codes |= {"paoc": child, "hhldrage": F.lpad((bands(age, [0, 15, 25, 35, 45, 55, 60, 65, 75]) + 1).cast("string"), 2, "0"), "p18": some(adults > 0)}
+    return codes | {f"p{y}": some(oldest >= y) for y in (60, 65, 75)} | {"hhsex": sex.cast("string")}

@@ -149,6 +149,54 @@ def recode_output_household(spark, sf):
     return presence(spark, sf).select("unit", F.concat(F.col("young").cast("string"), F.col("older").cast("string")).alias("children"), recode.filler("string", 2, False).alias("tenure"))
 
 
+# a household's codes from its persons: quantities stand for ages, times 1.8
+HOUSE = """, hh AS (SELECT unit, count(*) AS size, max(CASE WHEN qty<4 THEN 1 ELSE 0 END)+2*max(CASE WHEN qty BETWEEN 4 AND 9 THEN 1 ELSE 0 END) AS children, CASE WHEN count(*)>1 THEN unit%5 ELSE 0 END AS couple, max(CASE WHEN prio=4 THEN 1 ELSE 0 END) AS relatives,
+ max(CASE WHEN qty<10 THEN 1 ELSE 0 END)+max(CASE WHEN qty BETWEEN 10 AND 30 THEN 1 ELSE 0 END)+max(CASE WHEN qty>30 THEN 1 ELSE 0 END) AS generations, 1+unit%2 AS sex, CAST(floor(max(qty)*1.8) AS INTEGER) AS oldest, CAST(floor(min(qty)*1.8) AS INTEGER) AS age, sum(CASE WHEN qty>=10 THEN 1 ELSE 0 END) AS adults
+ FROM (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY orderkey, run, qty) AS nth FROM persons) WHERE nth<=unit%7+1 GROUP BY unit),
+ k AS (SELECT *, CASE WHEN size>1 THEN children ELSE 0 END AS kids, size>1 AND (couple IN (1,2) OR relatives=1 OR children>0) AS fam FROM hh) """
+
+
+def households(spark, sf):
+    from pyspark.sql import Window as W
+
+    nth = F.row_number().over(W.partitionBy("unit").orderBy("orderkey", "run", "qty"))
+    p = persons(spark, sf).withColumn("nth", nth).filter(F.col("nth") <= F.col("unit") % 7 + 1)
+    any_ = lambda c: F.max(F.when(c, 1).otherwise(0))
+    q = F.col("qty")
+    return p.groupBy("unit").agg(
+        F.count("*").alias("size"), (any_(q < 4) + 2 * any_(q.between(4, 9))).alias("children"), any_(F.col("prio") == 4).alias("relatives"), (any_(q < 10) + any_(q.between(10, 30)) + any_(q > 30)).alias("generations"),
+        F.floor(F.max(q) * 1.8).cast("int").alias("oldest"), F.floor(F.min(q) * 1.8).cast("int").alias("age"), F.sum(F.when(q >= 10, 1).otherwise(0)).alias("adults"),
+    ).withColumns({"couple": F.when(F.col("size") > 1, F.col("unit") % 5).otherwise(0), "sex": 1 + F.col("unit") % 2})
+
+
+def house_flags():
+    return recode.household_flags(*[F.col(c) for c in ("children", "couple", "relatives", "size", "generations")])
+
+
+FLAG_SQL = {
+    "child_under_6_only": "kids=1", "child_6_to_17_only": "kids=2", "child_both": "kids=3", "no_child": "kids=0", "no_partner": "couple=0", "married_opposite": "couple=1", "married_same": "couple=2", "cohabiting_opposite": "couple=3", "cohabiting_same": "couple=4",
+    "married": "couple IN (1,2)", "cohabiting": "couple IN (3,4)", "with_relatives": "size>1 AND relatives=1", "family": "fam", "alone": "size=1", "not_alone": "size>1", "three_generations": "generations>=3", "couple_with_child": "couple>0 AND kids>0",
+    "couple_without_child": "couple>0 AND kids=0", "single_with_child": "couple=0 AND kids>0", "others_only": "size>1 AND NOT fam AND couple=0",
+}
+
+
+@register("recode_household_flags", HOUSE + f"SELECT unit, {', '.join(f'CAST({c} AS INTEGER) AS {n}' for n, c in FLAG_SQL.items())} FROM k")
+def recode_household_flags(spark, sf):
+    """Twenty flags of households: children, couples, relatives, size and generations."""
+    return households(spark, sf).select("unit", *[c.alias(n) for n, c in house_flags().items()])
+
+
+@register("recode_published_household", HOUSE + """SELECT unit, CASE WHEN couple IN (1,2) THEN '1' WHEN fam THEN CASE WHEN sex=1 THEN '2' ELSE '3' END WHEN sex=1 THEN CASE WHEN size=1 THEN '4' ELSE '5' END ELSE CASE WHEN size=1 THEN '6' ELSE '7' END END AS hht,
+ CASE WHEN couple IN (1,2) THEN CASE WHEN kids>0 THEN '1' ELSE '2' END WHEN couple>2 THEN CASE WHEN kids>0 THEN '3' ELSE '4' END WHEN sex=1 THEN CASE WHEN size=1 THEN '5' ELSE '6' END ELSE CASE WHEN size=1 THEN '7' ELSE '8' END END AS hht2,
+ CASE WHEN couple=0 THEN '5' ELSE CAST(couple AS VARCHAR) END AS cplt, CASE WHEN couple>2 THEN CAST(sex AS VARCHAR) ELSE '5' END AS upart, CASE WHEN generations>=3 THEN '2' ELSE '1' END AS multg, CAST(kids AS VARCHAR) AS paoc,
+ lpad(CAST(CASE WHEN age>=75 THEN 9 WHEN age>=65 THEN 8 WHEN age>=60 THEN 7 WHEN age>=55 THEN 6 WHEN age>=45 THEN 5 WHEN age>=35 THEN 4 WHEN age>=25 THEN 3 WHEN age>=15 THEN 2 ELSE 1 END AS VARCHAR),2,'0') AS hhldrage,
+ CASE WHEN adults>0 THEN '2' ELSE '1' END AS p18, CASE WHEN oldest>=60 THEN '2' ELSE '1' END AS p60, CASE WHEN oldest>=65 THEN '2' ELSE '1' END AS p65, CASE WHEN oldest>=75 THEN '2' ELSE '1' END AS p75, CAST(sex AS VARCHAR) AS hhsex FROM k""")
+def recode_published_household(spark, sf):
+    """Published codes of households from their flags, the householder and the ages of their persons."""
+    codes = recode.published_household(house_flags(), F.col("sex"), F.col("age"), F.col("oldest"), F.col("adults"))
+    return households(spark, sf).select("unit", *[c.alias(n) for n, c in codes.items()])
+
+
 @register("recode_fill_not_in_universe", "SELECT c_custkey AS unit, 0 AS zero, 999 AS nines, '00' AS text FROM customer", base=False)
 def recode_fill_not_in_universe(spark, sf):
     return table(spark, sf, "customer").select(F.col("c_custkey").alias("unit"), recode.filler("int", 3, True).alias("zero"), recode.filler("int", 3, False).alias("nines"), recode.filler("string", 2, True).alias("text"))
