@@ -53,7 +53,7 @@ def fit_multi_pass_kept(spark, sf):
 
 #: Bounds by flag: a share of the unit's count, from a part that the noisy cells would miss, and in some units more than there is.
 LIMITS = """, f AS (SELECT geocode, flag, count(*) AS k FROM frame WHERE level=5 GROUP BY ALL), s AS (SELECT geocode, sum(orig) AS total FROM frame WHERE level=5 GROUP BY 1),
- b AS (SELECT f.geocode, flag, total, CAST(floor(total*(1+flag)*0.2) AS DOUBLE) AS lower, CAST(floor(total*0.5)+flag AS DOUBLE) AS upper FROM f JOIN s ON f.geocode=s.geocode),
+ b AS (SELECT f.geocode, flag, total, CAST(floor(total*(1+flag)*0.1) AS DOUBLE) AS lower, CAST(floor(total*0.5)+flag AS DOUBLE) AS upper FROM f JOIN s ON f.geocode=s.geocode),
  r AS (SELECT geocode, max(total) AS total, sum(lower) AS least, sum(upper) AS most, min(CASE WHEN lower<=upper THEN 1 ELSE 0 END)=1 AND sum(lower)<=max(total) AND max(total)<=sum(upper) AS room FROM b GROUP BY 1) """
 
 
@@ -61,7 +61,7 @@ def limits(spark, sf):
     f = frame(spark, sf).filter("level = 5")
     total = f.groupBy("geocode").agg(F.sum("orig").alias("total"))
     own = f.select("geocode", "flag").distinct().join(total, "geocode")
-    return f, total, own.select("geocode", "flag", F.floor(F.col("total") * (1 + F.col("flag")) * 0.2).cast("double").alias("lower"), (F.floor(F.col("total") * 0.5) + F.col("flag")).cast("double").alias("upper"))
+    return f, total, own.select("geocode", "flag", F.floor(F.col("total") * (1 + F.col("flag")) * 0.1).cast("double").alias("lower"), (F.floor(F.col("total") * 0.5) + F.col("flag")).cast("double").alias("upper"))
 
 
 @register("fit_bound_conflicts", LIMITS + "SELECT geocode, CAST(total AS BIGINT) AS total, least, most, room FROM r")
@@ -108,8 +108,9 @@ def fit_swap_within(spark, sf):
     upper = F.greatest(F.lit(9.0), F.ceil(F.col("total") * 0.35))
     bounds = total.select("geocode", F.posexplode(F.array(F.lit(4), F.lit(2), F.lit(1))).alias("flag", "lower"), upper.alias("upper"))
     after = rounding.swap_within(f.select("geocode", *DIMS, "priv").join(total.select("geocode"), "geocode"), ["geocode"], "flag", ["status", "band"], bounds, "priv")
-    sums = lambda g, n, out: g.groupBy("geocode", "flag").agg(F.sum(n).alias(out))
-    j = bounds.join(sums(f, "priv", "was"), ["geocode", "flag"], "left").join(sums(after, "n", "now"), ["geocode", "flag"], "left").na.fill(0, ["was", "now"])
+    was = f.groupBy("geocode", "flag").agg(F.sum("priv").alias("was"))
+    now = after.groupBy("geocode", "flag").agg(F.sum("n").alias("now"), F.min("met").alias("met"))
+    j = bounds.join(was, ["geocode", "flag"], "left").join(now, ["geocode", "flag"], "left").na.fill(0, ["was", "now"])
     held = lambda c: (F.col(c) >= F.col("lower")) & (F.col(c) <= F.col("upper"))
-    broken = j.groupBy("geocode").agg(F.count_if(held("was") & ~held("now")).alias("n_broken"))
-    return total.join(after.groupBy("geocode").agg(F.min("met").alias("met")), "geocode").join(broken, "geocode").select("geocode", "total", "met", "n_broken")
+    found = j.groupBy("geocode").agg(F.min("met").alias("met"), F.count_if(held("was") & ~held("now")).alias("n_broken"))
+    return total.join(found, "geocode").select("geocode", "total", "met", "n_broken")
