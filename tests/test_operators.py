@@ -176,3 +176,30 @@ def test_swaps_move_the_least_changed_records(spark):
     df = spark.createDataFrame(rows, "u int, f int, c int, n long, y long")
     got = {(r.u, r.f, r.c): r.n for r in fit.swap_repair(df, ["u"], "f", 0, 1, ["c"], F.lit(2)).collect()}
     assert got == {(1, 1, 0): 5, (1, 1, 1): 3, (1, 0, 0): 0, (1, 0, 1): 2, (2, 1, 0): 1, (2, 0, 1): 9}
+
+
+def test_required_columns_and_paired_reallocation_fail_on_what_does_not_fit(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "k int, c string")
+    assert files.required(df.filter("k = 1"), ["k", "c"]).collect() == [(1, "a")]
+    with pytest.raises(Exception, match="null in c"):
+        files.required(df, ["k", "c"]).collect()
+    units = spark.createDataFrame([("x", "own", i) for i in range(3)] + [("x", "rent", i) for i in range(2)] + [("y", "none", 0)], "g string, kind string, u int")
+    pairs = {"own": ("mortgage", "clear"), "rent": ("paid", "free")}
+
+    def split(*targets):
+        return files.reallocate_pairs(units, ["g"], "kind", spark.createDataFrame(targets, "g string, kind string, k int, left int"), pairs, ["u"], "t").collect()
+
+    got = {(r.kind, r.u): r.t for r in split(("x", "own", 1, 2), ("x", "rent", 2, None))}
+    assert got == {("own", 0): "mortgage", ("own", 1): "clear", ("own", 2): "clear", ("rent", 0): "paid", ("rent", 1): "paid", ("none", 0): None}
+    for bad in (("x", "own", 4, None), ("x", "own", 1, 1)):
+        with pytest.raises(Exception, match="do not add up in x"):
+            split(bad)
+
+
+def test_household_flags_of_one_person_and_nulls(spark):
+    df = spark.createDataFrame([(3, 1, 1, 1, 3), (0, 3, 0, 2, 1), (None, None, None, None, None)], "c int, p int, r int, s int, g int")
+    f = recode.household_flags(*[F.col(x) for x in "cprsg"])
+    one, two, none = df.select(*[c.alias(n) for n, c in f.items()]).collect()
+    assert one.alone == 1 and one.family == one.married == one.child_both == 0 and one.no_partner == one.no_child == 1
+    assert two.cohabiting == two.cohabiting_opposite == two.couple_without_child == 1 and two.others_only == two.family == 0
+    assert all(v is None for v in none)
