@@ -88,8 +88,8 @@ def packed(flags: list[Column], sizes: list[int]) -> Column:
 
 
 def by_table(frame: DataFrame, key: Column, table: DataFrame, code: str, out: str) -> DataFrame:
-    """``out``: code of each row's key in a table (key, code) of schema size; null where the table lacks it."""
-    return frame.withColumn("_key", key).join(F.broadcast(table.select(F.col("key").alias("_key"), F.col(code).alias(out))), "_key", "left").drop("_key")
+    """``out``: code of each row's key in a table (key, code); null where the table lacks it."""
+    return frame.withColumn("_key", key).join(table.select(F.col("key").alias("_key"), F.col(code).alias(out)), "_key", "left").drop("_key")
 
 
 def origin_and_race(hispanic: Column, race: Column, races: int) -> Column:

@@ -1,4 +1,7 @@
-"""Consistent, non-negative, whole-number tables from noisy ones: closed forms per parent and cell, as windows."""
+"""Consistent, non-negative, whole-number tables from noisy ones: closed forms per parent and cell, as windows.
+
+A variance of zero says that a value is known: it stays as it is, within its bounds, and the others share what is left.
+"""
 
 from __future__ import annotations
 
@@ -10,38 +13,47 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+def part(value: Column, whole: Column, none: Column | None = None) -> Column:
+    """value / whole; ``none`` (default 0) where the whole is zero."""
+    return F.coalesce(F.try_divide(value, whole), F.lit(0.0) if none is None else none)
+
+
 def pool(own: DataFrame, summed: DataFrame, keys: list[str]) -> DataFrame:
-    """Inverse-variance mean of a unit's own answers and the sums of its children's (keys, y, v)."""
+    """Inverse-variance mean of a unit's own answers and the sums of its children's (keys, y, v); where both are known, its own."""
     j = own.join(summed.select(*keys, F.col("y").alias("_y"), F.col("v").alias("_v")), keys)
     weight = F.col("v") + F.col("_v")
-    return j.select(*keys, ((F.col("y") * F.col("_v") + F.col("_y") * F.col("v")) / weight).alias("y"), (F.col("v") * F.col("_v") / weight).alias("v"))
+    return j.select(*keys, part(F.col("y") * F.col("_v") + F.col("_y") * F.col("v"), weight, F.col("y")).alias("y"), part(F.col("v") * F.col("_v"), weight).alias("v"))
 
 
 def rescale(children: DataFrame, parent: list[str]) -> DataFrame:
-    """Variances over the least one among siblings."""
-    return children.withColumn("v", F.col("v") / F.min("v").over(W.partitionBy(*parent)))
+    """Variances over the least positive one among siblings."""
+    return children.withColumn("v", part(F.col("v"), F.min(F.when(F.col("v") > 0, F.col("v"))).over(W.partitionBy(*parent))))
 
 
 def weighted_ls(children: DataFrame, parent: list[str], total: str) -> DataFrame:
     """Least-squares children that add up to the parent: x = y + v / sum(v) * (total - sum(y))."""
     w = W.partitionBy(*parent)
-    return children.withColumn("x", F.col("y") + F.col("v") / F.sum("v").over(w) * (F.col(total) - F.sum("y").over(w)))
+    return children.withColumn("x", F.col("y") + part(F.col("v"), F.sum("v").over(w)) * (F.col(total) - F.sum("y").over(w)))
 
 
 def nonneg(children: DataFrame, parent: list[str], total: str, order: list[str]) -> DataFrame:
     """As :func:`weighted_ls` with x >= 0: the weighted projection onto the simplex.
 
     Sorted by y / v from the top, t = (running y - total) / running v; the last row
-    with y / v > t gives the t at which the clipped children add up. Total 0: all 0.
+    with y / v > t gives the t at which the clipped children add up. Total 0: all 0. Known children (v = 0)
+    come last in that order; where they leave nothing, the others are 0.
     """
     w = W.partitionBy(*parent)
-    run = w.orderBy(F.desc(F.col("y") / F.col("v")), *order).rowsBetween(W.unboundedPreceding, 0)
-    t = (F.sum("y").over(run) - F.col(total)) / F.sum("v").over(run)
-    c = children.withColumn("_t", t).withColumn("_ok", F.col("y") / F.col("v") > F.col("_t"))
+    known = F.when(F.col("v") <= 0, F.greatest(F.col("y"), F.lit(0.0))).otherwise(F.lit(0.0))
+    height = F.try_divide(F.col("y"), F.col("v"))
+    run = w.orderBy(height.desc_nulls_last(), *order).rowsBetween(W.unboundedPreceding, 0)
+    c = children.withColumn("_left", F.col(total) - F.sum(known).over(w))
+    c = c.withColumn("_t", F.try_divide(F.sum("y").over(run) - F.col("_left"), F.sum("v").over(run))).withColumn("_ok", height > F.col("_t"))
     # the active set is a prefix of the order, t grows along it: the last active t is the largest
     c = c.withColumn("_t", F.max(F.when(F.col("_ok"), F.col("_t"))).over(w))
-    x = F.when(F.col(total) <= 0, 0.0).otherwise(F.greatest(F.col("y") - F.col("_t") * F.col("v"), F.lit(0.0)))
-    return c.withColumn("x", x).drop("_t", "_ok")
+    shared = F.when(F.col("_left") <= 0, 0.0).otherwise(F.greatest(F.col("y") - F.col("_t") * F.col("v"), F.lit(0.0)))
+    x = F.when(F.col(total) <= 0, 0.0).when(F.col("v") <= 0, known).otherwise(shared)
+    return c.withColumn("x", x).drop("_left", "_t", "_ok")
 
 
 def round_controlled(fitted: DataFrame, parent: list[str], total: str, order: list[str], value: str = "x") -> DataFrame:
@@ -56,7 +68,7 @@ def round_controlled(fitted: DataFrame, parent: list[str], total: str, order: li
 def group_total(parts: DataFrame, group: list[str], total: Column) -> DataFrame:
     """Shift the parts of a split area in proportion to their variances so that they add up to the group's total."""
     w = W.partitionBy(*group)
-    return parts.withColumn("x", F.col("y") + F.col("v") / F.sum("v").over(w) * (total - F.sum("y").over(w)))
+    return parts.withColumn("x", F.col("y") + part(F.col("v"), F.sum("v").over(w)) * (total - F.sum("y").over(w)))
 
 
 def zero_mask(children: DataFrame, parents: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -71,8 +83,11 @@ def bounded(fitted: DataFrame, parent: list[str], total: str, lower: str, upper:
     only where a child leaves its upper or meets its lower bound: the bends are sorted, the sum at each is a running
     one, and t lies behind the last bend at which the sum is still the total or more. Out of reach: the nearest bounds, ``met`` false.
     """
-    at = lambda bound: (F.col(y) - F.col(bound)) / F.col(v)
-    bends = F.array(F.struct(at(upper).alias("t"), F.col(v).alias("slope"), F.col(upper).cast("double").alias("start")), F.struct(at(lower).alias("t"), (-F.col(v)).alias("slope"), F.lit(0.0).alias("start")))
+    at = lambda bound: F.try_divide(F.col(y) - F.col(bound), F.col(v))
+    within = lambda x: F.greatest(F.least(x, F.col(upper).cast("double")), F.col(lower).cast("double"))
+    known = F.when(F.col(v) <= 0, within(F.col(y).cast("double")))
+    # a known child has no slope: its bends have no t, stand first and add its value
+    bends = F.array(F.struct(at(upper).alias("t"), F.col(v).alias("slope"), F.coalesce(known, F.col(upper).cast("double")).alias("start")), F.struct(at(lower).alias("t"), (-F.col(v)).alias("slope"), F.lit(0.0).alias("start")))
     b = fitted.select(*parent, *order, F.col(total).cast("double").alias("_total"), F.explode(bends).alias("_b")).select(*parent, *order, "_total", "_b.*")
     w = W.partitionBy(*parent).orderBy("t", F.desc("slope"), *order)
     # sum at a bend: all upper bounds, less what the open slopes have taken off so far
@@ -83,10 +98,10 @@ def bounded(fitted: DataFrame, parent: list[str], total: str, lower: str, upper:
     held = b.filter(F.col("_sum") >= F.col("_total") - 1e-9).groupBy(*parent).agg(F.max(F.struct("t", "_s", "_sum", "_total")).alias("_last"))
     t = F.col("_last.t") + F.when(F.col("_last._s") > 1e-12, (F.col("_last._sum") - F.col("_last._total")) / F.col("_last._s")).otherwise(F.lit(0.0))
     every = W.partitionBy(*parent)
-    room = (F.sum(lower).over(every) <= F.col(total)) & (F.sum(upper).over(every) >= F.col(total))
+    room = (F.sum(F.coalesce(known, F.col(lower))).over(every) <= F.col(total)) & (F.sum(F.coalesce(known, F.col(upper))).over(every) >= F.col(total))
     j = fitted.withColumn("met", room).join(held.select(*parent, t.alias("_t")), parent, "left")
     # no bend has enough: even the upper bounds fall short
-    x = F.when(F.col("_t").isNull(), F.col(upper).cast("double")).otherwise(F.greatest(F.least(F.col(y) - F.col("_t") * F.col(v), F.col(upper).cast("double")), F.col(lower).cast("double")))
+    x = F.when(F.col(v) <= 0, known).when(F.col("_t").isNull(), F.col(upper).cast("double")).otherwise(within(F.col(y) - F.col("_t") * F.col(v)))
     return j.withColumn("x", x).drop("_t")
 
 
@@ -99,7 +114,7 @@ def marginal_pass(cells: DataFrame, group: list[str], query: DataFrame, toleranc
     j = cells.join(query.select(*group, "q", "qv"), group, "left")
     gap, spread = F.col("q") - F.sum("y").over(w), F.sum("v").over(w) + F.col("qv")
     apart = F.col("q").isNotNull() & (F.abs(gap) > tolerance)
-    j = j.withColumn("_y", F.when(apart, F.col("y") + F.col("v") * gap / spread).otherwise(F.col("y"))).withColumn("_v", F.when(apart, F.col("v") - F.col("v") * F.col("v") / spread).otherwise(F.col("v")))
+    j = j.withColumn("_y", F.when(apart, F.col("y") + part(F.col("v") * gap, spread)).otherwise(F.col("y"))).withColumn("_v", F.when(apart, F.col("v") - part(F.col("v") * F.col("v"), spread)).otherwise(F.col("v")))
     return j.drop("y", "v", "q", "qv").withColumnsRenamed({"_y": "y", "_v": "v"})
 
 

@@ -43,13 +43,13 @@ def spent(units: DataFrame, keys: list[str]) -> DataFrame:
 
 def cell_impact(hits: DataFrame, budgets: DataFrame) -> DataFrame:
     """(query, cell) hits against (level, query, budget): most and least budget that a cell uses, by level."""
-    used = hits.join(F.broadcast(budgets), "query").groupBy("level", "cell").agg(F.sum(2 * F.col("budget")).alias("_u"))
+    used = hits.join(budgets, "query").groupBy("level", "cell").agg(F.sum(2 * F.col("budget")).alias("_u"))
     return used.groupBy("level").agg(F.min("_u").alias("least"), F.max("_u").alias("most"))
 
 
 def query_gaps(hits: DataFrame, queries: DataFrame, cells: DataFrame) -> DataFrame:
     """Cells that a query counts other than once: (query, cell, times). Only cells that some query misses meet the list of queries, which is of schema size."""
-    times = hits.join(F.broadcast(queries), "query", "left_semi").groupBy("query", "cell").agg(F.count("*").alias("times"))
+    times = hits.join(queries, "query", "left_semi").groupBy("query", "cell").agg(F.count("*").alias("times"))
     known = queries.distinct().agg(F.collect_set("query").alias("_all"))
     have = cells.distinct().join(times.groupBy("cell").agg(F.collect_set("query").alias("_have")), "cell", "left").withColumn("_have", F.coalesce("_have", F.array().cast("array<string>")))
     missing = have.crossJoin(F.broadcast(known)).select(F.explode(F.array_except("_all", "_have")).alias("query"), "cell", F.lit(0).cast("long").alias("times"))

@@ -33,8 +33,7 @@ def answers(histograms: dict[str, tuple[DataFrame, query.Schema, list[str], str]
     """(histogram, *keys, query, cell, answer, variance, budget) of every query with a share.
 
     ``histograms``: name -> (cells of all levels, schema, queries, value column); ``keys`` hold ``level``.
-    ``shares``: (histogram, level, query, whole), the share of the budget ``total`` that the query has at its level, of
-    schema size and so broadcast. Queries without a share are not answered; true values do not leave the function.
+    ``shares``: (histogram, level, query, whole), the share of the budget ``total`` that the query has at its level. Queries without a share are not answered; true values do not leave the function.
     """
     out = None
     for name, (cells, schema, queries, value) in histograms.items():
@@ -42,7 +41,7 @@ def answers(histograms: dict[str, tuple[DataFrame, query.Schema, list[str], str]
         most = F.create_map(*[x for q in queries for x in (F.lit(q), F.lit(float(schema.sensitivity(q))))])
         found = found.select(F.lit(name).alias("histogram"), *keys, "query", "cell", F.col(value).alias("_true"), most[F.col("query")].alias("_most"))
         out = found if out is None else out.unionByName(found)
-    joined = out.join(F.broadcast(shares.select("histogram", "level", "query", "whole")), ["histogram", "level", "query"]).withColumn("budget", F.col("whole") * total)
+    joined = out.join(shares.select("histogram", "level", "query", "whole"), ["histogram", "level", "query"]).withColumn("budget", F.col("whole") * total)
     x, variance = mechanism(["histogram", *keys, "query", "cell"], F.col("budget"), F.col("_most"), seed)
     return joined.select("histogram", *keys, "query", "cell", (F.col("_true") + x).alias("answer"), variance.alias("variance"), "budget")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -105,7 +107,7 @@ def count_quantile(frame: DataFrame, keys: list[str], level: str, count: str, pr
     return run.filter((F.col("_all") > 0) & (F.col("_run") >= prob * F.col("_all"))).groupBy(*keys).agg(F.min(level).alias(out))
 
 
-#: Metrics by name: (protected, true) -> aggregate. Users add their own.
+#: Metrics by name: (protected, true) -> aggregate.
 NAMED = {
     "l1": lambda priv, orig: F.sum(F.abs(priv - orig)),
     "l2": lambda priv, orig: F.sqrt(F.sum((priv - orig) * (priv - orig))),
@@ -114,8 +116,9 @@ NAMED = {
 }
 
 
-def by_name(frame: DataFrame, keys: list[str], names: list[str], priv: str = "priv", orig: str = "orig") -> DataFrame:
-    """The named metrics of each group, in one aggregation."""
-    if unknown := [n for n in names if n not in NAMED]:
+def by_name(frame: DataFrame, keys: list[str], names: list[str], priv: str = "priv", orig: str = "orig", own: dict[str, Callable[[Column, Column], Column]] | None = None) -> DataFrame:
+    """The named metrics of each group, in one aggregation; ``own`` adds the user's to those of the library."""
+    known = NAMED | (own or {})
+    if unknown := [n for n in names if n not in known]:
         raise ValueError(f"unknown metrics: {unknown}")
-    return frame.groupBy(*keys).agg(*[NAMED[n](F.col(priv), F.col(orig)).alias(n) for n in names])
+    return frame.groupBy(*keys).agg(*[known[n](F.col(priv), F.col(orig)).alias(n) for n in names])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import order
@@ -15,9 +15,9 @@ def even(frame: DataFrame, keys: list[str], parts: int) -> DataFrame:
     return numbered.withColumn("part", F.floor(F.col("position") * parts / n).cast("int") if n else F.lit(0)).repartition("part")
 
 
-def sizes(frame: DataFrame, part: str, position: str) -> DataFrame:
-    """Rows, first and last position of each part."""
-    return frame.groupBy(part).agg(F.count("*").alias("n_rows"), F.min(position).alias("first"), F.max(position).alias("last"))
+def sizes(frame: DataFrame, part: str, position: str, *others: Column) -> DataFrame:
+    """Rows, first and last position of each part, and further aggregates."""
+    return frame.groupBy(part).agg(F.count("*").alias("n_rows"), F.min(position).alias("first"), F.max(position).alias("last"), *others)
 
 
 def per_key(frame: DataFrame, keys: list[str]) -> DataFrame:

@@ -19,7 +19,7 @@ def bootstrap(cells: DataFrame, stratum: str, keys: list[str], count: str, seed:
     span = ranged.groupBy(stratum).agg(F.min("_lo").alias("_from"), F.sum(count).alias("_size"))
     numbers = files.expand(ranged.select(stratum, "_lo", F.col(count).alias("_n")), "_n", "_at").select(stratum, (F.col("_lo") + F.col("_at")).alias("_i"))
     draw = F.col("_from") + F.floor(noise.uniform("_i", seed=seed) * F.col("_size"))
-    drawn = numbers.join(F.broadcast(span), stratum).select(stratum, draw.alias("_d")).groupBy(stratum, "_d").agg(F.count("*").alias("_k")).withColumn("_block", F.floor(F.col("_d") / block))
+    drawn = numbers.join(span, stratum).select(stratum, draw.alias("_d")).groupBy(stratum, "_d").agg(F.count("*").alias("_k")).withColumn("_block", F.floor(F.col("_d") / block))
     places = ranged.select(*keys, "_lo", "_hi", F.explode(F.sequence(F.floor(F.col("_lo") / block), F.floor((F.col("_hi") - 1) / block))).alias("_block"))
     hit = drawn.join(places, "_block").filter("_d >= _lo and _d < _hi")
     return hit.groupBy(stratum, *keys).agg(F.sum("_k").alias("n"))

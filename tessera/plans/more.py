@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import checks, constraints, fit, noise, query
 from tessera.plans.base import DIMS, cells, frame, persons, register, table, units
-from tessera.plans.privacy import CH, FAMILY, KEYS, MEAS, PROJ, ROW, children, fitted_levels, measured, normal_sql, row_noise, uniform_sql
+from tessera.plans.privacy import CH, FAMILY, KEYS, MEAS, PROJ, ROW, children, fitted_levels, fitted_sql, measured, normal_sql, row_noise, uniform_sql
 from tessera.plans.records import PERSON
 from tessera.plans.relational import FAC, tract_bounds
 from tessera.plans.tabulation import D
@@ -196,15 +196,14 @@ def fit_swap_repair(spark, sf):
     return fit.swap_repair(c, ["geocode"], "flag", 0, 1, ["status", "band"], F.lit(3))
 
 
-@register("fit_resume", "SELECT count(*) AS cells, true AS same FROM frame WHERE level=5")
+@register("fit_resume", fitted_sql() + f"SELECT geocode, {D}, CAST(n AS BIGINT) AS n FROM f5")
 def fit_resume(spark, sf):
-    """A fit restarted from a saved level gives the same lower levels."""
+    """The level below a saved one, from a fit restarted there: the SQL fits all levels in one go."""
     lengths, out = fitted_levels(spark, sf)
     path = files.scratch(spark, "fitted")
     out[2].write.parquet(path)
     again = fit.top_down([spark.read.parquet(path).withColumns({"y": F.col("n").cast("double"), "v": F.lit(1.0)}).drop("n"), measured(spark, sf, 5).drop("orig")], "geocode", [3], DIMS)
-    same = checks.equal_frames(out[3], again[1]).select(((F.col("only_left") == 0) & (F.col("only_right") == 0)).alias("same"))
-    return again[1].agg(F.count("*").alias("cells")).crossJoin(F.broadcast(same))
+    return again[1].select("geocode", *DIMS, "n")
 
 
 @register("cons_facility_age_bounds", FAC + ", a AS (SELECT substr(geocode,1,5) AS geocode, CAST(sum(CASE WHEN qty>=18 THEN 1 ELSE 0 END) AS BIGINT) AS adults FROM persons GROUP BY 1) SELECT b.geocode, unit_type, CAST(greatest(lower-(total-adults),0) AS BIGINT) AS lower_adults, least(upper, adults) AS upper_adults FROM b JOIN a ON a.geocode=b.geocode JOIN t ON t.geocode=b.geocode")

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators import fit, hist, ledger, measure, noise, order, spine, sqlnoise
@@ -26,7 +28,7 @@ def strategy(spark, sf):
     return shares, t.join(F.broadcast(everything), how="cross").select("level", (F.col("t") / F.col("a")).alias("share"))
 
 
-@register("ledger_allocation", STRAT + "SELECT sh.level, query, round(sh.share,9) AS share, round(sh.share*lv.share,9) AS whole, true AS sums_to_one, true AS non_negative, true AS unique_names FROM sh JOIN lv ON sh.level=lv.level")
+@register("ledger_allocation", STRAT + "SELECT sh.level, query, round(sh.share,9) AS share, round(sh.share*lv.share,9) AS whole, abs(sum(sh.share) OVER w-1)<=1e-7 AS sums_to_one, min(sh.share) OVER w>=0 AS non_negative, count(*) OVER w=(SELECT count(DISTINCT query) FROM sh s WHERE s.level=sh.level) AS unique_names FROM sh JOIN lv ON sh.level=lv.level WINDOW w AS (PARTITION BY sh.level)")
 def ledger_allocation(spark, sf):
     a = ledger.allocation(*strategy(spark, sf))
     return a.withColumns({c: F.round(c, 9) for c in ("share", "whole")})
@@ -328,7 +330,35 @@ def fitted_levels(spark, sf):
     return lengths, fit.top_down([at(n) for n in lengths], "geocode", lengths[:-1], DIMS, lambda f: files.kept(f, "fitted"))
 
 
-@register("fit_top_down", "SELECT level, CASE WHEN level=0 THEN 1 ELSE 0 END AS is_top, CAST(sum(CASE WHEN level=0 THEN priv ELSE 0 END) AS BIGINT) AS n_top, true AS adds_up, true AS non_negative FROM frame GROUP BY level")
+def fitted_sql() -> str:
+    """The fit from the top as CTEs f0, f1, ...: each level projected onto and rounded within the one above."""
+    out = f", f0 AS (SELECT geocode, {D}, priv AS n FROM frame WHERE level=0)"
+    for up, n in zip(LEVELS, LEVELS[1:]):
+        family = f"PARTITION BY parent, {D}"
+        out += f""", c{n} AS (SELECT m.geocode, {", ".join("m." + d for d in DIMS)}, CAST(m.priv AS DOUBLE) AS y, CAST(1+m.band AS DOUBLE) AS v, p.geocode AS parent, p.n AS total
+ FROM frame m JOIN f{up} p ON substr(m.geocode,1,{up})=p.geocode AND {" AND ".join(f"m.{d}=p.{d}" for d in DIMS)} WHERE m.level={n}),
+ r{n} AS (SELECT *, (sum(y) OVER w-total)/sum(v) OVER w AS t0 FROM c{n} WINDOW w AS ({family} ORDER BY y/v DESC, geocode ROWS UNBOUNDED PRECEDING)),
+ p{n} AS (SELECT *, max(CASE WHEN y/v>t0 THEN t0 END) OVER ({family}) AS t FROM r{n}), x{n} AS (SELECT *, CASE WHEN total<=0 THEN 0.0 ELSE greatest(y-t*v,0.0) END AS x FROM p{n}),
+ g{n} AS (SELECT *, CAST(floor(x+1e-9) AS BIGINT) AS fl FROM x{n}), f{n} AS (SELECT geocode, {D}, fl+CASE WHEN row_number() OVER ({family} ORDER BY round(x-fl,9) DESC, geocode)<=total-sum(fl) OVER ({family}) THEN 1 ELSE 0 END AS n FROM g{n})"""
+    return out + " "
+
+
+def top_down_sql() -> str:
+    parts = ["SELECT 0 AS level, 1 AS is_top, CAST(sum(n) AS BIGINT) AS n_top, true AS adds_up, min(n)>=0 AS non_negative FROM f0"]
+    for up, n in zip(LEVELS, LEVELS[1:]):
+        sums = f"SELECT substr(geocode,1,{up}) AS geocode, {D}, sum(n) AS s, min(n) AS least FROM f{n} GROUP BY ALL"
+        parts.append(f"SELECT {n}, 0, 0, bool_and(s=p.n), min(least)>=0 FROM ({sums}) c JOIN f{up} p USING (geocode, {D})")
+    return fitted_sql() + " UNION ALL ".join(parts)
+
+
+@register("fit_top_down_cells", fitted_sql() + " UNION ALL ".join(f"SELECT {n} AS level, geocode, {D}, CAST(n AS BIGINT) AS n FROM f{n}" for n in LEVELS))
+def fit_top_down_cells(spark, sf):
+    """The fitted table itself: every cell of every level."""
+    lengths, out = fitted_levels(spark, sf)
+    return reduce(DataFrame.unionByName, [f.select(F.lit(n).alias("level"), "geocode", *DIMS, "n") for n, f in zip(lengths, out)])
+
+
+@register("fit_top_down", top_down_sql())
 def fit_top_down(spark, sf):
     """All levels fitted from the top, each written before the next; for each level whether it adds up to the level above and is non-negative."""
     lengths, out = fitted_levels(spark, sf)

@@ -326,9 +326,8 @@ def io_read_experiment_runs(spark, sf):
 def io_read_state_from_path(spark, sf):
     """The state is the last part of each file's name, as in unit_counts_v3.txt."""
     path = files.scratch(spark, "states")
-    p = persons(spark, sf).select("geocode").withColumn("state", F.substring("geocode", 1, 1))
-    for state in range(table(spark, sf, "region").count()):
-        files.write_named(p.filter(F.col("state") == str(state)).select("geocode"), f"{path}", f"unit_counts_v{state}.txt")
+    p = persons(spark, sf).select("geocode")
+    files.write_named(p, path, F.concat(F.lit("unit_counts_v"), F.substring("geocode", 1, 1), F.lit(".txt")))
     return spark.read.option("recursiveFileLookup", "true").text(path).groupBy(files.file_part().alias("state")).agg(F.count("*").alias("n"))
 
 
@@ -480,8 +479,8 @@ def udf_recoder_plugin(spark, sf):
 @register("udf_metric_plugin", "SELECT level, geocode, CAST(sum(abs(priv-orig)) AS BIGINT) AS l1, CAST(max(abs(priv-orig)) AS BIGINT) AS farthest FROM frame GROUP BY ALL")
 def udf_metric_plugin(spark, sf):
     """A metric chosen by its name, among them one of the user's."""
-    metrics.NAMED["farthest"] = lambda priv, orig: F.max(F.abs(priv - orig))
-    return metrics.by_name(frame(spark, sf), ["level", "geocode"], ["l1", "farthest"])
+    own = {"farthest": lambda priv, orig: F.max(F.abs(priv - orig))}
+    return metrics.by_name(frame(spark, sf), ["level", "geocode"], ["l1", "farthest"], own=own)
 
 
 DRAWS = f"SELECT state, CAST(lo+floor({uniform_sql(11, 'i')}*c) AS BIGINT) AS i FROM (SELECT substr(geocode,1,1) AS state, i, min(i) OVER (PARTITION BY substr(geocode,1,1)) AS lo, count(*) OVER (PARTITION BY substr(geocode,1,1)) AS c FROM n)"

@@ -286,13 +286,11 @@ def ops_distinct(spark, sf):
     return persons(spark, sf).select("unit_type", "flag", "status").distinct()
 
 
-@register("ops_repartition_even", "SELECT least(count(*), 16) AS partitions, count(*) AS n_rows, true AS even, true AS in_order FROM cells")
+@register("ops_repartition_even", f"SELECT part, count(*) AS n_rows, min(position) AS first, max(position) AS last, min(geocode) AS least FROM (SELECT geocode, position, CAST(floor(position*16/(SELECT count(*) FROM cells)) AS INTEGER) AS part FROM (SELECT geocode, row_number() OVER (ORDER BY geocode, {', '.join(DIMS)})-1 AS position FROM cells)) GROUP BY part")
 def ops_repartition_even(spark, sf):
-    """Contiguous partitions of nearly equal size in the order of the keys, and the statistics that show it."""
+    """Contiguous partitions of nearly equal size in the order of the keys: what each holds."""
     n = partition.even(cells(spark, sf), ["geocode", *DIMS], 16)
-    s = partition.sizes(n, "part", "position")
-    ends = s.agg(F.count("*").alias("partitions"), F.sum("n_rows").alias("n_rows"), (F.max("n_rows") - F.min("n_rows") <= 1).alias("even"), (F.sum(F.col("last") - F.col("first") + 1) == F.sum("n_rows")).alias("in_order"))
-    return ends.select("partitions", "n_rows", "even", "in_order")
+    return partition.sizes(n, "part", "position", F.min("geocode").alias("least"))
 
 
 @register("ops_partitions_per_key", "SELECT count(DISTINCT substr(geocode,1,3)) AS keys, count(*) AS n_rows, 1::BIGINT AS most FROM cells")

@@ -49,9 +49,9 @@ def file_part(position: int = -1, sep: str = "_") -> Column:
     return F.element_at(F.split(F.regexp_replace(name, r"\..*$", ""), sep), position)
 
 
-def write_named(frame: DataFrame, folder: str, name: str) -> None:
-    """Lines of a one-column frame as ``folder``/``name``, a folder of part files under Spark; the parts carry the name, so that readers see it in their path."""
-    frame.write.text(f"{folder}/{name}")
+def write_named(frame: DataFrame, folder: str, name: Column) -> None:
+    """Lines of a one-column frame into files named by a column, all in one write: each is a folder ``file=name`` of part files, so that readers see the name in their path."""
+    frame.withColumn("file", name).repartition("file").write.partitionBy("file").text(folder)
 
 
 def read_mapped(spark: SparkSession, frame: DataFrame, path: str, key: str, value: str, missing: str) -> DataFrame:

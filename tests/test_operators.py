@@ -203,3 +203,19 @@ def test_household_flags_of_one_person_and_nulls(spark):
     assert one.alone == 1 and one.family == one.married == one.child_both == 0 and one.no_partner == one.no_child == 1
     assert two.cohabiting == two.cohabiting_opposite == two.couple_without_child == 1 and two.others_only == two.family == 0
     assert all(v is None for v in none)
+
+
+def test_known_children_keep_their_value(spark):
+    """A variance of zero: the value stays, within its bounds, and the others share what is left."""
+    rows = [("p", "a", 5.0, 0.0, 12), ("p", "b", 4.0, 1.0, 12), ("p", "c", 1.0, 1.0, 12), ("q", "d", 9.0, 0.0, 6), ("q", "e", 2.0, 1.0, 6), ("r", "f", 3.0, 0.0, 3), ("r", "g", 0.0, 0.0, 3)]
+    c = spark.createDataFrame(rows, "parent string, cell string, y double, v double, total long")
+    x = lambda df: {r["cell"]: round(r["x"], 9) for r in df.collect()}
+    assert x(fit.nonneg(c, ["parent"], "total", ["cell"])) == {"a": 5.0, "b": 5.0, "c": 2.0, "d": 9.0, "e": 0.0, "f": 3.0, "g": 0.0}
+    assert x(fit.weighted_ls(c, ["parent"], "total")) == {"a": 5.0, "b": 5.0, "c": 2.0, "d": 9.0, "e": -3.0, "f": 3.0, "g": 0.0}
+    limits = c.withColumn("lower", F.lit(0)).withColumn("upper", F.when(F.col("cell") == "b", 4).otherwise(20))
+    got = fit.bounded(limits, ["parent"], "total", "lower", "upper", ["cell"])
+    assert x(got) == {"a": 5.0, "b": 4.0, "c": 3.0, "d": 9.0, "e": 0.0, "f": 3.0, "g": 0.0}
+    assert {r["parent"]: r["met"] for r in got.collect()} == {"p": True, "q": False, "r": True}
+    assert {r["cell"]: r["v"] for r in fit.rescale(c, ["parent"]).collect()} == {"a": 0.0, "b": 1.0, "c": 1.0, "d": 0.0, "e": 1.0, "f": 0.0, "g": 0.0}
+    own = spark.createDataFrame([("k", 3.0, 0.0)], "cell string, y double, v double")
+    assert [tuple(r) for r in fit.pool(own, own.withColumn("y", F.lit(7.0)), ["cell"]).collect()] == [("k", 3.0, 0.0)]
