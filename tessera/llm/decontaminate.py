@@ -37,6 +37,7 @@ THRESHOLD = 0.8
 SMALL = 12
 BLOCK_ITEMS = 50_000
 BLOCK_BYTES = 32 << 20
+VERIFIED_ITEMS = 64
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 _IS_WORD = np.array([bool(_WORD.fullmatch(bytes([i]))) for i in range(256)])
 _CODE = mix(np.arange(1, 257, dtype=np.uint64))
@@ -206,13 +207,17 @@ def joined_leaks(docs: DataFrame, items: DataFrame, kind: str, size: int, thresh
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).select("text", *text_key(F.col("text")))
     sent = texts.select(*doc_key, "text").mapInPandas(of_docs, "_ka long, _kb long, size int, hash long, class int")
     near = sent.join(signed, ["size", "hash"]).filter(F.col("small") | (F.col("class") >= F.col("from_class"))).select(*doc_key, *item_key).distinct()
-    asked = near.join(items.dropDuplicates(["i", "t"]), item_key).groupBy(*doc_key).agg(F.collect_list(F.struct("i", "t")).alias("_items"))
+    # a document's candidates are verified in lots, so that a task never holds the texts of all of them
+    lots = near.groupBy(*doc_key).agg((1 + F.floor(F.count("*") / VERIFIED_ITEMS)).alias("_lots"))
+    dealt = near.join(lots, doc_key).withColumn("_lot", F.pmod(F.xxhash64(*item_key), F.col("_lots")))
+    asked = dealt.join(items.dropDuplicates(["i", "t"]), item_key).groupBy(*doc_key, "_lot").agg(F.collect_list(F.struct("i", "t")).alias("_items"))
 
     @F.pandas_udf(leaks_type(kind))
     def verify(texts: pd.Series, asked: pd.Series) -> pd.Series:
         return pd.Series([as_leaks(Items([(x["i"], x["t"]) for x in a], size, threshold).found(t, every=True)) for t, a in zip(texts, asked)], dtype=object)
 
-    one = texts.join(asked, doc_key).dropDuplicates(doc_key).select(*doc_key, verify("text", "_items").alias("_found"))
+    found = texts.dropDuplicates(doc_key).join(asked, doc_key).select(*doc_key, verify("text", "_items").alias("_found"))
+    one = found.groupBy(*doc_key).agg(F.array_sort(F.flatten(F.collect_list("_found"))).alias("_found"))
     keyed = docs.withColumn("_key", F.struct(*text_key(F.col(text))))
     joined = keyed.join(one.select(F.struct(*doc_key).alias("_key"), "_found"), "_key", "left")
     return joined.withColumn(out, F.coalesce("_found", F.array().cast(leaks_type(kind)))).drop("_key", "_found")

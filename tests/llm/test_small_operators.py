@@ -257,6 +257,12 @@ def test_decontamination_in_blocks(spark, monkeypatch):
     want = {tuple(r) for r in decontaminate.leaking_pairs(docs, bench).collect()}
     monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 15)
     assert {tuple(r) for r in decontaminate.leaking_pairs(docs, bench).collect()} == want and want
+    # many items in one document: verified in several lots, repeated documents and their items answered alike
+    monkeypatch.setattr(decontaminate, "VERIFIED_ITEMS", 4)
+    assert {tuple(r) for r in decontaminate.leaking_pairs(docs, bench).collect()} == want
+    every = spark.createDataFrame([(1, " ".join(r.text for r in bench.collect()))] * 2, "doc_id long, text string")
+    found = sorted(r.item_id for r in decontaminate.leaking_pairs(every, bench).collect())
+    assert found == sorted([r.item_id for r in bench.collect()] * 2)
 
 
 def test_license_scan(spark):
