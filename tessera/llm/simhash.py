@@ -162,14 +162,14 @@ def forest(prefix_bits: int, radius: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        waiting = 0
+        waiting, asked = 0, SLAB
         for b in batches:
             if not b.num_rows:
                 continue
             now = b.column("bucket").to_numpy().astype(np.int64), b.column("left").to_numpy().astype(np.int64), b.column("fp").to_numpy()
             held.append(now)
             waiting += int(sizes[now[1]].sum())
-            if waiting >= SLAB:
+            if waiting >= asked:
                 bucket, left, fp = (np.concatenate(x) for x in zip(*held))
                 # the last bucket may go on
                 cut = int(np.searchsorted(bucket, bucket[-1]))
@@ -179,6 +179,8 @@ def forest(prefix_bits: int, radius: int):
                         yield found
                 held = [(bucket[cut:], left[cut:], fp[cut:])]
                 waiting = int(sizes[left[cut:]].sum())
+                # a bucket that goes on is put together again only after it has doubled
+                asked = max(SLAB, 2 * waiting)
         if held:
             found = lot(*(np.concatenate(x) for x in zip(*held)))
             if found is not None:

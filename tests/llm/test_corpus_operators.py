@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -92,6 +93,19 @@ def test_ball_collisions_split_alike(monkeypatch):
     assert classes() == whole == groups(len(words), [(i, j) for i in range(len(words)) for j in range(i) if bin(int(words[i] ^ words[j])).count("1") <= 4])
 
 
+def test_a_bucket_over_many_batches_is_whole(monkeypatch):
+    monkeypatch.setattr(simhash, "SLAB", 40)
+    rng = np.random.default_rng(2)
+    low = rng.integers(0, 1 << 40, 60)
+    fps = np.unique(np.concatenate([low, low ^ 0b101, low ^ (1 << 39 | 8)])).astype(np.int64)
+    bucket = np.zeros(len(fps), np.int64)
+    batches = [pa.RecordBatch.from_pydict({"bucket": bucket[i : i + 7], "left": bucket[i : i + 7] + 2, "fp": fps[i : i + 7]}) for i in range(0, len(fps), 7)]
+    edges = [p for b in simhash.forest(16, 4)(iter(batches)) for p in zip(b.column("a").to_pylist(), b.column("b").to_pylist())]
+    at = {int(f): i for i, f in enumerate(fps)}
+    near = [(i, j) for i in range(len(fps)) for j in range(i) if bin(int(fps[i] ^ fps[j])).count("1") <= 4]
+    assert near and groups(len(fps), [(at[a], at[b]) for a, b in edges]) == groups(len(fps), near)
+
+
 def brute_repeats(rows, n):
     docs = [(d, (t or "").encode()) for d, t in rows]
     seen = Counter(b[i : i + n] for _, b in docs for i in range(len(b) - n + 1))
