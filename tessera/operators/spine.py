@@ -117,12 +117,14 @@ def classify(reference: DataFrame, tribal: list[tuple[int, int]], strong: list[s
     return reference.select("state", "tract", "block", F.coalesce(is_tribal, F.lit(False)).alias("is_tribal"), county.alias("county_part"), area.alias("area"), F.concat_ws("-", county, area).alias("primitive"))
 
 
-def working_ids(blocks: DataFrame, groups: DataFrame, geo: str, widths: dict[str, int]) -> DataFrame:
+def working_ids(blocks: DataFrame, groups: DataFrame, geo: str, widths: dict[str, int], key: str | None = None) -> DataFrame:
     """``working`` id of each block: tribal flag, parts of its code, group, whole code; blocks without a group get group 0.
 
-    ``widths``: name -> width of the parts in the order of the working id; ``group`` is the number in ``groups`` (geo, group, tribal), the others are cut from the code.
+    ``widths``: name -> width of the parts in the order of the working id; ``group`` is the number in ``groups`` (key, group, tribal), the others are cut from the code.
+    ``key`` tells rows of ``blocks`` apart where several share a code (the code itself by default); each has one row in ``groups`` at most.
     """
-    j = blocks.join(groups.select(geo, "group", "tribal"), geo, "left")
+    key = key or geo
+    j = blocks.select(*dict.fromkeys((key, geo))).join(groups.select(key, "group", "tribal"), key, "left")
     parts, at = [], 1
     for name, n in widths.items():
         if name == "group":
