@@ -24,7 +24,7 @@ def large(tmp_path_factory):
     return c, str(folder)
 
 
-@pytest.mark.parametrize("name", ["geo_restore_block_code"])
+@pytest.mark.parametrize("name", ["geo_restore_block_code", "spine_tribal_hierarchy"])
 def test_units_that_share_a_code_keep_their_own_row(spark, large, name):
     con, folder = large
     assert con.sql(f"select max(n) from (select count(*) as n from ({plans.ORACLES['spine_tribal_hierarchy']}) group by geocode)").fetchall()[0][0] > 1
