@@ -1,7 +1,9 @@
-"""Whole numbers under sums that cross, and moves of records under bounds that stay: one task per parent or unit."""
+"""Whole numbers under sums that cross, and moves of records under bounds that stay: a parent or unit in one task."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -74,49 +76,82 @@ def round_crossing(fitted: DataFrame, parent: list[str], rows: list[str], cols:
     return fitted.groupBy(*parent).applyInPandas(work, out)
 
 
+FAR = np.iinfo(np.int32).max  # no way
+
+
 def cheapest_moves(first: np.ndarray, lower: np.ndarray, upper: np.ndarray) -> tuple[np.ndarray, bool]:
     """Counts (levels x rest) after moves within columns that bring row sums into their bounds, and whether all are.
 
     One record at a time takes the cheapest path over levels from one that may give to one that lacks (or from one that has too many to one that may take); the cost
     is the growth of the squared distance to the first counts. A level within its bounds stays there. Ties: the least level and column.
     """
-    n = first.astype(np.int64).copy()
-    levels, columns = n.shape
-    while True:
-        sums = n.sum(axis=1)
-        lack, over = sums < lower, sums > upper
-        if not (lack.any() or over.any()):
-            return n, True
-        for give, take in ((over, lack), (sums > lower, lack), (over, sums < upper)):
-            if not (give.any() and take.any()):
+    n, met = cheapest_moves_by_unit(first[None], np.asarray(lower)[None], np.asarray(upper)[None], np.ones((1, len(first)), bool))
+    return n[0], bool(met[0])
+
+
+def cheapest_moves_by_unit(first: np.ndarray, lower: np.ndarray, upper: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`cheapest_moves` of many units (units x levels x rest) at once, each by itself; levels that are not ``there`` neither give nor take."""
+    first, levels = first.astype(np.int64), first.shape[1]
+    n, met, left = first.copy(), np.zeros(len(first), bool), np.arange(len(first))
+    loop = np.eye(levels, dtype=bool)[None, :, :, None]
+    while len(left):
+        sums, on = n[left].sum(axis=2), there[left]
+        lack, over = (sums < lower[left]) & on, (sums > upper[left]) & on
+        wrong = (lack | over).any(axis=1)
+        met[left[~wrong]] = True
+        left, sums, on, lack, over = left[wrong], sums[wrong], on[wrong], lack[wrong], over[wrong]
+        if not len(left):
+            break
+        now = n[left]
+        away = now - first[left]
+        # a record of column r from level i to level j
+        cost = 2 * (away[:, None, :, :] - away[:, :, None, :] + 1)
+        cost = np.where((now[:, :, None, :] > 0) & on[:, None, :, None] & ~loop, cost, FAR)
+        via, edge = cost.argmin(axis=3), cost.min(axis=3)
+        moved = np.zeros(len(left), bool)
+        for give, take in ((over, lack), ((sums > lower[left]) & on, lack), (over, (sums < upper[left]) & on)):
+            some = np.flatnonzero(~moved & give.any(axis=1) & take.any(axis=1))
+            if not len(some):
                 continue
-            away = n - first
-            # a record of column r from level i to level j
-            cost = (2 * away[None, :, :] + 1) + (1 - 2 * away[:, None, :])
-            cost = np.where((n[:, None, :] > 0) & ~np.eye(levels, dtype=bool)[:, :, None], cost, np.iinfo(np.int32).max)
-            via, edge = cost.argmin(axis=2), cost.min(axis=2)
-            far = np.where(give, 0, np.iinfo(np.int32).max).astype(np.int64)
-            before = np.full(levels, -1)
+            far = np.where(give[some], 0, FAR).astype(np.int64)
+            before, way = np.full(far.shape, -1), edge[some]
             for _ in range(levels):
-                reach = far[:, None] + edge
-                best = reach.argmin(axis=0)
-                better = reach[best, np.arange(levels)] < far
+                reach = np.where((far[:, :, None] < FAR) & (way < FAR), far[:, :, None] + way, FAR)
+                best, least = reach.argmin(axis=1), reach.min(axis=1)
+                better = least < far
                 if not better.any():
                     break
-                before[better], far[better] = best[better], reach[best, np.arange(levels)][better]
-            goal = np.where(take, far, np.iinfo(np.int64).max).argmin()
-            if take[goal] and before[goal] >= 0 and far[goal] < np.iinfo(np.int32).max:
-                break
-        else:
-            return n, False
-        at = goal
-        for _ in range(levels):
-            i = before[at]
-            n[i, via[i, at]] -= 1
-            n[at, via[i, at]] += 1
-            at = i
-            if before[at] < 0:
-                break
+                before, far = np.where(better, best, before), np.where(better, least, far)
+            row = np.arange(len(some))
+            goal = np.where(take[some], far, np.iinfo(np.int64).max).argmin(axis=1)
+            row = row[take[some][row, goal] & (before[row, goal] >= 0) & (far[row, goal] < FAR)]
+            moved[some[row]] = True
+            at = goal[row]
+            for _ in range(levels):
+                i = before[row, at]
+                r = via[some[row], i, at]
+                n[left[some[row]], i, r] -= 1
+                n[left[some[row]], at, r] += 1
+                on_way = before[row, i] >= 0
+                row, at = row[on_way], i[on_way]
+                if not len(row):
+                    break
+        left = left[moved]
+    return n, met
+
+
+#: Rows that a task works on at once, and places of the table of costs of a lot of units.
+LOT_ROWS = 20_000
+LOT_PLACES = 2_000_000
+
+
+def within_unit(unit: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Dense ranks of codes within each unit (0..units-1, all of them there), how many each has, the number of the first of each unit among all, and a row of each."""
+    codes = int(code.max()) + 1
+    pair, row, back = np.unique(unit * codes + code, return_index=True, return_inverse=True)
+    sizes = np.bincount(pair // codes)
+    starts = np.cumsum(sizes) - sizes
+    return back - starts[unit], sizes, starts, row
 
 
 def swap_within(cells: DataFrame, unit: list[str], attribute: str, rest: list[str], bounds: DataFrame, n: str = "n") -> DataFrame:
@@ -125,35 +160,68 @@ def swap_within(cells: DataFrame, unit: list[str], attribute: str, rest: list[st
     A record keeps its other levels ``rest``, so all sums over the attribute stay. Bounds that held are kept: a level gives and takes only within
     its own, and no path passes through a broken one. Moves are the cheapest by squared change (:func:`cheapest_moves`). Returns unit, attribute, rest, n, and ``met``: whether all
     bounds of the unit hold. Levels without cells come from ``bounds``; units without bounds stay as they are.
+
+    A unit's rows meet in one task, which takes many units at once.
     """
     kinds = {f.name: f for f in cells.schema.fields}
     out = T.StructType([*[kinds[c] for c in (*unit, attribute, *rest)], T.StructField("n", T.LongType()), T.StructField("met", T.BooleanType())])
-    asked = bounds.select(*unit, F.col(attribute).cast(kinds[attribute].dataType).alias(attribute), F.col("lower").cast("double").alias("_lo"), F.col("upper").cast("double").alias("_hi"))
-    joined = cells.select(*unit, attribute, *rest, F.col(n).cast("long").alias("_n")).join(asked, [*unit, attribute], "full")
-
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        key = frame[unit].iloc[0]
-        level = frame.groupby(attribute, sort=True, dropna=False).ngroup().to_numpy()
-        names = frame.groupby(attribute, sort=True, dropna=False)[attribute].first()
-        there = frame["_n"].notna()
-        combos = frame.loc[there, rest].drop_duplicates().sort_values(rest).reset_index(drop=True)
-        place = {k: i for i, k in enumerate(combos.itertuples(index=False, name=None))}
-        counts = np.zeros((len(names), len(place)), np.int64)
-        for i, r, k in zip(level[there], frame.loc[there, rest].itertuples(index=False, name=None), frame.loc[there, "_n"]):
-            counts[i, place[r]] += int(k)
-        lower, upper = np.zeros(len(names)), np.full(len(names), np.inf)
-        np.maximum.at(lower, level, frame["_lo"].fillna(0.0).to_numpy(float))
-        np.minimum.at(upper, level, frame["_hi"].fillna(np.inf).to_numpy(float))
-        after, met = (counts, not (lower > 0).any()) if not place else cheapest_moves(counts, lower, upper)
-        had = np.zeros_like(counts, bool)
-        for i, r in zip(level[there], frame.loc[there, rest].itertuples(index=False, name=None)):
-            had[i, place[r]] = True
-        i, j = np.nonzero((after > 0) | had)
-        result = combos.iloc[j].reset_index(drop=True)
-        result[attribute] = names.to_numpy()[i]
-        for c in unit:
-            result[c] = key[c]
-        result["n"], result["met"] = after[i, j], met
-        return result[[*unit, attribute, *rest, "n", "met"]]
-
-    return joined.groupBy(*unit).applyInPandas(work, out)
+    number = lambda c: F.col(c).cast("double")
+    none = lambda kind: F.lit(None).cast(kind)
+    had = cells.select(*unit, attribute, *rest, F.coalesce(F.col(n).cast("long"), F.lit(0)).alias("_n"), F.col(n).isNotNull().alias("_there"), none("double").alias("_lo"), none("double").alias("_hi"))
+    asked = bounds.select(*unit, F.col(attribute).cast(kinds[attribute].dataType).alias(attribute), *[none(kinds[c].dataType).alias(c) for c in rest], F.lit(0).cast("long").alias("_n"), F.lit(False).alias("_there"), number("lower").alias("_lo"), number("upper").alias("_hi"))
+
+    def work(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        code = lambda rows, by: rows.groupby(by, sort=True, dropna=False).ngroup().to_numpy() if by else np.zeros(len(rows), np.int64)
+        # units without cells have nothing to move
+        u = code(frame, unit)
+        full = np.zeros(int(u.max()) + 1, bool)
+        full[u[frame["_there"].to_numpy(bool)]] = True
+        frame = frame[full[u]].reset_index(drop=True)
+        if not len(frame):
+            return
+        u, there = code(frame, unit), frame["_there"].to_numpy(bool)
+        level, n_levels, level_start, level_row = within_unit(u, code(frame, attribute))
+        cell = frame[there]
+        column, n_columns, column_start, column_row = within_unit(u[there], code(cell, rest))
+        lo, hi, count = frame["_lo"].fillna(0.0).to_numpy(float), frame["_hi"].fillna(np.inf).to_numpy(float), cell["_n"].to_numpy(np.int64)
+        # units of about one shape make a lot
+        wide = 1 << np.ceil(np.log2(n_columns)).astype(np.int64)
+        for shape_levels, shape_columns in np.unique(np.stack((n_levels, wide)), axis=1).T:
+            alike = np.flatnonzero((n_levels == shape_levels) & (wide == shape_columns))
+            step = max(1, LOT_PLACES // int(shape_levels * shape_levels * shape_columns))
+            for lot in (alike[k : k + step] for k in range(0, len(alike), step)):
+                place = np.full(len(n_levels), -1)
+                place[lot] = np.arange(len(lot))
+                mine, its = np.flatnonzero(place[u] >= 0), np.flatnonzero(place[u[there]] >= 0)
+                first = np.zeros((len(lot), shape_levels, shape_columns), np.int64)
+                known = np.zeros(first.shape, bool)
+                at = place[u[there][its]], level[there][its], column[its]
+                np.add.at(first, at, count[its])
+                known[at] = True
+                lower, upper = np.zeros(first.shape[:2]), np.full(first.shape[:2], np.inf)
+                np.maximum.at(lower, (place[u[mine]], level[mine]), lo[mine])
+                np.minimum.at(upper, (place[u[mine]], level[mine]), hi[mine])
+                after, met = cheapest_moves_by_unit(first, lower, upper, np.ones(first.shape[:2], bool))
+                k, i, j = np.nonzero((after > 0) | known)
+                of = frame.iloc[level_row[level_start[lot[k]] + i]][[*unit, attribute]].reset_index(drop=True)
+                result = pd.concat([of, cell.iloc[column_row[column_start[lot[k]] + j]][rest].reset_index(drop=True)], axis=1)
+                result["n"], result["met"] = after[k, i, j], met[k]
+                yield result
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size, due = [], 0, LOT_ROWS
+        for b in batches:
+            held, size = [*held, b] if len(b) else held, size + len(b)
+            if size >= due:
+                # rows of a unit stand together; those of the last one wait for the next batch
+                frame = pd.concat(held, ignore_index=True)
+                u = frame.groupby(unit, sort=False, dropna=False).ngroup().to_numpy()
+                cut = int(np.flatnonzero(u == u[-1])[0])
+                if cut:
+                    yield from work(frame.iloc[:cut])
+                held, size = [frame.iloc[cut:]], len(frame) - cut
+                due = max(LOT_ROWS, 2 * size)
+        if size:
+            yield from work(pd.concat(held, ignore_index=True))
+
+    return had.unionByName(asked).repartition(*unit).sortWithinPartitions(*unit).mapInPandas(run, out)

@@ -8,6 +8,7 @@ from tessera.operators import fit, passes, rounding
 from tessera.plans.base import DIMS, frame, register
 from tessera.plans.privacy import FAMILY, PROJ, children
 from tessera.plans.tabulation import D
+from tessera.sources import files
 
 LIFT = 1000  # far from zero, so that the fit has a closed form
 LIFTED = f""", m AS (SELECT geocode, {D}, CAST(priv+{LIFT} AS DOUBLE) AS y, CAST(1+band AS DOUBLE) AS v, orig+{LIFT} AS o FROM frame WHERE level=3),
@@ -103,7 +104,7 @@ def fit_round_crossing(spark, sf):
 @register("fit_swap_within", ", s AS (SELECT geocode, CAST(sum(priv) AS BIGINT) AS total FROM frame WHERE level=10 GROUP BY 1) SELECT geocode, total, 7<=total AND total<=3*greatest(9, ceil(total*0.35)) AS met, 0::BIGINT AS n_broken FROM s WHERE total>0")
 def fit_swap_within(spark, sf):
     """At least 4, 2 and 1 records of the flags and at most a share of all: whether a unit's bounds can be met, and how many of those that held are broken after."""
-    f = frame(spark, sf).filter("level = 10")
+    f = files.kept(frame(spark, sf).filter("level = 10"), "swap-cells")  # read four times
     total = f.groupBy("geocode").agg(F.sum("priv").alias("total")).filter("total > 0")
     upper = F.greatest(F.lit(9.0), F.ceil(F.col("total") * 0.35))
     bounds = total.select("geocode", F.posexplode(F.array(F.lit(4), F.lit(2), F.lit(1))).alias("flag", "lower"), upper.alias("upper"))
