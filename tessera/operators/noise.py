@@ -166,13 +166,11 @@ def gaussian_moment(variance: float) -> float:
 
 
 def count_below(values: list[float], u: Column) -> Column:
-    """Number of the ascending values below ``u``, by two levels of comparisons."""
-    side = max(1, int(len(values) ** 0.5))
-    groups = [values[i : i + side] for i in range(0, len(values), side)]
-    below = lambda a: F.size(F.filter(a, lambda c: c < u))
-    group = below(F.array(*[F.lit(g[-1]) for g in groups]))
-    inside = F.get(F.array(*[F.array(*map(F.lit, g)) for g in groups]), group)
-    return group * side + F.when(inside.isNull(), 0).otherwise(below(inside))
+    """Number of the ascending values below ``u`` by binary search; ``u`` is evaluated once for a row, however often it is compared."""
+    known = F.array(*map(F.lit, values))
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(values).bit_length()))])
+    search = lambda x: F.aggregate(steps, F.lit(0), lambda found, step: F.when(F.get(known, found + step - 1) < x, found + step).otherwise(found))
+    return F.get(F.transform(F.array(u), search), F.lit(0))
 
 
 def gaussian_steps(u: Column, variance: float, reach: int | None = None) -> Column:

@@ -219,3 +219,15 @@ def test_known_children_keep_their_value(spark):
     assert {r["cell"]: r["v"] for r in fit.rescale(c, ["parent"]).collect()} == {"a": 0.0, "b": 1.0, "c": 1.0, "d": 0.0, "e": 1.0, "f": 0.0, "g": 0.0}
     own = spark.createDataFrame([("k", 3.0, 0.0)], "cell string, y double, v double")
     assert [tuple(r) for r in fit.pool(own, own.withColumn("y", F.lit(7.0)), ["cell"]).collect()] == [("k", 3.0, 0.0)]
+
+
+def test_count_below_evaluates_its_argument_once_a_row(spark):
+    values = [0.0, 0.1, 0.1, 0.4, 0.5, 0.9, 1.0]
+    asked = [-1.0, 0.0, 0.05, 0.1, 0.11, 0.5, 0.95, 1.0, 2.0, float("nan"), None]
+    frame = spark.createDataFrame([(x,) for x in asked], "u double")
+    got = frame.select("u", noise.count_below(values, F.col("u")).alias("n"), noise.count_below(values[:1], F.col("u")).alias("one")).collect()
+    assert [r.n for r in got] == [0, 0, 1, 1, 3, 4, 6, 6, 7, 7, 0]
+    assert [r.one for r in got] == [0, 0, 1, 1, 1, 1, 1, 1, 1, 1, 0]
+    # the expression stands in the plan once, and in no function that is run for each value
+    plan = frame.select(noise.count_below(values, noise.uniform("u")).alias("n"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1 and plan.index("md5(") < plan.index("lambdafunction")
