@@ -231,3 +231,10 @@ def test_count_below_evaluates_its_argument_once_a_row(spark):
     # the expression stands in the plan once, and in no function that is run for each value
     plan = frame.select(noise.count_below(values, noise.uniform("u")).alias("n"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("md5(") == 1 and plan.index("md5(") < plan.index("lambdafunction")
+
+
+def test_gaussian_steps_hash_their_uniform_once_a_row(spark):
+    frame = spark.range(200).select(noise.gaussian_steps(noise.uniform("id", seed=4), 9.0).alias("x"))
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1
+    assert 1.0 < np.var([r.x for r in frame.collect()]) < 25.0
