@@ -378,3 +378,52 @@ def test_links_and_copies_are_counted(spark):
     rows = [(1, p + " " + some(30)), (2, some(30) + " " + p), (3, alone), (4, alone), (5, alone), (6, some(80)), (7, "short text"), (8, "short text"), (9, None)]
     got = {r.doc_id: (r.class_id, r.n_links, r.n_copies) for r in passages.near_duplicate_passages(frame(spark, rows)).collect()}
     assert got == {1: (1, 1, 0), 2: (1, 1, 0), 3: (3, 2, 2), 4: (3, 2, 2), 5: (3, 2, 2), 6: (6, 0, 0), 7: (7, 0, 0), 8: (8, 0, 0), 9: (9, 0, 0)}
+
+
+def test_links_beyond_the_neighbours_are_found(spark):
+    # under both keys that texts 1 and 60 share, more texts stand between them than are met one by one; theirs is the only link to either
+    spread = 60
+    window = lambda c: (c << 32) | (c << 16) | 60
+    found = spark.createDataFrame([(8 * k + j, d, window(c), 0) for d in range(1, spread + 1) for j, c in ((0, 10), (1, 12 if d in (1, 60) else 500)) for k in (1,)], passages.WINDOWS)
+    met = passages.neighbours(found)
+    assert met.filter("first = 1 and dk = 60 and key % 8 = 1").count() == 1  # the first text is always met
+    assert met.filter("first = 30 and dk = 60").count() == 0
+    shared = met.filter("first = dk").groupBy("dk").agg(F.collect_list("key").alias("keys"), F.collect_list(F.when(F.col("many"), F.bitwise_not("at")).otherwise(F.col("at"))).alias("places"))
+    labels = spark.createDataFrame([], "node long, label long")
+    pairs = {(r.first, r.dk) for r in passages.across(shared, labels, 46, 2).select("first", "dk").distinct().collect()}
+    alike = lambda d: d in (1, 60)
+    assert (1, 60) in pairs and all(alike(a) == alike(b) for a, b in pairs)
+    joined = passages.across(shared, spark.createDataFrame([(d, 1) for d in (1, 60)], "node long, label long"), 46, 2)
+    assert joined.filter("first = 1 and dk = 60").count() == 0
+
+
+def test_classes_are_whole_in_large_groups(spark, monkeypatch):
+    """One boilerplate passage in many texts, and pairs of texts that share more of it with each other than with any other: classes against all candidate pairs."""
+    random.seed(31)
+    monkeypatch.setattr(passages, "NEIGHBOURS", 1)
+    vocab = [f"w{i}" for i in range(50000)]
+    some = lambda n: [random.choice(vocab) for _ in range(n)]
+    base, rows = some(56), []
+    for i in range(40):
+        words = list(base)
+        for at in random.sample(range(56), 4):
+            words[at] = random.choice(vocab)
+        rows += [(2 * i + k, " ".join(some(random.randint(0, 40)) + words + some(random.randint(0, 40)))) for k in range(2)]
+    random.shuffle(rows)
+    keyed = frame(spark, rows).select("doc_id", F.xxhash64("text").alias("dk"), "text")
+    monkeypatch.setattr(passages, "NEIGHBOURS", 200)
+    every, _ = passages.links(keyed, 5, 50, 0.8, 4, 2)
+    ids = {r.dk: r.doc_id for r in keyed.collect()}
+    label = {i: i for i in ids.values()}
+    for r in every.collect() * len(label):
+        label[ids[r.dk]] = label[ids[r.first]] = min(label[ids[r.dk]], label[ids[r.first]])
+    monkeypatch.setattr(passages, "NEIGHBOURS", 1)
+    few, _ = passages.links(keyed, 5, 50, 0.8, 4, 2)
+    assert few.count() < every.count()
+    # the links to few neighbours alone leave classes apart
+    partial = {i: i for i in ids.values()}
+    for r in few.collect() * len(partial):
+        partial[ids[r.dk]] = partial[ids[r.first]] = min(partial[ids[r.dk]], partial[ids[r.first]])
+    assert len(set(partial.values())) > len(set(label.values()))
+    got = {r.doc_id: r.class_id for r in passages.near_duplicate_passages(frame(spark, rows)).collect()}
+    assert got == label
