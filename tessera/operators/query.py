@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import combinations, product
+from math import prod
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators import hist
+
 NOWHERE = "total"
 BY = " * "
 
@@ -87,23 +91,46 @@ def named(levels: Column, name: str) -> Column:
     return F.transform(levels, lambda x: F.struct(F.lit(name).alias("query"), x.alias("level")))
 
 
+#: Pairs of cells and queries up to which the levels of all cells are written out beforehand.
+LISTED = 1 << 14
+
+
+def hits(frame: DataFrame, schema: Schema, queries: list[str]) -> Column:
+    """Array of the (query, level) pairs that a cell counts in.
+
+    Where cells are few and their dims whole numbers, it is looked up by the number of the cell among the dims that are asked for; labels
+    are put together in each row only for other schemas and for values outside their dim.
+    """
+    parsed = [(q, schema.parse(q)) for q in queries]
+    pairs = []
+    for q, parts in parsed:
+        merged = F.array(F.lit("" if parts else NOWHERE))
+        for i, p in enumerate(parts):
+            mine = F.array(F.col(p).cast("string")) if p in schema.dims else labels(schema, p)
+            merged = joined_labels(merged, mine, " BY " if i else "")
+        pairs.append(named(merged, q))
+    asked = {schema.dim_of(p) for _, parts in parsed for p in parts}
+    used = {d: n for d, n in schema.dims.items() if d in asked}
+    whole = {c for c, kind in frame.dtypes if kind in ("tinyint", "smallint", "int", "bigint")}
+    if not used or not whole.issuperset(used) or prod(used.values()) * len(queries) > LISTED:
+        return F.concat(*pairs)
+    listed = []
+    for cell in product(*map(range, used.values())):
+        at = dict(zip(used, cell))
+        of = [(q, [[g for g, members in schema.groups(p).items() if at[schema.dim_of(p)] in members] for p in parts]) for q, parts in parsed]
+        listed.append([{"query": q, "level": " BY ".join(x) if x else NOWHERE} for q, groups in of for x in product(*groups)])
+    table = F.from_json(F.lit(json.dumps(listed)), "array<array<struct<query:string,level:string>>>")
+    inside = reduce(lambda a, b: a & b, [F.col(d).between(0, n - 1) for d, n in used.items()])
+    return F.when(inside, F.get(table, hist.flat_index(list(used), list(used.values())))).otherwise(F.concat(*pairs))
+
+
 def answer_many(frame: DataFrame, schema: Schema, queries: list[str], keys: list[str], values: list[str], level: str = "level") -> DataFrame:
     """Several queries in one aggregation: keys, ``query``, merged ``level``, summed values.
 
     Each cell is exploded into the (query, level) pairs it counts in; sums are
     combined before the shuffle, so the shuffle carries answers, not cells.
     """
-    hits = []
-    for q in queries:
-        merged = F.array(F.lit(""))
-        for i, p in enumerate(schema.parse(q)):
-            mine = F.array(F.col(p).cast("string")) if p in schema.dims else labels(schema, p)
-            sep = " BY " if i else ""
-            merged = joined_labels(merged, mine, sep)
-        if not schema.parse(q):
-            merged = F.array(F.lit(NOWHERE))
-        hits.append(named(merged, q))
-    exploded = frame.withColumn("_hit", F.explode(F.concat(*hits)))
+    exploded = frame.withColumn("_hit", F.explode(hits(frame, schema, queries)))
     return exploded.groupBy(*keys, F.col("_hit.query").alias("query"), F.col("_hit.level").alias(level)).agg(*[F.sum(v).alias(v) for v in values])
 
 

@@ -238,3 +238,17 @@ def test_gaussian_steps_hash_their_uniform_once_a_row(spark):
     plan = frame._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("md5(") == 1
     assert 1.0 < np.var([r.x for r in frame.collect()]) < 25.0
+
+
+def test_levels_looked_up_are_those_put_together(spark, monkeypatch):
+    """The lookup of a small schema's levels against labels made in each row: overlaps, levels in no group, values outside their dim, nulls, a query asked twice."""
+    s = query.Schema({"a": 2, "b": 3, "c": 4}, {"g": ("b", {"x": [0, 1], "y": [1]})})
+    values = [0, 1, 2, 3, 5, -1, None]
+    cells = spark.createDataFrame([(str(a), a, b, i + 1) for i, (a, b) in enumerate((a, b) for a in values for b in values)], "geocode string, a int, b int, n long")
+    queries = ["total", "a", "g", "a * g", "b", "b", "a * b"]
+    found = lambda frame: sorted(map(tuple, query.answer_many(frame, s, queries, ["geocode"], ["n"]).collect()), key=str)
+    listed = found(cells)
+    assert "from_json" in str(query.hits(cells, s, queries)) and "from_json" not in str(query.hits(cells.withColumn("b", F.col("b").cast("string")), s, queries))
+    monkeypatch.setattr(query, "LISTED", 0)
+    assert listed == found(cells)
+    assert ("1", "b", "2", 2 * 10) in listed and ("0", "a * g", "0 BY x", 1 + 2) in listed
