@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 import xxhash
@@ -427,3 +428,21 @@ def test_classes_are_whole_in_large_groups(spark, monkeypatch):
     assert len(set(partial.values())) > len(set(label.values()))
     got = {r.doc_id: r.class_id for r in passages.near_duplicate_passages(frame(spark, rows)).collect()}
     assert got == label
+
+
+def test_pairs_that_share_too_little_are_told_before_their_windows_are_added_up(spark, monkeypatch):
+    least, rng = 46, np.random.default_rng(5)
+    first, other = [], []
+    for shared in (0, 20, 40, 41, 44, 46, 60):
+        a = rng.integers(-(2**31), 2**31, 100).astype(np.int32)
+        for b in (np.concatenate((a[:shared], rng.integers(0, 2**31, 30).astype(np.int32))), rng.permutation(np.concatenate((a[:shared], rng.integers(0, 2**31, 60).astype(np.int32)))), np.repeat(a[:shared], 2)):
+            first.append(a)
+            other.append(b)
+    need = 2 * least * 0.8 / 1.8 - 1e-9
+    hits = [[x in a for x in b] for a, b in zip(first, other)]
+    want = [any(sum(h[i : i + least]) >= need for i in range(len(h) - least + 1)) for h in hits]
+    added, plain = [], np.cumsum
+    monkeypatch.setattr(passages.np, "cumsum", lambda x: added.append(1) or plain(x))
+    got = passages.similar(least, 0.8).func(pd.Series(first), pd.Series(other))
+    assert got.tolist() == want and 0 < sum(want) < len(want)
+    assert len(added) == sum(len(h) >= least and sum(h) >= need for h in hits) < len(want)
