@@ -446,3 +446,34 @@ def test_pairs_that_share_too_little_are_told_before_their_windows_are_added_up(
     got = passages.similar(least, 0.8).func(pd.Series(first), pd.Series(other))
     assert got.tolist() == want and 0 < sum(want) < len(want)
     assert len(added) == sum(len(h) >= least and sum(h) >= need for h in hits) < len(want)
+
+
+def test_boilerplate_shorter_than_a_passage_leaves_few_pairs(spark, monkeypatch):
+    """Texts that share a line too short for a link are not met pair by pair, and no link that a search of all pairs finds is lost."""
+    random.seed(31)
+    monkeypatch.setattr(passages, "NEIGHBOURS", 1)
+    vocab = [f"w{i}" for i in range(50000)]
+    some = lambda n: [random.choice(vocab) for _ in range(n)]
+    line, rows = some(56), []
+    for i in range(40):
+        # two texts with the same changes in the line: near each other, and to no other text
+        words = list(line)
+        for at in random.sample(range(56), 4):
+            words[at] = random.choice(vocab)
+        rows += [(2 * i + k, " ".join(some(random.randint(0, 40)) + words + some(random.randint(0, 40)))) for k in range(2)]
+    random.shuffle(rows)
+    keyed = frame(spark, rows).select("doc_id", F.xxhash64("text").alias("dk"), "text")
+    found, shared = passages.links(keyed, 5, 50, 0.8, 4, 2)
+    labels = passages.keep(components.components(found, "first", "dk"))
+    links, met = [], []
+    for told in (None, lambda each: passages.alike(keyed, each, 5, 46, 0.8, 2)):
+        pairs = passages.keep(passages.across(shared, labels, 46, 2, told))
+        met.append(pairs.select("first", "dk").distinct().count())
+        links.append({tuple(r) for r in passages.checked(keyed, passages.searched(pairs, 46, 4, 2), 5, 46, 0.8).collect()})
+    assert links[0] and links[0] <= links[1]
+    assert met[0] > 10 * met[1] and met[1] < len(rows)
+    sent, search = [], passages.searched
+    monkeypatch.setattr(passages, "searched", lambda met, *a: sent.append(met.filter("first != dk").select("first", "dk").distinct().count()) or search(met, *a))
+    got = {r.doc_id: r.class_id for r in passages.near_duplicate_passages(frame(spark, rows)).collect()}
+    joined = {(ids[a], ids[b]) for ids in [{r.dk: r.doc_id for r in keyed.collect()}] for a, b in links[0]}
+    assert all(got[a] == got[b] for a, b in joined) and sent[1] == met[1]
