@@ -89,3 +89,39 @@ def test_swap_within_on_tables(spark):
     # v cannot have one of each with a single record, and keeps what held
     assert got["v"] == {(1, 0): (1, False)} and got["w"] == {(0, 3): (2, True)} and "x" not in got
     assert rounding.swap_within(cells.limit(0), ["g"], "a", ["r"], bounds.limit(0)).count() == 0
+
+
+def test_swap_within_takes_many_units_in_one_call(spark, monkeypatch, tmp_path):
+    """Units of several sizes, of one level, without bounds and without cells, dealt over partitions at random: each as by itself, in few calls."""
+    rng = np.random.default_rng(6)
+    rows = [(f"u{k % 2000}", k // 2000 % (1 + k % 4), f"r{k % 5}" if k % 7 else None, int(rng.integers(0, 6))) for k in range(16000)]
+    cells = spark.createDataFrame(rows, "g string, a int, r string, n long").groupBy("g", "a", "r").sum("n").withColumnRenamed("sum(n)", "n").repartition(7)
+    bounds = spark.createDataFrame([(f"u{k}", a, 1.0 + k % 3, 40.0) for k in range(3, 2010) for a in range(3)], "g string, a int, lower double, upper double").repartition(5)
+    path, plain = str(tmp_path / "calls"), rounding.cheapest_moves
+
+    def counted(*given):
+        with open(path, "a") as f:
+            f.write("x")
+        return plain(*given)
+
+    monkeypatch.setattr(rounding, "cheapest_moves", counted)
+    frame = rounding.swap_within(cells, ["g"], "a", ["r"], bounds).toPandas()
+    monkeypatch.undo()
+    with open(path) as f:
+        assert len(f.read()) < 200
+    was, b = cells.toPandas().fillna({"r": ""}), bounds.toPandas()
+    frame = frame.fillna({"r": ""})
+    assert set(frame["g"]) == set(was["g"])
+    assert (frame.groupby(["g", "r"])["n"].sum() == was.groupby(["g", "r"])["n"].sum()).all()
+    for g in [f"u{k}" for k in range(0, 2000, 41)]:
+        mine, first = frame[frame["g"] == g], was[was["g"] == g]
+        # null comes last
+        levels, rest = sorted({*first["a"], *b[b["g"] == g]["a"]}), sorted(set(first["r"]), key=lambda r: (r == "", r))
+        counts, limits = np.zeros((len(levels), len(rest)), np.int64), b[b["g"] == g].set_index("a")
+        for a, r, n in first[["a", "r", "n"]].itertuples(index=False):
+            counts[levels.index(a), rest.index(r)] = n
+        lower, upper = (np.array([limits[c].get(a, none) for a in levels]) for c, none in (("lower", 0.0), ("upper", np.inf)))
+        one, met = plain(counts, lower, upper)
+        got = {(a, r): n for a, r, n in mine[["a", "r", "n"]].itertuples(index=False)}
+        assert all(got.get((a, r), 0) == one[i, j] for i, a in enumerate(levels) for j, r in enumerate(rest)) and set(mine["met"]) == {met}
+        assert not met or ((one.sum(axis=1) >= lower) & (one.sum(axis=1) <= upper)).all()
